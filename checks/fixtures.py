@@ -14,6 +14,7 @@ from msgloom.functions.text import hash_number
 from msgloom.functions.vectors import let
 from msgloom.operators.bounded import computed_once
 from msgloom.operators.dedup import first_per_key
+from msgloom.sources import readers
 
 H = hash_number
 EVENT_LABELS = ["click", "view", "signup", "error", "purchase"]
@@ -91,7 +92,8 @@ def messages_raw(spark: SparkSession, sf_dir: str, stream: bool = False) -> Data
     both = from_docs.unionByName(from_orders)
     k = H(F.concat(F.lit("lab|"), "row_seq")) % 14
     label = let(k, lambda k: pick(C.INTENT_LABELS, F.floor(k * k / 14)))
-    return computed_once(both, {"text": F.col("text"), "label": label})
+    messages = computed_once(both, {"text": F.col("text"), "label": label})
+    return messages if stream else readers.spread(messages, "row_seq")
 
 
 def upsert_rows(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:

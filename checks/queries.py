@@ -54,7 +54,8 @@ def modelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prepared(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return prepare.prepare(cleaned(spark, sf_dir), **options).rows
+    folder = workspace.new_folder(spark, "prepared")
+    return prepare.prepare(cleaned(spark, sf_dir), folder=folder, **options).rows
 
 
 # --- Monitoring -----------------------------------------------------------------------
@@ -125,7 +126,7 @@ def export_key(spark, sf_dir):
 @query
 def amount_bins(spark, sf_dir):
     orders = X.table(spark, sf_dir, "orders")
-    price = F.concat(F.lit("USD "), (F.col("o_totalprice") / 100).cast("decimal(15,2)"))
+    price = F.concat(F.lit("USD "), F.floor(F.col("o_totalprice") / 100))
     return orders.select(
         "o_orderkey",
         r6(T.parse_amount(price)).alias("amount"),
@@ -703,9 +704,6 @@ def ml_predictions(spark, sf_dir):
     rows = prepared(spark, sf_dir).select(
         "row_seq", "text_model", "label", "encoded_label", "split"
     )
-    folder = workspace.new_folder(spark, "prepared")
-    rows.write.parquet(folder)
-    rows = spark.read.parquet(folder)
     model = scoring.train(rows, [scoring.classifier(max_iter=10)])
     scored = scoring.predict(model, rows.filter("split = 'test'"))
     return scored.select("row_seq", "label", "encoded_label", "pred_id", "confidence")

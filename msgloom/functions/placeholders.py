@@ -9,6 +9,11 @@ from msgloom import constants as C
 from msgloom.functions import text as T
 
 
+def _if_bracket(c: Column, changed: Column) -> Column:
+    """`changed` where the text has a bracket token at all, else the text itself."""
+    return F.when(F.contains(c, F.lit("[")), changed).otherwise(c)
+
+
 def extract_placeholders(c: Column) -> Column:
     """All placeholders in order as array<struct<name,value>>; names in upper case."""
     names = F.regexp_extract_all(c, F.lit(C.PLACEHOLDER_PATTERN), F.lit(1))
@@ -24,16 +29,20 @@ def extract_placeholders(c: Column) -> Column:
 
 def mask_id_like(c: Column) -> Column:
     """Bracket tokens that look like an identifier become [ID_PRESENT]."""
-    return F.regexp_replace(c, C.ID_LIKE_PATTERN, " [ID_PRESENT] ")
+    return _if_bracket(c, F.regexp_replace(c, C.ID_LIKE_PATTERN, " [ID_PRESENT] "))
 
 
 def mask_leftover_ids(c: Column) -> Column:
     """Stricter form for model text: any digit in a bracket token is enough."""
-    return F.regexp_replace(c, C.LEFTOVER_ID_PATTERN, " [ID_PRESENT] ")
+    return _if_bracket(c, F.regexp_replace(c, C.LEFTOVER_ID_PATTERN, " [ID_PRESENT] "))
 
 
 def drop_label_words(c: Column) -> Column:
-    return F.regexp_replace(c, C.LABEL_WORD_PATTERN, " ")
+    lowered = F.lower(c)
+    possible = F.contains(lowered, F.lit("request_")) | F.contains(
+        lowered, F.lit("queries_related_")
+    )
+    return F.when(possible, F.regexp_replace(c, C.LABEL_WORD_PATTERN, " ")).otherwise(c)
 
 
 def remove_placeholders(c: Column, names: list[str] | None = None) -> Column:

@@ -18,7 +18,8 @@ def strip(c: Column) -> Column:
 
 def collapse(c: Column) -> Column:
     """Runs of ASCII white space to one space, none at the ends."""
-    return F.trim(F.regexp_replace(c, rf"[{ASCII_WS}]+", " "))
+    # Single spaces, by far the most frequent, don't match and needn't be replaced.
+    return F.trim(F.regexp_replace(c, rf"[{ASCII_WS}]{{2,}}|[\t-\r\x1c-\x1f]", " "))
 
 
 def clean_text(c: Column) -> Column:

@@ -26,14 +26,15 @@ MARK = "\ue000"
 class Rule:
     """A pattern for one entity type.
 
-    `needs` is a literal that every match contains; texts without it skip the regex.
+    `needs` are lower-case literals, one of which every match contains whatever its case;
+    texts with none of them skip the regex, and most texts do.
     `check` names an extra test on the matched value: "luhn" or "iban".
     """
 
     entity: str
     pattern: str
     score: float | None = None
-    needs: str | None = None
+    needs: tuple[str, ...] = ()
     check: str | None = None
 
 
@@ -46,7 +47,7 @@ _ID = r" *[#:.,-]? *[A-Za-z-]*[0-9][A-Za-z0-9-]*"
 
 # Order matters only for spans with the same start and score: the earlier rule wins.
 RULES: list[Rule] = [
-    Rule("EMAIL_ADDRESS", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", 1.0, needs="@"),
+    Rule("EMAIL_ADDRESS", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", 1.0, needs=("@",)),
     Rule(
         "CREDIT_CARD",
         r"\b[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}\b",
@@ -57,21 +58,26 @@ RULES: list[Rule] = [
     Rule("PHONE_NUMBER", r"\+?[0-9][0-9 ()-]{7,}[0-9]", 0.4),
     Rule("US_DRIVER_LICENSE", r"\b[A-Z][0-9]{6,14}\b", 0.3),
     Rule("US_BANK_NUMBER", r"\b[0-9]{8,17}\b", 0.05),
-    Rule("ORDER_ID", rf"(?i)\b(?:{_words(C.ORDER_WORDS)})\b{_ID}"),
-    Rule("INVOICE_NUMBER", rf"(?i)\b(?:{_words(C.INVOICE_WORDS)})\b{_ID}"),
-    Rule("BILL_NUMBER", rf"(?i)\b(?:{_words(C.BILL_WORDS)})\b{_ID}"),
-    Rule("ACCOUNT_TYPE", rf"(?i)\b(?:{_words(C.ACCOUNT_WORDS)}) account\b"),
-    Rule("GPE", rf"(?i)\b(?:{_words(C.PLACE_WORDS)})\b"),
-    Rule("STOP_ENTITY", rf"(?i)\b(?:{_words(C.STOP_WORDS)})\b"),
-    Rule("MONEY", r"\$[0-9]+(?:\.[0-9]{1,2})?", needs="$"),
+    Rule("ORDER_ID", rf"(?i)\b(?:{_words(C.ORDER_WORDS)})\b{_ID}", needs=tuple(C.ORDER_WORDS)),
+    Rule("INVOICE_NUMBER", rf"(?i)\b(?:{_words(C.INVOICE_WORDS)})\b{_ID}", needs=tuple(C.INVOICE_WORDS)),
+    Rule("BILL_NUMBER", rf"(?i)\b(?:{_words(C.BILL_WORDS)})\b{_ID}", needs=tuple(C.BILL_WORDS)),
+    Rule("ACCOUNT_TYPE", rf"(?i)\b(?:{_words(C.ACCOUNT_WORDS)}) account\b", needs=(" account",)),
+    Rule("GPE", rf"(?i)\b(?:{_words(C.PLACE_WORDS)})\b", needs=tuple(C.PLACE_WORDS)),
+    Rule("STOP_ENTITY", rf"(?i)\b(?:{_words(C.STOP_WORDS)})\b", needs=tuple(C.STOP_WORDS)),
+    Rule("MONEY", r"\$[0-9]+(?:\.[0-9]{1,2})?", needs=("$",)),
     Rule(
         "DATE",
-        rf"(?i)\b(?:(?:[0-9]+|{_words(C.NUMBER_WORDS)}) (?:months?|years?) ago"
-        r"|(?:last|this) month"
-        rf"|(?:{_words(C.MONTH_NAMES)})(?: (?:19|20)[0-9]{{2}})?"
-        r"|[0-9]{1,4}[/-][0-9]{1,2}[/-][0-9]{1,4}"
-        r"|(?:19|20)[0-9]{2})\b",
+        rf"(?i)\b(?:[0-9]+|{_words(C.NUMBER_WORDS)}) (?:months?|years?) ago\b",
+        needs=(" ago",),
     ),
+    Rule("DATE", r"(?i)\b(?:last|this) month\b", needs=("last month", "this month")),
+    Rule(
+        "DATE",
+        rf"(?i)\b(?:{_words(C.MONTH_NAMES)})(?: (?:19|20)[0-9]{{2}})?\b",
+        needs=tuple(C.MONTH_NAMES),
+    ),
+    Rule("DATE", r"\b[0-9]{1,4}[/-][0-9]{1,2}[/-][0-9]{1,4}\b", needs=("/", "-")),
+    Rule("DATE", r"\b(?:19|20)[0-9]{2}\b", needs=("19", "20")),
 ]
 
 
@@ -103,12 +109,19 @@ def _luhn_ok(value: Column) -> Column:
 CHECKS = {"luhn": _luhn_ok, "iban": _iban_ok}
 
 
-def _pieces(text: Column, pattern: Column, needs: str | None = None) -> Column:
+def _pieces(text: Column, pattern: Column) -> Column:
     """The text cut before and after each match: gap, match, gap, match, ..., gap."""
-    pieces = F.split(F.regexp_replace(text, pattern, F.lit(f"{MARK}$0{MARK}")), MARK)
-    if needs:
-        pieces = F.when(F.contains(text, F.lit(needs)), pieces).otherwise(F.array(text))
-    return pieces
+    return F.split(F.regexp_replace(text, pattern, F.lit(f"{MARK}$0{MARK}")), MARK)
+
+
+def _guarded_pieces(text: Column, lowered: Column, rule: Rule) -> Column:
+    pieces = _pieces(text, F.lit(rule.pattern))
+    if not rule.needs:
+        return pieces
+    possible = F.contains(lowered, F.lit(rule.needs[0]))
+    for literal in rule.needs[1:]:
+        possible = possible | F.contains(lowered, F.lit(literal))
+    return F.when(possible, pieces).otherwise(F.array())
 
 
 def _walk(pieces: Column, placeholder: Column, score: Column) -> Column:
@@ -156,7 +169,9 @@ def rule_spans(text: Column, rules: list[Rule]) -> Column:
     placeholders = [C.ENTITY_PLACEHOLDERS.get(r.entity, f"[{r.entity}]") for r in rules]
     placeholder_of = F.array(*map(F.lit, placeholders))
     score_of = F.array(*[F.lit(r.score).cast("double") for r in rules])
-    cut = F.array(*[_pieces(text, F.lit(r.pattern), r.needs) for r in rules])
+    cut = let(
+        F.lower(text), lambda low: F.array(*[_guarded_pieces(text, low, r) for r in rules])
+    )
     found = F.flatten(
         F.transform(cut, lambda p, i: _walk(p, F.get(placeholder_of, i), F.get(score_of, i)))
     )
@@ -256,7 +271,7 @@ def rewritten_text(text: Column, kept: Column) -> Column:
     last_end = F.coalesce(F.get(kept, F.size(kept) - 1)["end"], F.lit(0))
     tail = F.lower(F.trim(F.substr(text, last_end + 1)))
     pieces = F.filter(F.concat(F.flatten(parts), F.array(tail)), lambda p: p != "")
-    return F.lower(T.collapse(mask_id_like(F.array_join(pieces, " "))))
+    return F.lower(T.collapse(let(F.array_join(pieces, " "), mask_id_like)))
 
 
 def span_mappings(kept: Column) -> Column:

@@ -94,10 +94,10 @@ def model_text(text: Column, info: Column, keep_bins: bool = False) -> Column:
     )
     tokens = F.array_join(feature_tokens(info), " ")
     if keep_bins:
-        joined = F.concat_ws(" ", P.mask_leftover_ids(body), tokens)
+        masked = F.concat_ws(" ", let(body, P.mask_leftover_ids), tokens)
     else:
-        joined = P.mask_leftover_ids(F.concat_ws(" ", body, tokens))
-    return T.collapse(P.drop_label_words(joined))
+        masked = let(F.concat_ws(" ", body, tokens), P.mask_leftover_ids)
+    return T.collapse(let(masked, P.drop_label_words))
 
 
 def with_model_text(df: DataFrame, text_col: str = "text", keep_bins: bool = False) -> DataFrame:

@@ -39,11 +39,19 @@ def prepare(
     seed: int = C.SEED,
     exact: bool = False,
     keep_bins: bool = False,
+    folder: str | None = None,
 ) -> Prepared:
-    """Model text, conflicts, dedup by model text, group key, label ids and split."""
+    """Model text, conflicts, dedup by model text, group key, label ids and split.
+
+    The label ids need a pass over the rows of their own. With a `folder` (shared by all
+    executors) the rows are written there first, so that the text work is done once.
+    """
     modelled = model_rows(cleaned, keep_bins)
     unique = dedup.first_per_key(modelled, ["text_model"])
     grouped = features.with_group_key(unique, group_by)
+    if folder:
+        grouped.write.mode("overwrite").parquet(folder)
+        grouped = cleaned.sparkSession.read.parquet(folder)
     mapping = features.label_ids(grouped)
     encoded = features.encode_labels(grouped, mapping)
     split = splits.split_exact if exact else splits.split_by_group

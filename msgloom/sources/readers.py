@@ -74,6 +74,16 @@ def read_messages_csv(
     return df.na.drop(subset=["text", "label"])
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """The same rows over all cores when the files have fewer parts than there are cores.
+
+    A file of one row group is read by one task whatever its size, and costly text work
+    would stay there. Inputs with enough parts, as on a cluster, pass without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def alias_columns(df: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
     return df.withColumnsRenamed(ALIASES if aliases is None else aliases)
 
