@@ -617,13 +617,14 @@ SELECTS: dict[str, str] = {
     "leak_tokens": f"""select token from (select split, lower(unnest(regexp_extract_all(text_model, {q(C.PLACEHOLDER_PATTERN)}, 1))) as token from prepared)
         where regexp_matches(token, {q('|'.join(C.SUSPICIOUS_TOKEN_WORDS))})
         group by token having count(*) filter (split = 'train') > 0 and count(*) filter (split <> 'train') > 0""",
-    "text_conflicts": """select distinct text, text_model, label from modelled
-        where text_model in (select text_model from modelled group by text_model having count(distinct label) > 1)""",
+    "text_conflicts": """select text, text_model, label, count(*) as n from modelled
+        where text_model in (select text_model from modelled group by text_model having count(distinct label) > 1)
+        group by text, text_model, label""",
     "conflict_keys": "select text_model, count(distinct label) as n_labels from modelled group by text_model having count(distinct label) > 1",
     "collisions": """select text_model, n_unique_raw, cast(turn - 1 as integer) as pos, text_raw as example_raw
         from (select text_model, text_raw, row_number() over (partition by text_model order by min(row_seq)) as turn from modelled group by text_model, text_raw)
         join (select text_model, count(distinct text_raw) as n_unique_raw from modelled group by text_model
-              having count(distinct text_raw) > 1 order by n_unique_raw desc, text_model limit 200) using (text_model)
+              having count(distinct text_raw) > 1 order by n_unique_raw desc, min(row_seq) limit 200) using (text_model)
         where turn <= 10""",
     "collision_count": "select count(*) as n_collisions from (select text_model from modelled group by text_model having count(distinct text_raw) > 1)",
     "label_distribution": "select label, count(*) as n from messages where text is not null and label is not null group by label",

@@ -16,13 +16,12 @@ def _if_bracket(c: Column, changed: Column) -> Column:
 
 def extract_placeholders(c: Column) -> Column:
     """All placeholders in order as array<struct<name,value>>; names in upper case."""
-    names = F.regexp_extract_all(c, F.lit(C.PLACEHOLDER_PATTERN), F.lit(1))
-    values = F.regexp_extract_all(c, F.lit(C.PLACEHOLDER_PATTERN), F.lit(2))
-    return F.zip_with(
-        names,
-        values,
-        lambda n, v: F.struct(
-            F.upper(n).alias("name"), F.coalesce(v, F.lit("")).alias("value")
+    whole = F.regexp_extract_all(c, F.lit(C.PLACEHOLDER_PATTERN), F.lit(0))
+    return F.transform(
+        whole,
+        lambda p: F.struct(
+            F.upper(F.regexp_extract(p, C.PLACEHOLDER_PATTERN, 1)).alias("name"),
+            F.regexp_extract(p, C.PLACEHOLDER_PATTERN, 2).alias("value"),
         ),
     )
 

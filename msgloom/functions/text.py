@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from msgloom import constants as C
+from msgloom.functions.vectors import let
 
 WS = C.WHITESPACE
 ASCII_WS = C.ASCII_WHITESPACE
@@ -24,8 +25,18 @@ def collapse(c: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     """Drop URLs, blank out non-ASCII characters, collapse white space; null gives ''."""
-    no_urls = F.regexp_replace(F.coalesce(c, F.lit("")), rf"http[^{WS}]+", "")
-    return collapse(F.regexp_replace(no_urls, r"[^\x00-\x7F]", " "))
+
+    def drop_urls(t: Column) -> Column:
+        cut = F.regexp_replace(t, rf"http[^{WS}]+", "")
+        return F.when(F.contains(t, F.lit("http")), cut).otherwise(t)
+
+    def ascii_only(t: Column) -> Column:
+        # As many bytes as characters: nothing to replace.
+        blanked = F.regexp_replace(t, r"[^\x00-\x7F]", " ")
+        return F.when(F.octet_length(t) == F.length(t), t).otherwise(blanked)
+
+    whole = F.coalesce(c, F.lit(""))
+    return collapse(let(whole, lambda t: let(drop_urls(t), ascii_only)))
 
 
 def normalise_label(c: Column) -> Column:

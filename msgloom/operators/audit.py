@@ -20,20 +20,24 @@ def conflict_keys(df: DataFrame) -> DataFrame:
 
 
 def text_conflicts(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Distinct (text, text_model, label) of the model texts with more than one label.
+    """(text, text_model, label, n) of the model texts with more than one label; n counts
+    the rows.
 
     A hot model text is reduced to its distinct rows before the semi-join, which is salted.
     `limit` gives an example table of that size.
     """
     columns = [c for c in ("text", "text_model", "label") if c in df.columns]
-    rows = salted_join(
-        df.select(*columns).distinct(),
-        conflict_keys(df).select("text_model"),
-        ["text_model"],
-        columns,
-        "left_semi",
+    rows = df.groupBy(*columns).agg(F.count("*").alias("n"))
+    # Both sides of the join start from the same grouped rows, whose shuffle is reused. The
+    # sum over n, true for any conflict, keeps the optimizer from regrouping the input.
+    keys = (
+        rows.groupBy("text_model")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.sum("n").alias("total"))
+        .filter("low <> high and total > 1")
+        .select("text_model")
     )
-    return rows if limit is None else rows.orderBy(*columns).limit(limit)
+    found = salted_join(rows, keys, ["text_model"], columns, "left_semi")
+    return found if limit is None else found.orderBy(*columns).limit(limit)
 
 
 def collisions(
@@ -43,21 +47,23 @@ def collisions(
     examples: int = 10,
     order_by: str = "row_seq",
 ) -> DataFrame:
-    """Model texts made from more than one raw text: the `keys` largest, each with its
-    first `examples` raw texts.
+    """Model texts made from more than one raw text: the `keys` largest (on a tie the one
+    seen first), each with its first `examples` raw texts.
 
     Counts are over all rows. Only the wanted keys, at most `keys` of them, are joined
-    back, and each is cut to its examples before the shuffle.
+    back, and each is cut to its examples before the shuffle. The grouped pairs serve both
+    sides from one shuffle.
     """
     pairs = df.groupBy("text_model", F.col(raw_col).alias("text_raw")).agg(
         F.min(order_by).alias("first_seq")
     )
     wanted = (
         pairs.groupBy("text_model")
-        .agg(F.count("*").alias("n_unique_raw"))
+        .agg(F.count("*").alias("n_unique_raw"), F.min("first_seq").alias("seen"))
         .filter("n_unique_raw > 1")
-        .orderBy(F.desc("n_unique_raw"), "text_model")
+        .orderBy(F.desc("n_unique_raw"), "seen")
         .limit(keys)
+        .drop("seen")
     )
     turn = F.row_number().over(Window.partitionBy("text_model").orderBy("first_seq"))
     return (

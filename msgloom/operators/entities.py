@@ -110,8 +110,14 @@ CHECKS = {"luhn": _luhn_ok, "iban": _iban_ok}
 
 
 def _pieces(text: Column, pattern: Column) -> Column:
-    """The text cut before and after each match: gap, match, gap, match, ..., gap."""
-    return F.split(F.regexp_replace(text, pattern, F.lit(f"{MARK}$0{MARK}")), MARK)
+    """The text cut before and after each match: gap, match, gap, match, ..., gap; empty
+    when nothing matches."""
+    return let(
+        F.regexp_replace(text, pattern, F.lit(f"{MARK}$0{MARK}")),
+        lambda marked: F.when(
+            F.contains(marked, F.lit(MARK)), F.split(marked, MARK)
+        ).otherwise(F.array()),
+    )
 
 
 def _guarded_pieces(text: Column, lowered: Column, rule: Rule) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +22,6 @@ def with_model_spans(
     `load` runs once for each task and returns a function from a text to span dicts with
     start, end, ph, value and score. Texts arrive in Arrow batches.
     """
-    import pandas as pd
-
     @F.pandas_udf(SPANS)
     def detect(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         find = load()

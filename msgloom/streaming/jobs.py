@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from msgloom.functions import text as T
 from msgloom.operators import monitor, scoring, upsert
+from msgloom.sources.readers import spread
 
 BATCH = "batch_id"
 
@@ -46,13 +47,18 @@ def score_stream(
     checkpoint: str,
     ts_col: str | None = None,
     trigger: dict | None = None,
+    key: str = "row_seq",
 ) -> StreamingQuery:
     """Score and gate messages; all go to the log, those below their threshold also to the
     low-confidence log. Both come from one persisted micro-batch."""
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         ts = F.current_timestamp() if ts_col is None else F.col(ts_col)
-        scored = scoring.score_messages(batch, scorer, mapping, thresholds).persist()
+        rows = spread(batch, key)
+        scored = scoring.score_messages(rows, scorer, mapping, thresholds)
+        # Only what the two logs need is held.
+        needed = [key, "text", "intent", "confidence", "threshold", "slots"]
+        scored = scored.select(*needed, *([ts_col] if ts_col else [])).persist()
         try:
             write_batch(scoring.log_rows(scored, ts), logs_path, batch_id)
             write_batch(scoring.low_confidence_rows(scored, ts), low_conf_path, batch_id)
