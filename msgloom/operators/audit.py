@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from msgloom.functions import placeholders as P
-from msgloom.operators.bounded import salted_join
+from msgloom.operators.bounded import computed_once, salted_join
 from msgloom.operators.dedup import label_distribution
 
 
@@ -23,20 +23,24 @@ def text_conflicts(df: DataFrame, limit: int | None = None) -> DataFrame:
     """(text, text_model, label, n) of the model texts with more than one label; n counts
     the rows.
 
-    A hot model text is reduced to its distinct rows before the semi-join, which is salted.
+    A hot model text is reduced to its distinct rows before the join, which is salted.
     `limit` gives an example table of that size.
     """
     columns = [c for c in ("text", "text_model", "label") if c in df.columns]
+    # Both sides of the join start from the same grouped rows and share their shuffle. For
+    # that, filters inferred for one side must stay above the grouping (computed_once), and
+    # the other side must need n: the test on its sum holds for any conflict.
     rows = df.groupBy(*columns).agg(F.count("*").alias("n"))
-    # Both sides of the join start from the same grouped rows, whose shuffle is reused. The
-    # sum over n, true for any conflict, keeps the optimizer from regrouping the input.
+    rows = computed_once(rows, {"text_model": F.col("text_model")})
     keys = (
         rows.groupBy("text_model")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.sum("n").alias("total"))
         .filter("low <> high and total > 1")
         .select("text_model")
     )
-    found = salted_join(rows, keys, ["text_model"], columns, "left_semi")
+    # An inner join with unique keys: a semi-join would move below the grouping, and a hot
+    # row would then meet the join with all its copies.
+    found = salted_join(rows, keys, ["text_model"], columns).select(*columns, "n")
     return found if limit is None else found.orderBy(*columns).limit(limit)
 
 
@@ -57,6 +61,7 @@ def collisions(
     pairs = df.groupBy("text_model", F.col(raw_col).alias("text_raw")).agg(
         F.min(order_by).alias("first_seq")
     )
+    pairs = computed_once(pairs, {"text_model": F.col("text_model")})
     wanted = (
         pairs.groupBy("text_model")
         .agg(F.count("*").alias("n_unique_raw"), F.min("first_seq").alias("seen"))

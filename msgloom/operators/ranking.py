@@ -47,17 +47,18 @@ def with_rank(
 def smallest_n(df: DataFrame, n: int, bucket: Column, order_by: list[str | Column]) -> DataFrame:
     """The first n rows in the order (bucket, *order_by); n may be large.
 
-    Only rows of the one bucket in which the n-th row falls are ranked.
+    The bucket in which the n-th row falls is one number. Rows of lower buckets pass a
+    filter and aren't shuffled; only the rows of that one bucket are ranked.
     """
     work = df.withColumn("_bucket", bucket)
-    offsets = bucket_offsets(work, [])
-    wanted = offsets.filter(F.col("_before") < n).withColumn("_left", n - F.col("_before"))
-    rows = work.join(wanted.drop("_before"), "_bucket")
-    whole = rows.filter(F.col("_n") <= F.col("_left"))
+    reached = bucket_offsets(work, []).filter(F.col("_before") < n)
+    last = reached.agg(F.max("_bucket")).scalar()
+    left = n - reached.agg(F.max("_before")).scalar()
+    turn = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_by))
     cut = (
-        rows.filter(F.col("_n") > F.col("_left"))
-        .withColumn("_turn", F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_by)))
-        .filter(F.col("_turn") <= F.col("_left"))
+        work.filter(F.col("_bucket") == last)
+        .withColumn("_turn", turn)
+        .filter(F.col("_turn") <= left)
         .drop("_turn")
     )
-    return whole.unionByName(cut).drop("_bucket", "_n", "_left")
+    return work.filter(F.col("_bucket") < last).unionByName(cut).drop("_bucket")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from msgloom import constants as C
-from msgloom.operators.bounded import small
+from msgloom.operators.bounded import computed_once, small
 
 # Scores are put in buckets of equal width in log-odds, where softmax outputs spread out.
 # A class has at most 2 * ODDS_LIMIT * BUCKETS_PER_UNIT + 1 of them.
@@ -55,8 +55,9 @@ def class_thresholds(
             F.count("*").alias("n_all"),
             F.count_if(F.col("true_id") == F.col("id")).alias("n_pos"),
         )
-        .withColumn("bucket", _bucket(F.col("score")))
     )
+    # Both uses below share the shuffle of the counted points.
+    points = computed_once(points, {"id": F.col("id"), "bucket": _bucket(F.col("score"))})
     above = (
         Window.partitionBy("id")
         .orderBy(F.desc("bucket"))

@@ -51,32 +51,40 @@ def assign_ids(df: DataFrame, start: Column, order_by: str = "row_seq") -> DataF
     return ranked.withColumn("id", start + F.col("_rank")).drop("_rank")
 
 
-def upsert(target: DataFrame, staging: DataFrame, now: Column | None = None) -> DataFrame:
+def upsert(
+    target: DataFrame, staging: DataFrame, now: Column | None = None, dense_ids: bool = True
+) -> DataFrame:
     """The target after the load.
 
     Matched rows take the staged text and label if either differs; staged rows without a
     match get new ids in the order of row_seq; of several rows with one hash only the one
     with the highest id stays. `staging` must be unique by hash, as `stage` leaves it.
 
+    Consecutive ids need the unmatched rows found and numbered apart. dense_ids=False
+    takes the next id plus row_seq instead: unique and in order, with gaps, and the whole
+    load is one join.
+
     `action` tells what became of a row: kept, updated or inserted.
     """
     now = F.current_timestamp() if now is None else now
     target = backfill_hash(target)
-    newest = newest_per_hash(target)
-    t, s = newest.alias("t"), staging.alias("s")
-    hit = F.col("s.md5_hash").isNotNull()
-    changed = hit & _changed("t", "s")
-    kept = t.join(s, F.col("t.md5_hash") == F.col("s.md5_hash"), "left").select(
-        "t.id",
-        "t.text_raw",
-        *[F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in PAYLOAD],
-        "t.md5_hash",
-        "t.created_at",
-        F.when(changed, now).otherwise(F.col("t.updated_at")).alias("updated_at"),
-        F.when(changed, "updated").otherwise("kept").alias("action"),
-    )
+    t, s = newest_per_hash(target).alias("t"), staging.alias("s")
     # The highest id is one number, read once, however many rows use it.
     top_id = F.coalesce(target.agg(F.max("id")).scalar(), F.lit(0).cast("bigint"))
+    same_hash = F.col("t.md5_hash") == F.col("s.md5_hash")
+    staged, known = F.col("s.md5_hash").isNotNull(), F.col("t.id").isNotNull()
+    changed = staged & known & _changed("t", "s")
+    merged = t.join(s, same_hash, "left" if dense_ids else "full_outer").select(
+        F.coalesce("t.id", top_id + 1 + F.col("s.row_seq")).alias("id"),
+        F.coalesce("t.text_raw", "s.text_raw").alias("text_raw"),
+        *[F.when(staged, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in PAYLOAD],
+        F.coalesce("t.md5_hash", "s.md5_hash").alias("md5_hash"),
+        F.when(known, F.col("t.created_at")).otherwise(now).alias("created_at"),
+        F.when(changed, now).otherwise(F.col("t.updated_at")).alias("updated_at"),
+        F.when(~known, "inserted").when(changed, "updated").otherwise("kept").alias("action"),
+    )
+    if not dense_ids:
+        return merged
     new = assign_ids(unmatched(target, staging), top_id).select(
         "id",
         "text_raw",
@@ -86,7 +94,7 @@ def upsert(target: DataFrame, staging: DataFrame, now: Column | None = None) ->
         F.lit(None).cast("timestamp").alias("updated_at"),
         F.lit("inserted").alias("action"),
     )
-    return kept.unionByName(new)
+    return merged.unionByName(new)
 
 
 def upsert_summary(target: DataFrame, staging: DataFrame) -> DataFrame:

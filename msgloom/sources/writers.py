@@ -54,14 +54,10 @@ def write_encoded(df: DataFrame, path: str) -> None:
     df.select(*ENCODED_COLUMNS).write.mode("overwrite").partitionBy("split").parquet(path)
 
 
-def write_errors_by_label(
-    errors: DataFrame, path: str, true_col: str = "true", files_per_label: int = 8
-) -> None:
+def write_errors_by_label(errors: DataFrame, path: str, true_col: str = "true") -> None:
     """One folder of wrong predictions for each true label."""
-    key = export_key(F.col(true_col))
-    _spread(errors.withColumn("true_label", key), ["true_label"], files_per_label).write.mode(
-        "overwrite"
-    ).partitionBy("true_label").parquet(path)
+    rows = errors.withColumn("true_label", export_key(F.col(true_col)))
+    _write_folders(rows, path, ["true_label"])
 
 
 def write_errors_by_pair(
@@ -71,7 +67,6 @@ def write_errors_by_pair(
     k: int = 50,
     true_col: str = "true",
     pred_col: str = "pred",
-    files_per_pair: int = 8,
 ) -> None:
     """One folder of wrong predictions for each of the first k (true, pred, n) pairs."""
     wanted = (
@@ -82,15 +77,13 @@ def write_errors_by_pair(
     rows = errors.join(F.broadcast(wanted), [true_col, pred_col], "left_semi").withColumns(
         {"true_label": export_key(F.col(true_col)), "pred_label": export_key(F.col(pred_col))}
     )
-    _spread(rows, ["true_label", "pred_label"], files_per_pair).write.mode("overwrite").partitionBy(
-        "true_label", "pred_label"
-    ).parquet(path)
+    _write_folders(rows, path, ["true_label", "pred_label"])
 
 
-def _spread(df: DataFrame, keys: list[str], files: int) -> DataFrame:
-    """Rows of one folder over a few writers: neither one hot task nor a file per task."""
-    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c not in keys][:1]), F.lit(files))
-    return df.repartition(*keys, salt)
+def _write_folders(df: DataFrame, path: str, keys: list[str]) -> None:
+    # Rebalancing brings the rows of a folder together, and splits a folder too large for
+    # one writer.
+    df.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).parquet(path)
 
 
 def append_logs(logs: DataFrame, low_conf: DataFrame, logs_path: str, low_conf_path: str) -> None:

@@ -69,14 +69,18 @@ def score_stream(
 
 
 def daily_quality_stream(logs: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Streaming (day, intent, tp, fp, fn): one-day windows under a watermark."""
+    """Streaming (window_start, day, intent, tp, fp, fn): one-day windows under a watermark.
+
+    Windows start at midnight UTC. The day is that of the session's time zone, so away from
+    UTC a day is in two windows, which read_daily_quality adds up.
+    """
     windows = (
         monitor.intent_events(logs.withWatermark("ts", delay))
-        .groupBy(F.window("ts", "1 day"), "intent")
+        .groupBy(F.window("ts", "1 day"), F.to_date("ts").alias("day"), "intent")
         .agg(*monitor.count_outcomes())
     )
     return windows.select(
-        F.to_date("window.start").alias("day"), "intent", "tp", "fp", "fn"
+        F.col("window.start").alias("window_start"), "day", "intent", "tp", "fp", "fn"
     )
 
 
@@ -95,9 +99,12 @@ def write_daily_quality(
 
 def read_daily_quality(spark: SparkSession, path: str) -> DataFrame:
     """(day, intent, precision, recall) from the newest version of each window."""
-    turn = F.row_number().over(Window.partitionBy("day", "intent").orderBy(F.desc(BATCH)))
-    newest = read_batches(spark, path).withColumn("turn", turn).filter("turn = 1")
-    return monitor.with_precision_recall(newest).select("day", "intent", "precision", "recall")
+    window = Window.partitionBy("window_start", "day", "intent").orderBy(F.desc(BATCH))
+    newest = (
+        read_batches(spark, path).withColumn("turn", F.row_number().over(window)).filter("turn = 1")
+    )
+    counts = newest.groupBy("day", "intent").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")])
+    return monitor.with_precision_recall(counts).select("day", "intent", "precision", "recall")
 
 
 def first_seen(messages: DataFrame, ts_col: str = "ts", delay: str = "1 day") -> DataFrame:

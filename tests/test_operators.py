@@ -62,6 +62,12 @@ def test_upsert_is_idempotent(spark, tmp_path):
     assert loaded.select("id").distinct().count() == loaded.count()
     again = upsert.upsert(loaded, staging)
     assert again.filter("action <> 'kept'").count() == 0
+    sparse = upsert.upsert(target, staging, dense_ids=False)
+    assert sparse.select("id").distinct().count() == sparse.count()
+    columns = ["text_raw", "text", "label", "md5_hash", "action"]
+    dense = upsert.upsert(target, staging)
+    assert sparse.select(columns).exceptAll(dense.select(columns)).count() == 0
+    assert sparse.count() == dense.count()
 
 
 def test_upsert_edge_cases(spark):
@@ -312,10 +318,12 @@ def test_conflicts_and_collisions_with_a_hot_text(spark):
 
 def test_conflict_branches_share_a_shuffle(spark):
     df = spark.range(1000).selectExpr("id row_seq", "cast(id as string) text", "cast(id % 7 as string) text_model", "cast(id % 3 as string) label")
-    out = audit.text_conflicts(df)
-    out.collect()
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange" in plan
+    named = df.withColumnRenamed("text", "text_raw")
+    scores = df.selectExpr("cast(row_seq % 3 as int) true_id", "array(rand(1), 0.5d, 0.1d) probs")
+    mapping = spark.createDataFrame([(f"c{i}", i) for i in range(3)], "label string, id int")
+    for out in (audit.text_conflicts(df), audit.collisions(named), thresholds.class_thresholds(scores, mapping)):
+        out.collect()
+        assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_weights_check(spark):

@@ -31,6 +31,7 @@ def test_late_rows_are_left_out_in_append_mode(spark, tmp_path):
     schema = "ts timestamp, pred string, actual string, correct int"
     days = ["2024-01-01 10:00:00", "2024-01-05 10:00:00", "2024-01-02 10:00:00", "2024-01-09 10:00:00"]
     path = str(tmp_path / "in")
+    (tmp_path / "in").mkdir()
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
     frames = [spark.createDataFrame([(d, "a", "a", 1)], "ts string, pred string, actual string, correct int").withColumn("ts", F.col("ts").cast("timestamp")) for d in days]
     out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
