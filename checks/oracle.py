@@ -373,7 +373,7 @@ for _shift in (0, 1):
     CTES[f"best{_shift}"] = best_cte(_shift)
 
 CTES |= {
-    "limits": "select label, c.id, case when b.id is null then 0.75 else greatest(score, 0.0) end as threshold "
+    "limits": "select label, c.id as id, case when b.id is null then 0.75 else greatest(score, 0.0) end as threshold "
     "from classes c left join best1 b on c.id = b.id",
     "load_rows": "select row_seq, text as text_raw, lower(text) as text, label from messages",
     "state": """select doc_id * 2 as row_seq, toxic = 1 as relabel, quality = 0 as copied from labels
@@ -395,7 +395,7 @@ CTES |= {
     "turn_tokens": f"""select row_seq, unnest(t) as token, generate_subscripts(t, 1) as pos
         from (select row_seq, regexp_extract_all(lower(text), {q(TOKEN_PATTERN)}) as t from turn_rows)""",
     "vocab": """select token, count(*) as n, row_number() over (order by count(*) desc, token) + 3 as token_id
-        from turn_tokens group by token qualify token_id <= 503""",
+        from turn_tokens group by token qualify token_id <= 30003""",
     "body_ids": """select row_seq, list(coalesce(token_id, 1) order by pos) as ids
         from turn_tokens left join vocab using (token) where pos <= 62 group by row_seq""",
     "encoded": """select conv_id, turn, array_to_string(list_resize(full_ids, 64, 0), ',') as input_ids,
@@ -655,7 +655,7 @@ SELECTS: dict[str, str] = {
     "gated_predictions": """select row_seq, c.label as pred_label, round(confidence, 6) as confidence,
           round(coalesce(l.threshold, 0.80), 6) as threshold,
           case when confidence >= coalesce(l.threshold, 0.80) then c.label else 'other' end as intent
-        from preds join classes c on c.id = pred_id left join limits l on l.id = pred_id and l.id % 2 = 0""",
+        from preds join classes c on c.id = pred_id left join limits l on l.id = pred_id""",
     "prediction_table": """select row_seq, text, true_id, cast(pred_id as integer) as pred_id,
           case when true_id = 3 then 'INVALID_LABEL' else 'class_' || true_id end as "true",
           case when pred_id = 3 then 'INVALID_LABEL' else 'class_' || pred_id end as pred,

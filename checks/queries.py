@@ -320,14 +320,14 @@ def sample_weights(spark, sf_dir):
 @query
 def vocabulary(spark, sf_dir):
     turns = X.table(spark, sf_dir, "conversations")
-    return features.vocabulary(turns, "text", vocab_size=500)
+    return features.vocabulary(turns, "text")
 
 
 def _encoded(spark, sf_dir) -> DataFrame:
     turns = X.table(spark, sf_dir, "conversations").withColumn(
         "row_seq", F.concat_ws("-", "conv_id", "turn")
     )
-    vocab = features.vocabulary(turns, "text", vocab_size=500)
+    vocab = features.vocabulary(turns, "text")
     return features.encode_tokens(turns, vocab, "row_seq", "text")
 
 
@@ -521,8 +521,7 @@ def gated_predictions(spark, sf_dir):
     mapping = X.class_mapping(spark, sf_dir)
     named = metrics.with_label_names(df, mapping, {"pred_id": "pred_label"})
     limits = thresholds.class_thresholds(X.predictions(spark, sf_dir), mapping, 0.0)
-    only_even = limits.filter("id % 2 = 0")
-    return scoring.gate(named, only_even).select(
+    return scoring.gate(named, limits).select(
         "row_seq", "pred_label", r6("confidence").alias("confidence"),
         r6("threshold").alias("threshold"), "intent",
     )

@@ -242,9 +242,12 @@ def merge_spans(spans: Column) -> Column:
 
 def placeholder_piece(ph: Column, raw_value: Column) -> Column:
     """What a span becomes in the text, by the value policy of its placeholder."""
+    stripped = F.trim(F.coalesce(raw_value, F.lit("")))
     name = F.btrim(ph, F.lit("[]"))
-    value = F.trim(F.coalesce(raw_value, F.lit("")))
+    return let(stripped, lambda value: let(name, lambda n: _policy(ph, n, value)))
 
+
+def _policy(ph: Column, name: Column, value: Column) -> Column:
     def tagged(n: Column, tag: str, v: Column | None = None) -> Column:
         return F.concat(F.lit("["), n, F.lit(tag), *([v] if v is not None else []), F.lit("]"))
 
@@ -255,7 +258,7 @@ def placeholder_piece(ph: Column, raw_value: Column) -> Column:
         .when(name.isin(C.REFERENCE_PLACEHOLDERS + C.SENSITIVE_PLACEHOLDERS), tagged(name, "_PRESENCE"))
         .when(
             (name == "REFUND_AMOUNT") & amount.isNotNull(),
-            tagged(F.lit("REFUND_AMT_BIN"), "=", T.amount_bin(amount)),
+            tagged(F.lit("REFUND_AMT_BIN"), "=", let(amount, T.amount_bin)),
         )
         .when(name.isin("DATE", "DATE_TIME"), T.date_token(value))
         .otherwise(ph)
