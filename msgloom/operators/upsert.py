@@ -52,7 +52,11 @@ def assign_ids(df: DataFrame, start: Column, order_by: str = "row_seq") -> DataF
 
 
 def upsert(
-    target: DataFrame, staging: DataFrame, now: Column | None = None, dense_ids: bool = True
+    target: DataFrame,
+    staging: DataFrame,
+    now: Column | None = None,
+    dense_ids: bool = True,
+    top_id: Column | None = None,
 ) -> DataFrame:
     """The target after the load.
 
@@ -64,13 +68,17 @@ def upsert(
     takes the next id plus row_seq instead: unique and in order, with gaps, and the whole
     load is one join.
 
-    `action` tells what became of a row: kept, updated or inserted.
+    `top_id` is the highest id in use, where `target` is only the part of the table whose
+    hashes occur in the staging rows. `action` tells what became of a row: kept, updated or
+    inserted.
     """
     now = F.current_timestamp() if now is None else now
     target = backfill_hash(target)
     t, s = newest_per_hash(target).alias("t"), staging.alias("s")
     # The highest id is one number, read once, however many rows use it.
-    top_id = F.coalesce(target.agg(F.max("id")).scalar(), F.lit(0).cast("bigint"))
+    if top_id is None:
+        top_id = target.agg(F.max("id")).scalar()
+    top_id = F.coalesce(top_id, F.lit(0).cast("bigint"))
     same_hash = F.col("t.md5_hash") == F.col("s.md5_hash")
     staged, known = F.col("s.md5_hash").isNotNull(), F.col("t.id").isNotNull()
     changed = staged & known & _changed("t", "s")

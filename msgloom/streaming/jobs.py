@@ -130,34 +130,44 @@ def write_first_seen(
     )
 
 
-def current_messages(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """The message table kept by upsert_stream: the newest version of each hash."""
-    rows = read_batches(spark, path, before)
+def _newest_version(rows: DataFrame) -> DataFrame:
     turn = F.row_number().over(
         Window.partitionBy("md5_hash").orderBy(F.desc(BATCH), F.desc("id"))
     )
     return rows.withColumn("turn", turn).filter("turn = 1").drop("turn", BATCH)
 
 
+def current_messages(spark: SparkSession, path: str) -> DataFrame:
+    """The message table kept by upsert_stream: the newest version of each hash."""
+    rows = read_batches(spark, path)
+    unhashed = rows.filter("md5_hash is null").drop(BATCH)
+    return _newest_version(rows.filter("md5_hash is not null")).unionByName(unhashed)
+
+
 def upsert_stream(
     messages: DataFrame, target: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Upsert each micro-batch of cleaned messages (row_seq, text_raw, text, label).
 
-    A batch writes only the rows it inserts or changes; the table is the newest version of
-    each hash. The target goes in as batch -1, so its size is written once.
+    A batch reads only the rows of its own hashes and writes only the rows it inserts or
+    changes; the table is the newest version of each hash. The target goes in as batch -1,
+    so its size is written once.
     """
     spark = target.sparkSession
-    base = upsert.newest_per_hash(upsert.backfill_hash(target))
     if not _has_base(spark, path):
-        write_batch(base, path, -1)
+        write_batch(upsert.newest_per_hash(upsert.backfill_hash(target)), path, -1)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        staged = upsert.stage(batch)
-        now = current_messages(session, path, before=batch_id)
-        loaded = upsert.upsert(now, staged).filter("action <> 'kept'").drop("action")
-        write_batch(loaded, path, batch_id)
+        staged = upsert.stage(batch).persist()
+        try:
+            seen = read_batches(batch.sparkSession, path, before=batch_id)
+            # The batch is the small side: its hashes select rows of the table in place.
+            touched = seen.join(staged.select("md5_hash"), "md5_hash", "left_semi")
+            top_id = seen.agg(F.max("id")).scalar()
+            loaded = upsert.upsert(_newest_version(touched), staged, top_id=top_id)
+            write_batch(loaded.filter("action <> 'kept'").drop("action"), path, batch_id)
+        finally:
+            staged.unpersist()
 
     return _start(messages, checkpoint, each_batch, "append", trigger)
 

@@ -91,3 +91,25 @@ def test_upsert_stream(spark, tmp_path):
     last = written.agg(F.max("batch_id")).first()[0]
     assert jobs.current_messages(spark, out).count() == want.count()
     assert last == 0 or written.filter(F.col("batch_id") == last).count() == 0
+
+
+def test_upsert_stream_over_several_batches(spark, tmp_path):
+    """Later batches change and extend the table; ids stay unique and consecutive."""
+    schema = "row_seq long, text_raw string, text string, label string"
+    path = str(tmp_path / "in")
+    target = spark.createDataFrame(
+        [(5, "a", "a", "x", None), (6, "b", "b", "x", None), (7, None, "n", "x", None)],
+        "id long, text_raw string, text string, label string, md5_hash string",
+    ).withColumns({"created_at": F.current_timestamp(), "updated_at": F.lit(None).cast("timestamp")})
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    for rows in (
+        [(1, "a", "a", "y"), (2, "c", "c", "x")],
+        [(3, "c", "c", "z"), (4, "d", "d", "x"), (5, "b", "b", "x")],
+    ):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(schema).parquet(path)
+        jobs.upsert_stream(stream, target, out, cp).awaitTermination()
+    got = {(r["id"], r["text"], r["label"]) for r in jobs.current_messages(spark, out).collect()}
+    assert got == {(5, "a", "y"), (6, "b", "x"), (7, "n", "x"), (8, "c", "z"), (9, "d", "x")}
+    written = jobs.read_batches(spark, out).groupBy("batch_id").count()
+    assert {r["batch_id"]: r["count"] for r in written.collect()} == {-1: 3, 0: 2, 1: 2}
