@@ -5,6 +5,8 @@ Each function reads whole tables and keeps every row and every character of a te
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,31 +73,31 @@ def messages_raw(spark: SparkSession, sf_dir: str, stream: bool = False) -> Data
     depends on the text only, so equal texts stay equal. Order messages are short and often
     alike. Labels are uneven and four of the fourteen don't occur.
     """
+    from_doc, from_order, label = _message_columns(spark)
     docs = computed_once(table(spark, sf_dir, "documents", stream), {"n": H(F.col("text"))})
-    n = F.col("n")
-    short = template(n, F.lit("1.00"), n % 1000, n)
-    from_docs = docs.select(
-        (F.col("doc_id") * 2).alias("row_seq"),
-        F.timestamp_seconds(F.lit(1704067200) + n % 86400).alias("ts"),
-        F.when(n % 12 < 10, F.concat(short, F.lit(" "), "text")).otherwise(F.col("text")).alias("text"),
-    )
     draw = H(F.concat(F.lit("ord|"), "o_orderkey"))
-    orders = computed_once(table(spark, sf_dir, "orders", stream), {"m": draw})
-    m = F.col("m")
-    from_orders = orders.select(
-        (F.col("o_orderkey") * 2 + 1).alias("row_seq"),
-        F.timestamp_seconds(F.lit(1704067200) + m % 86400).alias("ts"),
-        template(
-            m, F.col("o_totalprice").cast("decimal(15,2)"), F.col("o_custkey"), F.col("o_orderkey")
-        ).alias("text"),
+    orders = computed_once(table(spark, sf_dir, "orders", stream), {"n": draw})
+    ts = F.timestamp_seconds(F.lit(1704067200) + F.col("n") % 86400).alias("ts")
+    both = docs.select((F.col("doc_id") * 2).alias("row_seq"), ts, from_doc.alias("text")).unionByName(
+        orders.select((F.col("o_orderkey") * 2 + 1).alias("row_seq"), ts, from_order.alias("text"))
     )
-    both = from_docs.unionByName(from_orders)
-    k = H(F.concat(F.lit("lab|"), "row_seq")) % 14
-    label = let(k, lambda k: pick(C.INTENT_LABELS, F.floor(k * k / 14)))
     messages = computed_once(both, {"text": F.col("text"), "label": label})
     return messages if stream else readers.spread(messages, "row_seq")
 
 
+@lru_cache(maxsize=4)
+def _message_columns(session: SparkSession) -> tuple[Column, Column, Column]:
+    """Text of a document's message, text of an order's message, label of either."""
+    n = F.col("n")
+    short = template(n, F.lit("1.00"), n % 1000, n)
+    from_doc = F.when(n % 12 < 10, F.concat(short, F.lit(" "), "text")).otherwise(F.col("text"))
+    price = F.col("o_totalprice").cast("decimal(15,2)")
+    from_order = template(n, price, F.col("o_custkey"), F.col("o_orderkey"))
+    k = H(F.concat(F.lit("lab|"), "row_seq")) % 14
+    label = let(k, lambda k: pick(C.INTENT_LABELS, F.floor(k * k / 14)))
+    return from_doc, from_order, label
+
+
 def upsert_rows(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Cleaned-like rows to load: (row_seq, text_raw, text, label)."""
     return messages_raw(spark, sf_dir, stream).select(

@@ -360,13 +360,17 @@ def dedup_counts(spark, sf_dir):
     return dedup.dedup_counts(X.messages_raw(spark, sf_dir), ["text"])
 
 
-def _staging(spark, sf_dir) -> DataFrame:
-    return upsert.stage(X.upsert_rows(spark, sf_dir))
+def _tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Message table and staging rows as stored tables, as a load finds them."""
+    folder = workspace.new_folder(spark, "upsert")
+    X.upsert_target(spark, sf_dir).write.parquet(f"{folder}/messages")
+    upsert.stage(X.upsert_rows(spark, sf_dir)).write.parquet(f"{folder}/staging")
+    return spark.read.parquet(f"{folder}/messages"), spark.read.parquet(f"{folder}/staging")
 
 
 @query
 def upsert_result(spark, sf_dir):
-    result = upsert.upsert(X.upsert_target(spark, sf_dir), _staging(spark, sf_dir))
+    result = upsert.upsert(*_tables(spark, sf_dir))
     return result.select(
         "id", "md5_hash", "text", "label", "action",
         F.col("updated_at").isNotNull().alias("was_updated"),
@@ -375,7 +379,7 @@ def upsert_result(spark, sf_dir):
 
 @query
 def upsert_summary(spark, sf_dir):
-    return upsert.upsert_summary(X.upsert_target(spark, sf_dir), _staging(spark, sf_dir))
+    return upsert.upsert_summary(X.upsert_target(spark, sf_dir), upsert.stage(X.upsert_rows(spark, sf_dir)))
 
 
 @query

@@ -8,8 +8,9 @@ from the lengths of the pieces, its position.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from msgloom import constants as C
@@ -192,6 +193,12 @@ def rule_spans(text: Column, rules: list[Rule]) -> Column:
     return F.filter(found, holds) if checks else found
 
 
+@lru_cache(maxsize=16)
+def rule_spans_of(session: SparkSession, text_col: str, rules: tuple[Rule, ...]) -> Column:
+    """rule_spans of a column by name; building it takes longer than planning it."""
+    return rule_spans(F.col(text_col), list(rules))
+
+
 def with_spans(
     df: DataFrame,
     text_col: str = "text_clean",
@@ -200,7 +207,7 @@ def with_spans(
     output: str = "spans",
 ) -> DataFrame:
     """Add all spans of all rules, then those of the `extra_spans` columns (same type)."""
-    spans = rule_spans(F.col(text_col), RULES if rules is None else rules)
+    spans = rule_spans_of(df.sparkSession, text_col, tuple(RULES if rules is None else rules))
     extra = [F.coalesce(F.col(c), F.array().cast(SPANS)).cast(SPANS) for c in extra_spans or []]
     return df.withColumn(output, F.concat(spans, *extra) if extra else spans)
 
@@ -299,6 +306,16 @@ def span_mappings(kept: Column) -> Column:
     )
 
 
+@lru_cache(maxsize=4)
+def _derived_columns(session: SparkSession) -> dict[str, Column]:
+    """`text` and `mappings` from text_clean, spans and kept."""
+    # A text without any span, stop words included, is lower-cased and nothing more.
+    text = F.when(F.size("spans") == 0, F.lower("text_clean")).otherwise(
+        rewritten_text(F.col("text_clean"), F.col("kept"))
+    )
+    return {"text": text, "mappings": span_mappings(F.col("kept"))}
+
+
 def normalise_placeholders(
     df: DataFrame,
     text_col: str = "text_raw",
@@ -313,11 +330,7 @@ def normalise_placeholders(
     work = df.withColumn("text_clean", T.clean_text(F.col(text_col)))
     work = with_spans(work, "text_clean", rules, extra_spans)
     work = work.withColumn("kept", merge_spans(F.col("spans")))
-    # A text without any span, stop words included, is lower-cased and nothing more.
-    text = F.when(F.size("spans") == 0, F.lower("text_clean")).otherwise(
-        rewritten_text(F.col("text_clean"), F.col("kept"))
-    )
-    derived = {"text": text, "mappings": span_mappings(F.col("kept"))}
+    derived = _derived_columns(df.sparkSession)
     dropped = [] if keep_spans else ["text_clean", "spans", "kept"]
     return computed_once(work, derived, drop=dropped)
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import lru_cache
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from msgloom import constants as C
@@ -102,11 +104,17 @@ def model_text(text: Column, info: Column, keep_bins: bool = False) -> Column:
 
 def with_model_text(df: DataFrame, text_col: str = "text", keep_bins: bool = False) -> DataFrame:
     """Add `ph_info` and `text_model`."""
-    work = df.withColumn("ph_info", placeholder_info(F.col(text_col)))
-    text = model_text(F.col(text_col), F.col("ph_info"), keep_bins)
+    info, text = _model_columns(df.sparkSession, text_col, keep_bins)
+    work = df.withColumn("ph_info", info)
     return computed_once(work, {"ph_info": F.col("ph_info"), "text_model": text})
 
 
+@lru_cache(maxsize=8)
+def _model_columns(session: SparkSession, text_col: str, keep_bins: bool) -> tuple[Column, Column]:
+    text = F.col(text_col)
+    return placeholder_info(text), model_text(text, F.col("ph_info"), keep_bins)
+
+
 def flatten_flags(df: DataFrame) -> DataFrame:
     """Flags and account type of `ph_info` as columns of their own."""
     return df.select(

@@ -81,7 +81,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     would stay there. Inputs with enough parts, as on a cluster, pass without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    parts = df.select(F.lit(1)).rdd.getNumPartitions()
+    return df.repartition(2 * cores, key) if parts < cores else df
 
 
 def alias_columns(df: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
