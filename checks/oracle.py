@@ -570,7 +570,7 @@ SELECTS: dict[str, str] = {
     "model_text": "select row_seq, text_model from modelled",
     "model_text_bins": f"select row_seq, {collapse(sub(_BIN_MODEL, C.LABEL_WORD_PATTERN, ' '))} as text_model from bodied",
     "group_keys": "select row_seq, entity_key, presence_key from grouped",
-    "label_ids": "select label, dense_rank() over (order by label) - 1 as id from (select distinct label from messages)",
+    "label_ids": "select label, cast(dense_rank() over (order by label) - 1 as integer) as id from (select distinct label from messages)",
     "encoded_labels": "select row_seq, label, cast(dense_rank() over (order by label) - 1 as integer) as encoded_label from messages",
     "class_weights": """select label, n, round(sum(n) over () / ((count(*) over ()) * n)::double, 6) as weight
         from (select label, count(*) as n from messages group by label)""",

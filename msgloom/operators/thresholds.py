@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from msgloom import constants as C
-from msgloom.operators.bounded import computed_once, small
+from msgloom.operators.bounded import bounded, computed_once, small
 
 # Scores are put in buckets of equal width in log-odds, where softmax outputs spread out.
 # A class has at most 2 * ODDS_LIMIT * BUCKETS_PER_UNIT + 1 of them.
@@ -125,4 +125,4 @@ def class_thresholds(
 def thresholds_json(thresholds: DataFrame) -> DataFrame:
     """One row: the thresholds as one JSON object {label: threshold}."""
     pairs = F.sort_array(F.collect_list(F.struct("label", "threshold")))
-    return thresholds.agg(F.to_json(F.map_from_entries(pairs)).alias("thresholds"))
+    return bounded(thresholds, what="thresholds").agg(F.to_json(F.map_from_entries(pairs)).alias("thresholds"))

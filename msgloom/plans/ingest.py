@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from msgloom.functions import text as T
 from msgloom.operators import dedup, entities, features, upsert
-from msgloom.sources import readers
+from msgloom.schema import MESSAGES
+from msgloom.sources import readers, workspace
 
 
 def clean_messages(raw: DataFrame, **options) -> DataFrame:
@@ -29,6 +30,33 @@ def load_messages(target: DataFrame, cleaned: DataFrame) -> tuple[DataFrame, Dat
     return upsert.upsert(target, staging), upsert.upsert_summary(target, staging)
 
 
+def message_version(spark: SparkSession, base: str, version: int) -> DataFrame:
+    """One version of the message table; version 0 is the empty table."""
+    if version == 0:
+        return spark.createDataFrame([], MESSAGES)
+    return spark.read.schema(MESSAGES).parquet(f"{base}/version={version}")
+
+
+def load_version(
+    spark: SparkSession, base: str, cleaned: DataFrame, version: int, dry_run: bool = False
+) -> DataFrame:
+    """Load cleaned rows into version - 1 of the table and write `version`; gives the summary.
+
+    The old version stays as it is, so readers go on with it until they are given the new
+    number, and a load that failed is simply run again. A dry run writes no version. The
+    staging rows are written once to the shared folder, as the load reads them several
+    times.
+    """
+    readers.require_columns(cleaned, ["text", "label", "text_raw"])
+    folder = workspace.new_folder(spark, "staging")
+    upsert.stage(cleaned).select("row_seq", "text_raw", "text", "label", "md5_hash").write.parquet(folder)
+    staging, target = spark.read.parquet(folder), message_version(spark, base, version - 1)
+    if not dry_run:
+        loaded = upsert.upsert(target, staging).select(*MESSAGES.fieldNames())
+        loaded.write.mode("overwrite").parquet(f"{base}/version={version}")
+    return upsert.upsert_summary(target, staging)
+
+
 def load_report(cleaned: DataFrame) -> DataFrame:
     """Raw texts that occur more than once in the rows to load."""
     return dedup.duplicate_report(cleaned, ["text_raw"])

@@ -149,3 +149,18 @@ def test_spread(spark):
     assert readers.spread(one, "id").rdd.getNumPartitions() == 2 * cores
     many = spark.range(0, 10, 1, 64)
     assert readers.spread(many, "id") is many
+
+
+def test_table_versions(spark, tmp_path):
+    base = str(tmp_path / "messages")
+    first = spark.createDataFrame([(1, "Order ORD-1", "review"), (2, "Order ORD-1", "complaint"), (3, "hi", "review")], "row_seq long, text string, label string")
+    second = spark.createDataFrame([(4, "hi", "complaint"), (5, "new", "review")], "row_seq long, text string, label string")
+    dry = ingest.load_version(spark, base, ingest.clean_messages(first), 1, dry_run=True).first()
+    assert dry[:] == (0, 2, 0) and not (tmp_path / "messages").exists()
+    assert ingest.load_version(spark, base, ingest.clean_messages(first), 1).first()[:] == (0, 2, 0)
+    assert ingest.load_version(spark, base, ingest.clean_messages(first), 2).first()[:] == (0, 0, 0)
+    assert ingest.load_version(spark, base, ingest.clean_messages(second), 3).first()[:] == (1, 1, 0)
+    rows = {(r["id"], r["text"], r["label"]) for r in ingest.message_version(spark, base, 3).collect()}
+    assert rows == {(1, "[order_id_presence]", "review"), (2, "hi", "complaint"), (3, "new", "review")}
+    assert ingest.load_report(ingest.clean_messages(first)).first()["n"] == 2
+    assert ingest.message_version(spark, base, 1).count() == 2
