@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from msgloom import constants as C
 from msgloom.functions.vectors import let
 from msgloom.operators.bounded import salted_join
-from msgloom.operators.entities import match_spans
+from msgloom.operators.entities import match_spans, placeholder_for
 from msgloom.schema import SPANS
 
 WORD_BREAK = r"[^a-z0-9#_-]+"
@@ -85,18 +84,20 @@ def with_gazetteer_spans(
             F.regexp_replace(k["phrase"], r"([^a-z0-9 ])", r"\\$1"), " ", "[^A-Za-z0-9#_-]+"
         ),
     )
-    pattern = F.concat(F.lit(r"(?i)\b(?:"), F.array_join(escaped, "|"), F.lit(r")\b"))
+    # A match starts and ends where a word does, as the words above are cut.
+    pattern = F.concat(
+        F.lit("(?i)(?<![a-z0-9#_-])(?:"), F.array_join(escaped, "|"), F.lit(")(?![a-z0-9#_-])")
+    )
     names = F.map_from_entries(
         F.transform(F.col("_known"), lambda k: F.struct(k["phrase"], k["entity"]))
     )
-    placeholders = F.create_map(*[F.lit(x) for p in C.ENTITY_PLACEHOLDERS.items() for x in p])
 
     def typed(span: Column) -> Column:
         entity = names[F.array_join(_words(span["value"]), " ")]
         return F.struct(
             span["start"].alias("start"),
             span["end"].alias("end"),
-            placeholders[entity].alias("ph"),
+            placeholder_for(entity, keep_unknown=False).alias("ph"),
             span["value"].alias("value"),
             span["score"].alias("score"),
         )

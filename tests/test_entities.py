@@ -105,7 +105,7 @@ def test_placeholder_for_unknown_type(spark):
 
 def test_gazetteer_small_and_large(spark):
     df = spark.createDataFrame(
-        [(1, "ask Ada Lovelace or ada"), (2, "New York City and york"), (3, "nobody")],
+        [(1, "ask Ada Lovelace or ada"), (2, "New York City and york"), (3, "nobody"), (4, "ada-x or #ada, ADA")],
         "row_seq long, text_clean string",
     )
     known = spark.createDataFrame(
@@ -122,6 +122,7 @@ def test_gazetteer_small_and_large(spark):
             1: [(4, "Ada Lovelace", "[PERSON_NAME]"), (20, "ada", "[PERSON_NAME]")],
             2: [(0, "New York", "[DELIVERY_LOCATION]")],
             3: [],
+            4: [(15, "ADA", "[PERSON_NAME]")],
         }
 
 
