@@ -54,7 +54,7 @@ def write_file(path: str, chunks, attempt: int = 0) -> None:
     store, name = file_system(path)
     store.create_dir(name.rpartition("/")[0], recursive=True)
     part = f"{name}.{attempt}.part"
-    with store.open_output_stream(part) as out:
+    with store.open_output_stream(part, compression=None) as out:
         for chunk in chunks:
             out.write(chunk)
     store.move(part, name)

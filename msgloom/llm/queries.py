@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from msgloom.llm import decontaminate, mixing, simhash, tokens, toxicity
+from msgloom.llm import credentials, decontaminate, licenses, mixing, pii, quality, simhash, tokens, toxicity, warc
 from msgloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +48,28 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))

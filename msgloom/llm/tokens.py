@@ -129,7 +129,7 @@ class ShardWriter:
         self.store, path = file_system(f"{folder}/{name}")
         self.store.create_dir(path.rpartition("/")[0], recursive=True)
         self.path, self.part = path, f"{path}.{attempt}.part"
-        self.out = self.store.open_output_stream(self.part)
+        self.out = self.store.open_output_stream(self.part, compression=None)
         self.waiting: list[np.ndarray] = []
         self.n_waiting = self.n_ids = self.at = 0
         self.docs: list[tuple[int, int, int]] = []
