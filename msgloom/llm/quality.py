@@ -27,8 +27,8 @@ REACH = 3
 #: measure -> (slack below, slack above): least distance of a fence from the quartile; None: no fence
 SLACK = {
     "symbols": (None, 300),
-    "dup_lines": (None, 2000),
-    "repeats": (None, 1500),
+    "dup_lines": (None, 5000),
+    "repeats": (None, 3000),
     "mean_length": (150, 400),
 }
 
