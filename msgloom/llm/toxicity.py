@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 
 from msgloom.llm.common import stored
 
-ORDERS = (3, 4, 5)
+ORDERS = (4, 6)
 BITS = 21
 #: Labelled rows of each class that the classifier is fitted on, those with the smallest hashes.
-TRAIN_ROWS = 4_000
-FEATURES = 20_000
+TRAIN_ROWS = 3_000
+FEATURES = 4_000
 MIN_TEXTS = 3
 SMOOTHING = 1.0
 PENALTY = 1e-3
@@ -97,9 +97,9 @@ class Presence:
 
 def _fit(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, steps: int = 300) -> tuple[np.ndarray, float]:
     """Logistic regression on presence times ratio, by gradient steps with adaptive moments."""
-    index = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    value = ratio[index]
+    index = np.concatenate(rows) if rows else np.zeros(0, np.int16)
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    value = ratio[index].astype(np.float32)
     w, b = np.zeros(len(ratio)), 0.0
     first, second, base_first, base_second = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
@@ -139,12 +139,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, features:
     def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         find = Presence(slots)
         for batch in batches:
-            yield pd.DataFrame({"label": batch["label"], "held": [find(t).tolist() for t in batch["text"]]})
-
-    held = spread.mapInPandas(present, "label int, held array<int>").toPandas()
-    held["key"] = [tuple(h) for h in held["held"]]
-    held = held.sort_values(["label", "key"])  # sums in one order, whatever task came first
-    lists = [np.array(h, np.int64) for h in held["held"]]
+            held = [find(t).astype("<i2").tobytes() for t in batch["text"]]
+            yield pd.DataFrame({"label": batch["label"], "held": held})
+
+    if features > 1 << 15:
+        raise ValueError("feature numbers have 16 bits")
+    held = spread.mapInPandas(present, "label int, held binary").toPandas()
+    held = held.sort_values(["label", "held"])  # sums in one order, whatever task came first
+    lists = [np.frombuffer(h, "<i2") for h in held["held"]]
     w, base = _fit(lists, held["label"].to_numpy(), ratio)
     return Model(slots, (w * ratio).astype(np.float64), base)
 

@@ -1,0 +1,513 @@
+"""Each operator against a brute-force version on small tables with awkward rows."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+pytest.importorskip("msgloom.llm")
+
+import corpus_pipeline  # noqa: E402
+from msgloom.llm import (  # noqa: E402
+    credentials,
+    decontaminate,
+    licenses,
+    mixing,
+    pii,
+    quality,
+    simhash,
+    tokens,
+    toxicity,
+    warc,
+)
+from msgloom.llm.queries import word_bpe  # noqa: E402
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+rng = random.Random(7)
+WORDS = [rng.choice("bcdfglmnprst") + rng.choice("aeiou") + rng.choice("dlmnrst") + rng.choice(["", "a", "en", "ing"]) for _ in range(300)]
+
+
+def prose(n: int, seed: int) -> str:
+    own = random.Random(seed)
+    return " ".join(own.choice(WORDS) for _ in range(n))
+
+
+def awkward() -> list[tuple]:
+    """Null and empty texts, ties, repeated rows, null ids, a very long text."""
+    texts = {i: prose(30 + i, i) for i in range(1, 30)}
+    texts |= {40: None, 41: "", 42: " \n\t ", 43: "É ÉCOLE ßtraße ©", 44: prose(20_000, 44), 45: "one", 46: "a b"}
+    texts |= {50: texts[3], 51: texts[3] + " extra", 52: "a\x1cb   c d <|endoftext|> é"}
+    rows = [(i, t, ["en", "fr", None][i % 3], ["s0", "s0", "s1", None][i % 4], 0) for i, t in texts.items()]
+    return [*rows, rows[4], rows[4], (None, prose(40, 99), "en", "s0", 0), (7, "other text of a known id", "en", "s1", 0)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(awkward(), SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def order(rows):
+    return sorted(rows, key=lambda r: tuple((v is not None, str(v)) for v in r))
+
+
+def test_simhash_fingerprints_and_components(docs, empty):
+    xxhash = pytest.importorskip("xxhash")
+    got = rows_of(simhash.near_duplicates(docs))
+    rows = awkward()
+    prints = []
+    for r in rows:
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in r[1] or "")
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", low) if w]
+        runs = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+        hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in runs]
+        prints.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(runs)))
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 3:
+                parent[find(i)] = find(j)
+    least = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            least[find(i)] = min(least.get(find(i), r[0]), r[0])
+    want = [(r[0], f"{prints[i]:016x}", least.get(find(i))) for i, r in enumerate(rows)]
+    assert order(got) == order(want)
+    assert rows_of(simhash.near_duplicates(empty)) == []
+
+
+def test_simhash_links_by_brute_force(spark):
+    own = random.Random(3)
+    centers = [own.getrandbits(64) for _ in range(20)]
+    values = {c ^ sum(1 << b for b in own.sample(range(64), own.randint(0, 4))) for c in centers for _ in range(20)}
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    nodes = spark.createDataFrame([(signed(v),) for v in values], "fp long")
+    got = {frozenset(r) for r in rows_of(simhash.links(nodes))}
+    want = {frozenset((signed(a), signed(b))) for a in values for b in values if a < b and (a ^ b).bit_count() <= 3}
+    assert got == want and len(want) > 100
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(-5, -4)]
+    got = dict(rows_of(simhash.components(spark.createDataFrame(edges, "a long, b long"))))
+    assert all(got[i] == 0 for i in range(1, 61)) and all(got[100 + i] == 100 for i in range(1, 40)) and got[-4] == -5
+
+
+def test_one_document_of_each_group_stays(docs):
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    ids = [r[0] for r in rows_of(kept)]
+    assert ids.count(None) == 1 and ids.count(3) == 1 and 50 not in ids and len(set(ids)) == len(ids)
+
+
+def brute_contamination(rows, items, window=10):
+    find = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    words = lambda t: find.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        m = min(window, len(w))
+        for j in range(len(w) - m + 1) if w else ():
+            windows.setdefault(tuple(w[j : j + m]), set()).add(item)
+    out = []
+    for r in rows:
+        w, hit, names = words(r[1]), set(), set()
+        for m in {len(x) for x in windows}:
+            for j in range(len(w) - m + 1):
+                if (found := windows.get(tuple(w[j : j + m]))) is not None:
+                    hit |= set(range(j, j + m))
+                    names |= found - {None}
+        digest = hashlib.sha256(",".join(sorted(map(str, names))).encode()).hexdigest()
+        out.append((r[0], len(w), len(hit), len(names), digest, bool(hit)))
+    return out
+
+
+def test_decontamination_finds_every_window(spark, empty):
+    base = prose(60, 1).split()
+    items = [
+        (1, " ".join(base[:25])), (10, "Tiny item"), (2, " ".join(base[20:40])), (3, None), (4, "..."), (5, "word"),
+        (None, " ".join(base[45:57])), (6, "na " * 14), (2, " ".join(base[20:40])), (7, "Été déjà là six mots ici"),
+    ]
+    texts = awkward() + [
+        (200, " ".join(base), "en", "s", 0),
+        (201, prose(15, 2) + " " + ", ".join(base[5:15]).upper() + " " + prose(5, 3), "en", "s", 0),
+        (202, " ".join(base[5:14]), "en", "s", 0),
+        (203, "x tiny ITEM! y tiny-item word", "en", "s", 0),
+        (204, "na " * 40, "en", "s", 0),
+        (205, "ÉTÉ déjà là six mots ici; été déjà là six mots ici", "en", "s", 0),
+    ]
+    docs = spark.createDataFrame(texts, SCHEMA)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = rows_of(decontaminate.contamination(docs, table).drop("text_hash"))
+    want = brute_contamination(texts, items)
+    assert order(got) == order(want)
+    kept = decontaminate.clean(docs, table)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, (r[0] for r in rows_of(kept)))) == sorted(str(r[0]) for r in want if not r[5])
+    assert rows_of(decontaminate.contamination(empty, table)) == []
+    none = decontaminate.contamination(docs, table.limit(0))
+    assert none.filter("contaminated").count() == 0 and none.count() == len(texts)
+
+
+def test_mix_by_brute_force(docs, empty):
+    got = rows_of(mixing.mix(docs))
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    rows = awkward()
+    sums = {}
+    for r in rows:
+        sums[r[3]] = sums.get(r[3], 0) + size(r[1])
+    names = sorted((s for s in sums if s is not None)) + ([None] if None in sums else [])
+    weight = {s: i % 3 + 1 for i, s in enumerate(names)}
+    target, open_, left = {}, set(names), float(sum(sums.values()))
+    while True:
+        level = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if weight[s] * level > 3 * sums[s]}
+        if not full:
+            break
+        target |= {s: 3.0 * sums[s] for s in full}
+        open_ -= full
+        left -= sum(target[s] for s in full)
+    target |= {s: weight[s] * level for s in open_}
+    known = [(r[0], size(r[1]), sums[r[3]], r[3]) for r in rows]
+    assert order((a, b, c) for a, b, c, _, _ in got) == order((a, b, c) for a, b, c, _ in known)
+    by_size = {v: s for s, v in sums.items()}
+    taken = {}
+    for _, n, total, goal, took in got:
+        assert goal == pytest.approx(target[by_size[total]]) and 0 <= took <= 3 * n and (n == 0 or took % n == 0)
+        taken[by_size[total]] = taken.get(by_size[total], 0) + took
+    for s in names:
+        longest = max(k[1] for k in known if k[3] == s)
+        assert abs(taken[s] - target[s]) <= longest
+    assert rows_of(mixing.mix(empty)) == []
+    again = mixing.mixed(docs)
+    assert again.columns == docs.columns
+    assert sum(size(r[1]) for r in rows_of(again)) == sum(taken.values())
+
+
+def test_id_files_round_trip(spark, docs, empty):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(word_bpe())
+    rows = sorted(awkward(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    at, want = 0, []
+    for r in rows:
+        ids = plain.encode(r[1] or "", add_special_tokens=False).ids + [1]
+        want.append((r[0], at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    got = sorted(rows_of(tokens.token_files(docs, word_bpe())), key=lambda r: r[1])
+    assert got == want
+    assert rows_of(tokens.token_files(empty, word_bpe())) == []
+
+
+def test_blocks_round_trip():
+    own = np.random.default_rng(1)
+    for ids in (
+        own.integers(0, 50_000, 10 * tokens.BLOCK), np.full(tokens.BLOCK, 7), own.zipf(1.3, 40 * tokens.BLOCK) % 2**32,
+        np.where(own.random(tokens.BLOCK * 5) < 0.01, 2**32 - 1, 3),
+    ):
+        ids = ids.astype("<u4")
+        least, width, payloads, counts, position, values = tokens.pack_blocks(ids)
+        sizes = np.array([len(p) for p in payloads])
+        raw = np.frombuffer(b"".join(payloads), np.uint8)
+        back = tokens.unpack_blocks(raw, np.cumsum(sizes) - sizes, least, width, counts, position, values)
+        assert (back == ids).all()
+
+
+def test_encoder_memo_keeps_ids():
+    encoder = tokens.Encoder(word_bpe())
+    own = random.Random(5)
+    letters = "abcXYZ0189 .,'’\t\n éÉßﬁΣς́中文😀<|endoftext|>-_"
+    for _ in range(300):
+        text = "".join(own.choice(letters) for _ in range(own.randint(0, 60)))
+        assert encoder(text).tolist() == encoder.plain(text).tolist(), text
+
+
+def test_toxicity_learns_from_labels_only(spark, empty):
+    own = random.Random(1)
+    rows, labels = [], []
+    for i in range(900):
+        words = prose(40, 1000 + i).split()
+        toxic = own.random() < 0.3
+        if toxic:
+            words[own.randrange(40)] = own.choice(["vilename", "Scumlike", "horribad"])
+        rows.append((i, " ".join(words), "en", "s", 0))
+        labels.append((i, 1, int(toxic)))
+    rows += awkward()
+    docs = spark.createDataFrame(rows, SCHEMA)
+    table = spark.createDataFrame([*labels, (3, 1, None), (99_999, 1, 1)], "doc_id long, quality int, toxic int")
+    got = toxicity.scored(docs, table).collect()
+    assert len(got) == len(rows) and all(0 <= r["score"] <= 1 for r in got)
+    truth = {i: t for i, _, t in labels}
+    seen = [r for r in got if r["held_out"] and r["doc_id"] in truth and r["doc_id"] > 60]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got if r["doc_id"] is not None)
+    right = sum(r["predicted"] == truth[r["doc_id"]] for r in seen)
+    assert right >= 0.95 * len(seen)
+    assert toxicity.scored(empty, table).count() == 0
+    assert toxicity.scored(docs, table.limit(0)).filter("predicted = 1").count() == 0
+    kept = toxicity.clean(docs, table)
+    assert kept.columns == docs.columns and kept.count() == sum(r["predicted"] == 0 for r in got)
+
+
+def test_long_texts_are_read_in_pieces(monkeypatch):
+    text = prose(500, 1)
+    whole = np.unique(np.concatenate(list(toxicity.slot_pieces(text))))
+    monkeypatch.setattr(toxicity, "PIECE", 100)
+    assert (np.unique(np.concatenate(list(toxicity.slot_pieces(text)))) == whole).all()
+    print_ = simhash.text_fingerprint(text)
+    monkeypatch.setattr(simhash, "CHUNK", 7)
+    assert simhash.text_fingerprint(text) == print_
+
+
+PAGE = "page_id long, url string, html string"
+
+
+def test_archives_round_trip(spark):
+    long = "<p>" + "é" * 800
+    rows = [(i, f"http://e/{i}", prose(200, i)) for i in range(50)]
+    rows += [(100, "http://e/a b\n", long), (101, None, long), (102, "x", long), (103, "x", None), (104, "x", ""),
+             (105, "x", "short"), (106, "x", "short"), (107, "x", prose(30_000, 1)), (102, "x", long), (None, "x", long)]
+    got = rows_of(warc.archived(spark.createDataFrame(rows, PAGE)))
+    first = {}
+    for page, _, html in rows:
+        data = (html or "").encode()
+        if len(data) >= 1000 and page is not None:
+            first[data] = max(first.get(data, page), page)
+    want = []
+    for page, _, html in rows:
+        data = (html or "").encode()
+        other = data in first and page != first[data]
+        want.append((page, len(data), hashlib.sha1(data).hexdigest(), "revisit" if other else "response", first[data] if other else None))
+    assert order(got) == order(want)
+    assert rows_of(warc.archived(spark.createDataFrame([], PAGE))) == []
+
+
+def test_archive_has_a_dictionary_and_a_frame_for_each_record(spark, tmp_path):
+    import struct
+
+    pages = spark.createDataFrame([(i, "u", prose(300, i)) for i in range(400)], PAGE).coalesce(1)
+    listed = warc.write_archives(pages, f"file://{tmp_path}/w").collect()
+    assert sum(r["n_records"] for r in listed) == 400
+    for r in listed:
+        raw = open(r["path"].removeprefix("file://"), "rb").read()
+        magic, size = struct.unpack("<II", raw[:8])
+        assert magic == 0x184D2A5D and raw[8:12] == b"\x37\xa4\x30\xec"
+        assert raw[8 + size :].count(b"\x28\xb5\x2f\xfd") >= r["n_records"]
+
+
+def brute_quality(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    places, covered = {}, set()
+    for j in range(len(words) - 7):
+        places.setdefault(tuple(words[j : j + 8]), []).append(j)
+    for found in places.values():
+        if len(found) > 1:
+            covered |= {j + i for j in found for i in range(8)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    n = len(words)
+    failed = n < 20 or 100 * len(covered) > 30 * n
+    return n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered), failed
+
+
+def test_quality_base_rules_and_fences(spark, empty):
+    rows = awkward()
+    rows += [(300, prose(12, 1) + "\n\n" + prose(12, 1) + " " + prose(90, 4) + "\n \n", "en", "s0", 0)]
+    rows += [(301, "na " * 200, "en", "s0", 0), (302, "# $ % & | < > * " + prose(100, 2), "en", "s0", 0)]
+    rows += [(400 + i, prose(100, 500 + i), "en", "s0", 0) for i in range(150)]
+    rows += [(600, " | ".join(prose(100, 600).split()), "en", "s0", 0), (601, "a " * 9 + " ".join(w * 4 for w in prose(90, 9).split()), "en", "s0", 0)]
+    got = quality.judged(spark.createDataFrame(rows, SCHEMA)).collect()
+    want = [(r[0], *brute_quality(r[1])) for r in rows]
+    assert order(tuple(r)[:7] for r in got) == order(want)
+    kept = {r["doc_id"]: r["kept"] for r in got}
+    assert all(kept[400 + i] for i in range(150)) and not kept[600] and not kept[601] and not kept[301]
+    assert all(not r["kept"] for r in got if r["base_failed"])
+    assert rows_of(quality.judged(empty)) == []
+
+
+def test_sketches_merge_by_adding(spark):
+    rows = [(i, prose(60 + i % 50, i), ["en", "fr"][i % 2], f"s{i % 3}", 0) for i in range(120)]
+    measured = quality.with_measures(quality.base_measures(spark.createDataFrame(rows, SCHEMA)))
+    sketch = quality.sketches(measured)
+    values = sorted(r["mean_length"] for r in measured.collect())
+    whole = {r["measure"]: r for r in quality.quartiles(sketch, []).collect()}["mean_length"]
+    assert whole["total"] == 120
+    for q, at in (("q1", 29), ("q3", 89)):
+        assert whole[q] <= values[at] <= whole[q] * 65 / 64 + 1
+
+
+BASE = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    ("card", r"[0-9]([\x20-]?[0-9])+"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+]
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        v = int(c) * (1 + i % 2)
+        total += v - 9 if v > 9 else v
+    return total % 10 == 0
+
+
+def brute_personal(text):
+    found = []
+    for place, (kind, pattern) in enumerate(BASE):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": True,
+                "ip": kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")),
+                "card": 14 <= len(digits) <= 19 and luhn(digits),
+                "phone": 10 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                found.append((m.start(), place, m.end(), kind))
+    spans = ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(found))
+    return (*(sum(f[3] == k for f in found) for k, _ in BASE), hashlib.sha256(spans.encode()).hexdigest())
+
+
+def test_personal_data_by_brute_force(spark, empty):
+    own = random.Random(11)
+    parts = ["a@b.co", "a@b.co_x@c.de", "é@x.y.z", "@", "1.2.3.4", "1.2.3.4.5", "256.1.1.1", "0001.02.3.255", "4111 1111 1111 1111",
+             "4111-1111-1111-1112", "4111111111111111", "1 2", "+1 (555) 201-1234", "+12", "+1234567890123456", "+1 2 3 4 5 6 7 8 9 0 -", " ", " ", ",", "x", "5", "-", ".", "😀", "٣",
+             "79927398713 4111111111111111", "+49.30.1234567"]
+    texts = ["".join(own.choice(parts) for _ in range(own.randint(1, 12))) for _ in range(400)]
+    texts.append(" ".join(f"user{i}@mail.example.com +1 555 000 {1000 + i}" for i in range(1500)))
+    rows = awkward() + [(1000 + i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    got = rows_of(pii.personal_data(spark.createDataFrame(rows, SCHEMA)))
+    assert order(r[:6] for r in got) == order((r[0], *brute_personal(r[1])) for r in rows)
+    assert rows_of(pii.personal_data(empty)) == []
+
+
+def test_terms_that_reveal_an_entity(spark):
+    rows = []
+    for i in range(60):
+        if i < 6:
+            text = f"{prose(8, i)} Zorblatt wrote from z.quux@mail.example.com to {prose(8, 90 + i)}"
+        elif i < 12:
+            text = f"{prose(8, i)} wrote from u{i}@mail.example.com to {prose(8, 90 + i)}"
+        else:
+            text = f"{prose(20, i)} wrote from home to us"
+        rows.append((i, text, "en", "s", 0))
+    rows.append((60, "Nobody but zorblatt and Zorblatts knew", "en", "s", 0))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs).collect()}
+    assert got[60] == "term:11:19"
+    at = rows[0][1].index("Zorblatt")
+    assert got[0].startswith(f"term:{at}:{at + 8},email:") and "term" not in got[8] and got[20] == ""
+    clean = {r["doc_id"]: r["text"] for r in pii.clean_text(docs).collect()}
+    assert "orblatt" not in clean[0] and "[EMAIL]" in clean[0] and clean[20] == rows[20][1]
+
+
+SECRET_BASE = [
+    ("assign", r"(?ai)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"),
+    ("access", r"AKIA[A-Z0-9]+"),
+    ("hex", r"[0-9a-f]+"),
+]
+
+
+def brute_secrets(text):
+    found = []
+    for place, (kind, pattern) in enumerate(SECRET_BASE):
+        for m in re.finditer(pattern, text or ""):
+            if len(m[2] if kind == "assign" else m[0]) >= (12, 18, 16)[place]:
+                found.append((m.start(), place, m.end(), kind))
+    spans = ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(found))
+    return (*(sum(f[3] == k for f in found) for k, _ in SECRET_BASE), hashlib.sha256(spans.encode()).hexdigest())
+
+
+def test_secrets_by_brute_force_and_by_format(spark, empty):
+    own = random.Random(2)
+    key = lambda: "AKIA" + "".join(own.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16))
+    code = lambda: "".join(own.choice("0123456789abcdef") for _ in range(32))
+    parts = ["password=", "PassWord : '", "api-key=", "API_KEY=\"", "tokEn  =", "toKen=", "abcdef012345", "hunter2.hunter2", "AKIA", "AKIAABCDEFGHIJKLMN", "é", " ", "deadbeefdeadbeef", "Z"]
+    rows = awkward() + [(1000 + i, "".join(own.choice(parts) for _ in range(own.randint(1, 8))), "en", "s", 0) for i in range(300)]
+    rows += [(2000 + i, f"{prose(10, i)} {key()} and {code()} {prose(9, i)} internationalization {i} compatibilities", "en", "s", 0) for i in range(200)]
+    hidden = key().replace("AKIA", "ASIA")
+    rows.append((5000, f"the {hidden} of {prose(20, 5)}.", "en", "s", 0))
+    got = rows_of(credentials.secrets(spark.createDataFrame(rows, SCHEMA)))
+    assert order(r[:5] for r in got) == order((r[0], *brute_secrets(r[1])) for r in rows)
+    spans = {r[0]: r[5] for r in got}
+    assert spans[5000] == "likely:4:24" and all("likely" not in spans[i] for i in range(1, 30))
+    assert all("likely" not in spans[2000 + i] for i in range(200))
+    assert rows_of(credentials.secrets(empty)) == []
+
+
+def test_automaton_merges_compatible_states():
+    own = random.Random(4)
+    words = ["A" + "0" * own.randint(8, 20) for _ in range(200)]
+    machine = credentials.Automaton(sorted(words))
+    assert len(machine.states) < 25
+    assert machine.score("A" + "0" * 12) > machine.score("0" * 13) + 5
+
+
+def brute_licenses(text, known):
+    shingles = lambda t: [tuple(w[i : i + 5]) for w in [re.findall("[0-9a-z]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))] for i in range(len(w) - 4)]
+    here, names = set(shingles(text)), set()
+    for name, notices in known.items():
+        for n in notices:
+            own = set(shingles(n))
+            if own and len(own & here) >= 0.8 * len(own):
+                names.add(name)
+    return ",".join(sorted(names))
+
+
+def test_licenses_by_brute_force(spark, empty):
+    rows = awkward()
+    i = 3000
+    for texts in licenses.TEMPLATES.values():
+        for t in texts:
+            words = t.split()
+            for seed in range(4):
+                rows.append((i, f"{prose(seed * 37, i)} {t.upper() if seed % 2 else t} {prose(50, i + 1)}", "en", "s", 0))
+                i += 1
+            changed = [w if j != len(words) // 2 or len(words) < 40 else "altered" for j, w in enumerate(words)]
+            rows.append((i, prose(90, i) + " " + " ".join(changed), "en", "s", 0))
+            rows.append((i + 1, prose(9, i) + " " + " ".join(words[: len(words) // 2]), "en", "s", 0))
+            i += 2
+    got = {(r[0], r[2]) for r in rows_of(licenses.scan(spark.createDataFrame(rows, SCHEMA)))}
+    assert got == {(r[0], brute_licenses(r[1], licenses.TEMPLATES)) for r in rows}
+    assert rows_of(licenses.scan(empty)) == []
+    none = spark.createDataFrame([], "license string, text string")
+    assert licenses.scan(spark.createDataFrame(rows, SCHEMA), none).filter("n_licenses > 0").count() == 0
+
+
+def test_pipeline_stages_fit_together(spark, tmp_path):
+    path = str(tmp_path)
+    rows = awkward() + [(700 + i, prose(60, 700 + i) + (" vilename" if i % 4 == 0 else ""), "en", f"s{i % 2}", 0) for i in range(200)]
+    rows.append((950, prose(10, 1) + " " + prose(30, 4242), "en", "s1", 0))
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(700 + i, 1, int(i % 4 == 0)) for i in range(200)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(1, prose(30, 4242))], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        before = docs
+        out = f"{path}/{k}"
+        stage(spark, before, path).write.parquet(out)
+        docs = spark.read.parquet(out)
+        assert k == len(corpus_pipeline.STAGES) - 1 or docs.columns == before.columns
+    ids = {r["doc_id"] for r in docs.collect()}
+    assert 950 not in ids and 50 not in ids and not ids & {700 + i for i in range(0, 200, 4)}
+    run = order(rows_of(corpus_pipeline.run(spark, path)))
+    assert run == order(rows_of(docs))
