@@ -1,5 +1,178 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express, written from the contracts, not from the operators."""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from msgloom.llm.licenses import TEMPLATES
+
+LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORD = r"[^\x20\x09-\x0D]+"
+
+WARC = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS payload FROM pages
+), q AS (
+    SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest,
+           max(page_id) OVER (PARTITION BY payload) AS last
+    FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM q
+"""
+
+MIX = rf"""
+WITH s AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS size,
+           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+    FROM documents
+), t AS (
+    SELECT source, sum(size)::BIGINT AS source_size FROM s GROUP BY source
+), r AS (
+    SELECT *, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT AS w, 3 * source_size AS top FROM t
+), l AS (
+    SELECT *, row_number() OVER o AS turn,
+        (sum(source_size) OVER () - coalesce(sum(top) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+        / (sum(w) OVER () - coalesce(sum(w) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE AS level
+    FROM r WINDOW o AS (ORDER BY top::DOUBLE / w, source NULLS LAST)
+), f AS (
+    SELECT arg_min(level, turn) AS level FROM l WHERE level * w <= top
+), g AS (
+    SELECT source, source_size, least(top::DOUBLE, f.level * w) AS target FROM l, f
+), b AS (
+    SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS passes FROM g
+), c AS (
+    SELECT s.*, b.source_size, b.target, b.passes, b.target - b.passes * b.source_size AS budget,
+        sum(size) OVER (PARTITION BY s.source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS upto,
+        sum(size) OVER (PARTITION BY s.source, h)::BIGINT AS own
+    FROM s JOIN b ON s.source IS NOT DISTINCT FROM b.source
+), k AS (
+    SELECT *, CASE WHEN upto <= budget THEN TRUE
+                   WHEN upto - own < budget THEN budget - (upto - own) > upto - budget ELSE FALSE END AS extra
+    FROM c
+)
+SELECT doc_id, size, source_size, target, (size * (passes + extra::BIGINT))::BIGINT AS taken FROM k
+"""
+
+CONTAMINATION = rf"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), i AS (
+    SELECT item_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), ia AS (
+    SELECT item_id, w, least(10, len(w)) AS m, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS p
+    FROM i WHERE len(w) > 0
+), iw AS (
+    SELECT DISTINCT item_id, m, array_to_string(list_slice(w, p, p + m - 1), ' ') AS win FROM ia
+), da AS (
+    SELECT doc_id, w, m, unnest(generate_series(1, len(w) - m + 1)) AS p
+    FROM d, (SELECT DISTINCT m FROM ia) WHERE len(w) >= m
+), dw AS (
+    SELECT doc_id, m, p, array_to_string(list_slice(w, p, p + m - 1), ' ') AS win FROM da
+), hit AS (
+    SELECT dw.doc_id, dw.p, dw.m, iw.item_id FROM dw JOIN iw ON dw.m = iw.m AND dw.win = iw.win
+), covered AS (
+    SELECT doc_id, count(DISTINCT place) AS n
+    FROM (SELECT doc_id, unnest(generate_series(p, p + m - 1)) AS place FROM hit) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT AS n_hit,
+       coalesce(named.n, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(covered.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+QUALITY = rf"""
+WITH a AS (
+    SELECT doc_id, lang, source, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+), g AS (
+    SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM (
+        SELECT doc_id, p, array_to_string(list_slice(w, p, p + 7), ' ') AS gram
+        FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 7)) AS p FROM a WHERE len(w) >= 8))
+), rep AS (
+    SELECT doc_id, count(DISTINCT place) AS n
+    FROM (SELECT doc_id, unnest(generate_series(p, p + 7)) AS place FROM g WHERE n > 1) GROUP BY doc_id
+), b AS (
+    SELECT a.doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+           (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+           len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+           coalesce(rep.n, 0)::BIGINT AS n_repeat_words
+    FROM a LEFT JOIN rep USING (doc_id)
+), m AS (
+    SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+           n_symbols * 10000 // greatest(word_chars, 1) AS symbols, n_dup_lines * 10000 // greatest(n_lines, 1) AS dup_lines,
+           n_repeat_words * 10000 // greatest(n_words, 1) AS repeats, word_chars * 100 // greatest(n_words, 1) AS mean_length
+    FROM b
+), e AS (
+    SELECT lang, source, measure, v - v % (1::BIGINT << greatest(length(bin(v)) - 7, 0)) AS bin
+    FROM (SELECT lang, source, unnest(['symbols', 'dup_lines', 'repeats', 'mean_length']) AS measure,
+                 unnest([symbols, dup_lines, repeats, mean_length]) AS v FROM m WHERE NOT base_failed)
+), q1 AS (
+    SELECT lang, source, measure, count(*) AS n, quantile_disc(bin, 0.25) AS q1, quantile_disc(bin, 0.75) AS q3 FROM e GROUP BY ALL
+), q2 AS (
+    SELECT lang, measure, count(*) AS n, quantile_disc(bin, 0.25) AS q1, quantile_disc(bin, 0.75) AS q3 FROM e GROUP BY ALL
+), q3 AS (
+    SELECT measure, count(*) AS n, quantile_disc(bin, 0.25) AS q1, quantile_disc(bin, 0.75) AS q3 FROM e GROUP BY ALL
+), f AS (
+    SELECT q1.lang, q1.source, q1.measure,
+           CASE WHEN q1.n >= 100 THEN q1.q1 WHEN q2.n >= 100 THEN q2.q1 ELSE q3.q1 END AS low,
+           CASE WHEN q1.n >= 100 THEN q1.q3 WHEN q2.n >= 100 THEN q2.q3 ELSE q3.q3 END AS high
+    FROM q1 JOIN q2 ON q1.lang IS NOT DISTINCT FROM q2.lang AND q1.measure = q2.measure JOIN q3 ON q1.measure = q3.measure
+), h AS (
+    SELECT lang, source,
+           max(CASE measure WHEN 'symbols' THEN high + greatest(3 * (high - low), 300) END) AS top_symbols,
+           max(CASE measure WHEN 'dup_lines' THEN high + greatest(3 * (high - low), 5000) END) AS top_dup_lines,
+           max(CASE measure WHEN 'repeats' THEN high + greatest(3 * (high - low), 3000) END) AS top_repeats,
+           max(CASE measure WHEN 'mean_length' THEN high + greatest(3 * (high - low), 400) END) AS top_length,
+           max(CASE measure WHEN 'mean_length' THEN low - greatest(3 * (high - low), 150) END) AS low_length
+    FROM f GROUP BY lang, source
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(symbols <= top_symbols AND dup_lines <= top_dup_lines AND repeats <= top_repeats
+           AND mean_length BETWEEN low_length AND top_length, TRUE) AS kept
+FROM m LEFT JOIN h ON m.lang IS NOT DISTINCT FROM h.lang AND m.source IS NOT DISTINCT FROM h.source
+"""
+
+
+def _notices() -> str:
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    return ", ".join(f"({quoted(name)}, {quoted(text)})" for name, texts in TEMPLATES.items() for text in texts)
+
+
+LICENSES = f"""
+WITH n AS (
+    SELECT license, row_number() OVER () AS notice, regexp_extract_all({LOWER.format("text")}, '[0-9a-z]+') AS w
+    FROM (VALUES {_notices()}) AS v(license, text)
+), ns AS (
+    SELECT DISTINCT license, notice, array_to_string(list_slice(w, p, p + 4), ' ') AS s
+    FROM (SELECT *, unnest(generate_series(1, len(w) - 4)) AS p FROM n WHERE len(w) >= 5)
+), d AS (
+    SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[0-9a-z]+') AS w FROM documents
+), dg AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + 4), ' ') AS s
+    FROM (SELECT *, unnest(generate_series(1, len(w) - 4)) AS p FROM d WHERE len(w) >= 5)
+), size AS (
+    SELECT notice, count(*) AS n FROM ns GROUP BY notice
+), met AS (
+    SELECT doc_id, license, count(*)::DOUBLE / any_value(n) AS share
+    FROM dg JOIN ns USING (s) JOIN size USING (notice) GROUP BY doc_id, license, notice
+), found AS (
+    SELECT doc_id, count(DISTINCT license) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS names, max(share) AS share
+    FROM met WHERE share >= 0.8 GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_licenses, coalesce(names, '') AS licenses, share AS containment
+FROM d LEFT JOIN found USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op4_warc": WARC,
+    "op5_licenses": LICENSES,
+    "op6_quality": QUALITY,
+    "op7_decontamination": CONTAMINATION,
+    "op8_source_mix": MIX,
+}
