@@ -82,7 +82,8 @@ def messages_raw(spark: SparkSession, sf_dir: str, stream: bool = False) -> Data
         orders.select((F.col("o_orderkey") * 2 + 1).alias("row_seq"), ts, from_order.alias("text"))
     )
     messages = computed_once(both, {"text": F.col("text"), "label": label})
-    return messages if stream else readers.spread(messages, "row_seq")
+    parts = 2 * spark.sparkContext.defaultParallelism
+    return messages if stream else readers.spread(messages, "row_seq", parts)
 
 
 @lru_cache(maxsize=4)

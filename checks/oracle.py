@@ -147,7 +147,7 @@ def iban(v: str) -> str:
 
 def _rule_scan(i: int) -> str:
     rule = RULES[i]
-    ph = C.ENTITY_PLACEHOLDERS[rule.entity]
+    ph = C.ENTITY_PLACEHOLDERS.get(rule.entity, f"[{rule.entity}]")
     score = "cast(null as double)" if rule.score is None else f"cast({rule.score} as double)"
     p = q(rule.pattern)
     return f"""select row_seq, {i} as rule_no, {q(ph)} as ph, {score} as score,
@@ -260,7 +260,9 @@ CTES: dict[str, str] = {
         cast(end_pos - length(value) as integer) as start_pos, cast(end_pos as integer) as end_pos
         from positioned
         where case when ph = '[CREDIT_CARD]' then {luhn('value')}
-                   when ph = '[IBAN]' then {iban('value')} else true end""",
+                   when ph = '[IBAN]' then {iban('value')}
+                   when ph = '[CRYPTO]' then regexp_matches(value, '[A-Za-z]') and regexp_matches(value, '[0-9]')
+                   else true end""",
     "candidates": """select row_seq, list({'s': start_pos, 'e': end_pos,
           'kept': [{'s': start_pos, 'e': end_pos, 'ph': ph, 'value': value}]}
           order by start_pos, -coalesce(score, 0), rule_no, i) as l
@@ -626,6 +628,10 @@ SELECTS: dict[str, str] = {
         join (select text_model, count(distinct text_raw) as n_unique_raw from modelled group by text_model
               having count(distinct text_raw) > 1 order by n_unique_raw desc, min(row_seq) limit 200) using (text_model)
         where turn <= 10""",
+    "collisions_all": """select text_model, n_unique_raw, text_raw
+        from (select distinct text_model, text_raw from modelled)
+        join (select text_model, count(distinct text_raw) as n_unique_raw from modelled group by text_model
+              having count(distinct text_raw) > 1) using (text_model)""",
     "collision_count": "select count(*) as n_collisions from (select text_model from modelled group by text_model having count(distinct text_raw) > 1)",
     "label_distribution": "select label, count(*) as n from messages where text is not null and label is not null group by label",
     "rated_labels": "select quality as label, count(*) as n from documents join labels using (doc_id) where text is not null and quality is not null group by quality",
@@ -646,6 +652,7 @@ SELECTS: dict[str, str] = {
     "weighted_sample": f"""select row_seq, label from (select row_seq, label,
           -ln({unit("'42|' || row_seq")}) * count(*) over (partition by label) as k from messages)
         order by k, row_seq limit 300""",
+    "weighted_sample_all": "select row_seq, label from messages",
     "weighted_draws": f"""with c as (select label, count(*) as n, row_number() over (order by label) - 1 as class_no, count(*) over () as k from messages group by label),
         d as (select i as draw, {unit("'42|class|' || i")} as uc, {unit("'42|row|' || i")} as ur from range(0, 300) t(i)),
         p as (select draw, label, cast(floor(ur * n) as bigint) + 1 as no from d join c on class_no = floor(uc * k)),

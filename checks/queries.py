@@ -450,6 +450,11 @@ def collisions(spark, sf_dir):
     )
 
 
+@query
+def collisions_all(spark, sf_dir):
+    return audit.collision_rows(modelled(spark, sf_dir))
+
+
 @query
 def collision_count(spark, sf_dir):
     return audit.collision_count(modelled(spark, sf_dir))
@@ -502,6 +507,12 @@ def weighted_sample(spark, sf_dir):
     return sampling.weighted_sample(raw, 300).select("row_seq", "label")
 
 
+@query
+def weighted_sample_all(spark, sf_dir):
+    raw = X.messages_raw(spark, sf_dir)
+    return sampling.weighted_sample(raw, None).select("row_seq", "label")
+
+
 @query
 def weighted_draws(spark, sf_dir):
     raw = X.messages_raw(spark, sf_dir)
@@ -728,6 +739,7 @@ def stream_scores(spark, sf_dir):
         f"{root}/low_conf",
         f"{root}/checkpoint",
         "ts",
+        parts=2 * spark.sparkContext.defaultParallelism,
     ).awaitTermination()
     logged = jobs.read_batches(spark, f"{root}/logs")
     low = jobs.read_batches(spark, f"{root}/low_conf").select("row_seq", F.lit(True).alias("low"))

@@ -67,11 +67,20 @@ MONTH_NAMES = [
     "january", "february", "march", "april", "may", "june",
     "july", "august", "september", "october", "november", "december",
 ]
+#: Months that are also common words.
+WORD_MONTHS = ["march", "may"]
+DATE_PREPOSITIONS = ["in", "since", "until", "during", "by", "of", "last", "next"]
+DAY_WORDS = ["yesterday", "today", "tomorrow", "tonight"]
 NUMBER_WORDS = [
     "one", "two", "three", "four", "five", "six",
     "seven", "eight", "nine", "ten", "eleven", "twelve",
 ]
 
+# --- Fixed values: currencies and domains ---------------------------------------------
+CURRENCY_CODES = ["usd", "eur", "gbp"]
+CURRENCY_WORDS = ["dollars", "dollar", "euros", "euro", "pounds"]
+TOP_DOMAINS = ["com", "org", "net", "edu", "gov", "info", "io"]
+
 # --- Fixed values: patterns over placeholder text -------------------------------------
 PLACEHOLDER_PATTERN = r"(?i)\[([A-Z0-9_]+)(?:=([^\]]+))?\]"
 PLACEHOLDER_KEY_PATTERN = r"(?i)\[([A-Z0-9_=-]+)\]"
@@ -108,7 +117,6 @@ MAX_TOKENS = 64
 DEFAULT_THRESHOLD = 0.80
 NO_POSITIVES_THRESHOLD = 0.75
 FOCAL_GAMMA = 2.0
-WARMUP_RATIO = 0.06
 
 # Character classes. Unicode white space is spelled out, so that every regex engine
 # agrees on what ends a word.

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from msgloom.functions import placeholders as P
-from msgloom.operators.bounded import computed_once, salted_join
+from msgloom.operators.bounded import SALTS, computed_once, salted_join, small
 from msgloom.operators.dedup import label_distribution
 
 
@@ -44,6 +44,23 @@ def text_conflicts(df: DataFrame, limit: int | None = None) -> DataFrame:
     return found if limit is None else found.orderBy(*columns).limit(limit)
 
 
+def _raw_pairs(df: DataFrame, raw_col: str, order_by: str) -> DataFrame:
+    pairs = df.groupBy("text_model", F.col(raw_col).alias("text_raw")).agg(
+        F.min(order_by).alias("first_seq")
+    )
+    return computed_once(pairs, {"text_model": F.col("text_model")})
+
+
+def collision_rows(
+    df: DataFrame, raw_col: str = "text_raw", order_by: str = "row_seq", salts: int = SALTS
+) -> DataFrame:
+    """(text_model, n_unique_raw, text_raw): every raw text of every model text that has more than one."""
+    pairs = _raw_pairs(df, raw_col, order_by)
+    counts = pairs.groupBy("text_model").agg(F.count("*").alias("n_unique_raw")).filter("n_unique_raw > 1")
+    found = salted_join(pairs, counts, ["text_model"], ["text_raw"], salts=salts)
+    return found.select("text_model", "n_unique_raw", "text_raw")
+
+
 def collisions(
     df: DataFrame,
     raw_col: str = "text_raw",
@@ -51,17 +68,14 @@ def collisions(
     examples: int = 10,
     order_by: str = "row_seq",
 ) -> DataFrame:
-    """Model texts made from more than one raw text: the `keys` largest (on a tie the one
-    seen first), each with its first `examples` raw texts.
+    """A sample of collision_rows: the `keys` largest model texts (on a tie the one seen
+    first), each with its first `examples` raw texts.
 
     Counts are over all rows. Only the wanted keys, at most `keys` of them, are joined
     back, and each is cut to its examples before the shuffle. The grouped pairs serve both
     sides from one shuffle.
     """
-    pairs = df.groupBy("text_model", F.col(raw_col).alias("text_raw")).agg(
-        F.min(order_by).alias("first_seq")
-    )
-    pairs = computed_once(pairs, {"text_model": F.col("text_model")})
+    pairs = _raw_pairs(df, raw_col, order_by)
     wanted = (
         pairs.groupBy("text_model")
         .agg(F.count("*").alias("n_unique_raw"), F.min("first_seq").alias("seen"))
@@ -100,7 +114,8 @@ def placeholder_by_label(
     """(label, placeholder, n, support): occurrences of each placeholder by label.
 
     Labels without any placeholder don't appear. Rows and placeholders are counted in one
-    pass: each row also emits one null placeholder, which carries the support.
+    pass: each row also emits one null placeholder, whose count is the support. Supports are
+    one row for each label and are joined by broadcast, so that no task holds a label whole.
     """
     keys = F.concat(P.placeholder_keys(F.col(text_col)), F.array(F.lit(None).cast("string")))
     counts = (
@@ -108,10 +123,14 @@ def placeholder_by_label(
         .groupBy("label", "placeholder")
         .agg(F.count("*").alias("n"))
     )
-    support = F.max(F.when(F.col("placeholder").isNull(), F.col("n"))).over(
-        Window.partitionBy("label")
+    counts = computed_once(counts, {"placeholder": F.col("placeholder")})
+    support = counts.filter("placeholder is null").select(
+        F.col("label").alias("_label"), F.col("n").alias("support")
     )
-    return counts.withColumn("support", support).filter("placeholder is not null")
+    found = counts.filter("placeholder is not null")
+    support = small(support, what="labels")
+    joined = found.join(support, found["label"].eqNullSafe(support["_label"]))
+    return joined.select("label", "placeholder", "n", "support")
 
 
 def placeholder_matrix(long: DataFrame, placeholders: list[str]) -> DataFrame:

@@ -21,6 +21,7 @@ from msgloom.operators.bounded import computed_once
 from msgloom.schema import SPANS
 
 MARK = "\ue000"
+BLOCK = 64
 
 
 @dataclass(frozen=True)
@@ -46,6 +47,10 @@ def _words(words: list[str]) -> str:
 # A token that holds a digit, after optional blanks and one punctuation mark.
 _ID = r" *[#:.,-]? *[A-Za-z-]*[0-9][A-Za-z0-9-]*"
 
+# Digits, in groups of thousands or not, with up to two decimals.
+_AMOUNT = r"(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)(?:\.[0-9]{1,2})?"
+_PLAIN_MONTHS = [m for m in C.MONTH_NAMES if m not in C.WORD_MONTHS]
+
 # Order matters only for spans with the same start and score: the earlier rule wins.
 RULES: list[Rule] = [
     Rule("EMAIL_ADDRESS", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", 1.0, needs=("@",)),
@@ -56,7 +61,28 @@ RULES: list[Rule] = [
         check="luhn",
     ),
     Rule("IBAN_CODE", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", 1.0, check="iban"),
-    Rule("PHONE_NUMBER", r"\+?[0-9][0-9 ()-]{7,}[0-9]", 0.4),
+    Rule("IP_ADDRESS", r"\b[0-9]{1,3}(?:\.[0-9]{1,3}){3}\b", 0.95, needs=(".",)),
+    Rule("US_SSN", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", 0.85, needs=("-",)),
+    Rule("CRYPTO", r"\b(?:bc1[a-z0-9]{25,59}|[13][a-km-zA-HJ-NP-Z1-9]{25,34})\b", 0.8, check="mixed"),
+    Rule(
+        "URL",
+        rf"(?i)\b(?:[a-z0-9-]+\.)+(?:{_words(C.TOP_DOMAINS)})\b(?:/[^ ]*)?",
+        0.5,
+        needs=tuple(f".{d}" for d in C.TOP_DOMAINS),
+    ),
+    # With a country code, or as groups of three, three and four digits.
+    Rule(
+        "PHONE_NUMBER",
+        r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}\b",
+        0.4,
+        needs=("+",),
+    ),
+    Rule(
+        "PHONE_NUMBER",
+        r"(?:\([0-9]{3}\) ?|\b[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}\b",
+        0.4,
+        needs=(" ", ".", "-"),
+    ),
     Rule("US_DRIVER_LICENSE", r"\b[A-Z][0-9]{6,14}\b", 0.3),
     Rule("US_BANK_NUMBER", r"\b[0-9]{8,17}\b", 0.05),
     Rule("ORDER_ID", rf"(?i)\b(?:{_words(C.ORDER_WORDS)})\b{_ID}", needs=tuple(C.ORDER_WORDS)),
@@ -65,17 +91,39 @@ RULES: list[Rule] = [
     Rule("ACCOUNT_TYPE", rf"(?i)\b(?:{_words(C.ACCOUNT_WORDS)}) account\b", needs=(" account",)),
     Rule("GPE", rf"(?i)\b(?:{_words(C.PLACE_WORDS)})\b", needs=tuple(C.PLACE_WORDS)),
     Rule("STOP_ENTITY", rf"(?i)\b(?:{_words(C.STOP_WORDS)})\b", needs=tuple(C.STOP_WORDS)),
-    Rule("MONEY", r"\$[0-9]+(?:\.[0-9]{1,2})?", needs=("$",)),
+    Rule("MONEY", rf"\$ ?{_AMOUNT}", needs=("$",)),
+    Rule("MONEY", rf"(?i)\b(?:{_words(C.CURRENCY_CODES)}) ?{_AMOUNT}\b", needs=tuple(C.CURRENCY_CODES)),
+    Rule(
+        "MONEY",
+        rf"(?i)\b{_AMOUNT} ?(?:{_words(C.CURRENCY_WORDS + C.CURRENCY_CODES)})\b",
+        needs=tuple(C.CURRENCY_WORDS + C.CURRENCY_CODES),
+    ),
     Rule(
         "DATE",
-        rf"(?i)\b(?:[0-9]+|{_words(C.NUMBER_WORDS)}) (?:months?|years?) ago\b",
+        rf"(?i)\b(?:[0-9]+|an?|{_words(C.NUMBER_WORDS)}) (?:days?|weeks?|months?|years?) ago\b",
         needs=(" ago",),
     ),
-    Rule("DATE", r"(?i)\b(?:last|this) month\b", needs=("last month", "this month")),
     Rule(
         "DATE",
-        rf"(?i)\b(?:{_words(C.MONTH_NAMES)})(?: (?:19|20)[0-9]{{2}})?\b",
-        needs=tuple(C.MONTH_NAMES),
+        r"(?i)\b(?:last|this|next) (?:week|month|year)\b",
+        needs=(" week", " month", " year"),
+    ),
+    Rule("DATE", rf"(?i)\b(?:{_words(C.DAY_WORDS)})\b", needs=tuple(C.DAY_WORDS)),
+    Rule(
+        "DATE",
+        rf"(?i)\b(?:{_words(_PLAIN_MONTHS)})(?: (?:19|20)[0-9]{{2}})?\b",
+        needs=tuple(_PLAIN_MONTHS),
+    ),
+    # Months that are also words count with a day or a year, or after a preposition.
+    Rule(
+        "DATE",
+        rf"(?i)\b(?:{_words(C.WORD_MONTHS)}) (?:(?:19|20)[0-9]{{2}}|[0-9]{{1,2}})\b",
+        needs=tuple(C.WORD_MONTHS),
+    ),
+    Rule(
+        "DATE",
+        rf"(?i)\b(?:{_words(C.DATE_PREPOSITIONS)}) (?:{_words(C.WORD_MONTHS)})\b",
+        needs=tuple(C.WORD_MONTHS),
     ),
     Rule("DATE", r"\b[0-9]{1,4}[/-][0-9]{1,2}[/-][0-9]{1,4}\b", needs=("/", "-")),
     Rule("DATE", r"\b(?:19|20)[0-9]{2}\b", needs=("19", "20")),
@@ -107,7 +155,12 @@ def _luhn_ok(value: Column) -> Column:
     return F.call_function("luhn_check", F.regexp_replace(value, "[^0-9]", ""))
 
 
-CHECKS = {"luhn": _luhn_ok, "iban": _iban_ok}
+def _mixed_ok(value: Column) -> Column:
+    """Letters and digits both, as a number alone is no address."""
+    return value.rlike("[A-Za-z]") & value.rlike("[0-9]")
+
+
+CHECKS = {"luhn": _luhn_ok, "iban": _iban_ok, "mixed": _mixed_ok}
 
 
 def _pieces(text: Column, pattern: Column) -> Column:
@@ -131,36 +184,38 @@ def _guarded_pieces(text: Column, lowered: Column, rule: Rule) -> Column:
     return F.when(possible, pieces).otherwise(F.array())
 
 
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda a, n: a + n)
+
+
 def _walk(pieces: Column, placeholder: Column, score: Column) -> Column:
-    """Spans of the matches among the pieces; positions are sums of piece lengths."""
-    state = F.aggregate(
-        pieces,
-        F.struct(
-            F.lit(0).alias("pos"), F.lit(False).alias("is_match"), F.array().cast(SPANS).alias("found")
-        ),
-        lambda acc, piece: F.struct(
-            (acc["pos"] + F.length(piece)).alias("pos"),
-            (~acc["is_match"]).alias("is_match"),
-            F.when(
-                acc["is_match"],
-                F.concat(
-                    acc["found"],
-                    F.array(
-                        F.struct(
-                            acc["pos"].alias("start"),
-                            (acc["pos"] + F.length(piece)).alias("end"),
-                            placeholder.alias("ph"),
-                            piece.alias("value"),
-                            score.alias("score"),
-                        )
-                    ),
-                ),
+    """Spans of the matches, which are every second piece; positions are sums of piece lengths.
+
+    Lengths are summed in blocks first, so that a text with many matches takes linear time.
+    """
+
+    def found(sizes: Column, totals: Column) -> Column:
+        def span(i: Column) -> Column:
+            block = F.floor(i / BLOCK).cast("int")
+            start = F.get(totals, block) + _sum(F.slice(sizes, block * BLOCK + 1, i - block * BLOCK))
+            return F.struct(
+                start.alias("start"),
+                (start + F.get(sizes, i)).alias("end"),
+                placeholder.alias("ph"),
+                F.get(pieces, i).alias("value"),
+                score.alias("score"),
             )
-            .otherwise(acc["found"])
-            .alias("found"),
-        ),
-    )
-    return F.when(F.size(pieces) > 1, state["found"]).otherwise(F.array().cast(SPANS))
+
+        return F.transform(F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2)), span)
+
+    def by_blocks(sizes: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor(F.size(sizes) / BLOCK).cast("int"))
+        sums = F.transform(blocks, lambda b: _sum(F.slice(sizes, b * BLOCK + 1, F.lit(BLOCK))))
+        totals = let(sums, lambda s: F.transform(s, lambda _, b: _sum(F.slice(s, F.lit(1), b))))
+        return let(totals, lambda t: found(sizes, t))
+
+    spans = let(F.transform(pieces, lambda p: F.length(p)), by_blocks)
+    return F.when(F.size(pieces) > 2, spans).otherwise(F.array().cast(SPANS)).cast(SPANS)
 
 
 def match_spans(text: Column, pattern: Column, placeholder: Column) -> Column:
@@ -229,22 +284,29 @@ def _ordered(spans: Column) -> Column:
 
 
 def merge_spans(spans: Column) -> Column:
-    """Greedy choice of spans that don't overlap: each one must start after the last end."""
+    """Greedy choice of spans that don't overlap: each one must start after the last end.
+
+    Spans are walked in blocks, so that the kept ones are copied once for each block only.
+    """
     kept_type = "array<struct<start:int,end:int,ph:string,value:string>>"
-    return F.aggregate(
-        _ordered(spans),
-        F.struct(F.lit(-1).alias("last_end"), F.array().cast(kept_type).alias("kept")),
-        lambda acc, s: F.when(
-            s["start"] >= acc["last_end"],
-            F.struct(
-                s["end"].alias("last_end"),
-                F.concat(
-                    acc["kept"], F.array(F.struct(s["start"], s["end"], s["ph"], s["value"]))
-                ).alias("kept"),
-            ),
-        ).otherwise(acc),
-        lambda acc: acc["kept"],
-    )
+    state = lambda end, kept: F.struct(end.alias("last_end"), kept.alias("kept"))
+    none = F.array().cast(kept_type)
+
+    def step(acc: Column, s: Column) -> Column:
+        one = F.array(F.struct(s["start"], s["end"], s["ph"], s["value"]))
+        longer = state(s["end"], F.concat(acc["kept"], one))
+        return F.when(s["start"] >= acc["last_end"], longer).otherwise(acc)
+
+    def walk(ordered: Column) -> Column:
+        def block(acc: Column, b: Column) -> Column:
+            part = F.slice(ordered, b * BLOCK + 1, F.lit(BLOCK))
+            inner = F.aggregate(part, state(acc["last_end"], none), step)
+            return let(inner, lambda i: state(i["last_end"], F.concat(acc["kept"], i["kept"])))
+
+        blocks = F.sequence(F.lit(0), F.floor(F.size(ordered) / BLOCK).cast("int"))
+        return F.aggregate(blocks, state(F.lit(-1), none), block, lambda acc: acc["kept"])
+
+    return let(_ordered(spans), walk)
 
 
 def placeholder_piece(ph: Column, raw_value: Column) -> Column:

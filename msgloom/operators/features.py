@@ -186,11 +186,13 @@ def class_weights(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 
 def with_sample_weight(df: DataFrame, label_col: str = "label") -> DataFrame:
-    """Add `sample_weight` = 1 / rows of the same class."""
-    weights = class_counts(df, label_col).select(
-        F.col("label").alias(label_col), (F.lit(1.0) / F.col("n")).alias("sample_weight")
+    """Add `sample_weight` = 1 / rows of the same class; null labels are a class."""
+    weights = F.broadcast(
+        class_counts(df, label_col).select(
+            F.col("label").alias("_label"), (F.lit(1.0) / F.col("n")).alias("sample_weight")
+        )
     )
-    return df.join(F.broadcast(weights), label_col)
+    return df.join(weights, df[label_col].eqNullSafe(weights["_label"])).drop("_label")
 
 
 # --- Token ids ------------------------------------------------------------------------

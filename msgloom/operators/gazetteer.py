@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from msgloom.functions.vectors import let
-from msgloom.operators.bounded import salted_join
+from msgloom.operators.bounded import salted_join, small
 from msgloom.operators.entities import match_spans, placeholder_for
 from msgloom.schema import SPANS
 
@@ -17,20 +17,19 @@ def _words(c: Column) -> Column:
     return F.filter(F.split(F.lower(c), WORD_BREAK), lambda w: w != "")
 
 
-def _grams(c: Column, max_words: int) -> Column:
+def _grams(c: Column, max_words: Column) -> Column:
     """Distinct runs of one to max_words words, each as one phrase."""
 
-    def runs(words: Column, n: int) -> Column:
+    def runs(words: Column, n: Column) -> Column:
         starts = F.when(
             F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))
         ).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
 
+    lengths = F.sequence(F.lit(1), max_words.cast("int"))
     return let(
         _words(c),
-        lambda words: F.array_distinct(
-            F.concat(words, *[runs(words, n) for n in range(2, max_words + 1)])
-        ),
+        lambda words: F.array_distinct(F.flatten(F.transform(lengths, lambda n: runs(words, n)))),
     )
 
 
@@ -39,14 +38,13 @@ def gazetteer_matches(
     gazetteer: DataFrame,
     key: str = "row_seq",
     text_col: str = "text_clean",
-    max_words: int = 3,
-    broadcast_rows: int = 50_000,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """(key, phrase, entity) for every known phrase in a text.
 
-    The gazetteer (phrase, entity) is broadcast when it has at most broadcast_rows rows;
-    a larger one is joined by a salted shuffle, since a common name may be in a third of
-    all texts.
+    Phrases may have any number of words; the longest one sets how long the runs get. The
+    gazetteer (phrase, entity) is joined by a salted shuffle, since a common name may be in
+    a third of all texts. With max_rows it is broadcast, and the job fails beyond that.
     """
     known = (
         gazetteer.select(F.array_join(_words(F.col("phrase")), " ").alias("phrase"), "entity")
@@ -54,9 +52,11 @@ def gazetteer_matches(
         .groupBy("phrase")
         .agg(F.min("entity").alias("entity"))
     )
-    grams = df.select(key, F.explode(_grams(F.col(text_col), max_words)).alias("phrase"))
-    if gazetteer.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return grams.join(F.broadcast(known), "phrase").select(key, "phrase", "entity")
+    longest = known.agg(F.coalesce(F.max(F.size(F.split("phrase", " "))), F.lit(1))).scalar()
+    texts = df.select(key, text_col, longest.alias("_longest"))
+    grams = texts.select(key, F.explode(_grams(F.col(text_col), F.col("_longest"))).alias("phrase"))
+    if max_rows is not None:
+        return grams.join(small(known, max_rows, "gazetteer"), "phrase").select(key, "phrase", "entity")
     return salted_join(grams, known, ["phrase"], [key]).select(key, "phrase", "entity")
 
 

@@ -21,7 +21,7 @@ def uniform_draw(key: Column, seed: int) -> Column:
 
 def weighted_sample(
     df: DataFrame,
-    n: int,
+    n: int | None,
     label_col: str = "label",
     key: str = "row_seq",
     seed: int = C.SEED,
@@ -29,11 +29,13 @@ def weighted_sample(
     """n rows without replacement, a row's weight being 1 / rows of its class.
 
     A row's sort key is -ln(u) / weight, and the n smallest keys win. With n equal to the
-    number of rows this is every row.
+    number of rows, or None, this is every row.
     """
     keyed = with_sample_weight(df, label_col).withColumn(
         "sample_key", -F.ln(uniform_draw(F.col(key), seed)) / F.col("sample_weight")
     )
+    if n is None:
+        return keyed
     bucket = F.floor(F.ln("sample_key") * 4096)
     return smallest_n(keyed, n, bucket, ["sample_key", key])
 
@@ -69,7 +71,9 @@ def weighted_sample_with_replacement(
     numbered = with_rank(
         df.withColumn("_h", shuffled), F.shiftright("_h", 16), ["_h", key], "_no", [label_col]
     )
-    return picked.join(numbered, [label_col, "_no"]).drop("_no", "_h")
+    picked = picked.withColumnsRenamed({label_col: "_label", "_no": "_at"})
+    same = numbered[label_col].eqNullSafe(picked["_label"]) & (numbered["_no"] == picked["_at"])
+    return picked.join(numbered, same).drop("_no", "_h", "_label", "_at")
 
 
 def _all():

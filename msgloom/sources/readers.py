@@ -74,15 +74,13 @@ def read_messages_csv(
     return df.na.drop(subset=["text", "label"])
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """The same rows over all cores when the files have fewer parts than there are cores.
+def spread(df: DataFrame, key: str, parts: int | None) -> DataFrame:
+    """The same rows in `parts` partitions by a hash of key; as they are for None.
 
     A file of one row group is read by one task whatever its size, and costly text work
-    would stay there. Inputs with enough parts, as on a cluster, pass without a shuffle.
+    would stay there. Inputs with enough parts, as on a cluster, need no shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = df.select(F.lit(1)).rdd.getNumPartitions()
-    return df.repartition(2 * cores, key) if parts < cores else df
+    return df if parts is None else df.repartition(parts, key)
 
 
 def alias_columns(df: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from msgloom.constants import MAX_LABELS
 from msgloom.functions.text import export_key
+from msgloom.operators.bounded import bounded
 
 SNAPSHOT_COLUMNS = [
     "row_seq", "text_raw", "text_model", "label", "encoded_label", "group_key", "ph_info", "split",
@@ -96,9 +98,9 @@ def write_token_list(tokens: DataFrame, path: str) -> None:
     tokens.select(F.col("token").cast("string")).orderBy("token").write.mode("overwrite").text(path)
 
 
-def write_wide(df: DataFrame, path: str) -> None:
-    """A small table, e.g. a report or a matrix, as one CSV file."""
-    _csv(df.coalesce(1), path)
+def write_wide(df: DataFrame, path: str, max_rows: int = MAX_LABELS) -> None:
+    """A table of at most max_rows rows, e.g. a report or a matrix, as one CSV file."""
+    _csv(bounded(df, max_rows, "wide table").coalesce(1), path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -48,13 +48,14 @@ def score_stream(
     ts_col: str | None = None,
     trigger: dict | None = None,
     key: str = "row_seq",
+    parts: int | None = None,
 ) -> StreamingQuery:
     """Score and gate messages; all go to the log, those below their threshold also to the
-    low-confidence log. Both come from one persisted micro-batch."""
+    low-confidence log. Both come from one persisted micro-batch, dealt over `parts` partitions if given."""
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         ts = F.current_timestamp() if ts_col is None else F.col(ts_col)
-        rows = spread(batch, key)
+        rows = spread(batch, key, parts)
         scored = scoring.score_messages(rows, scorer, mapping, thresholds)
         # Only what the two logs need is held.
         needed = [key, "text", "intent", "confidence", "threshold", "slots"]

@@ -42,7 +42,7 @@ def test_sentences(spark):
         "my order is late, call 2 times",
         "open a [account_type=gold_account]",
         "cancel my card [credit_card_presence]",
-        "card [phone_number_presence]",
+        "card 4111 1111 1111 1112",
         "please cancel",
         "cancel [id_present]",
         "keep [order_hash]",
@@ -57,6 +57,39 @@ def test_sentences(spark):
     assert got[5][1] == {}
 
 
+def test_spans_written_by_hand(spark):
+    """Placeholders and values that the rules must find, with nothing taken from the rules."""
+    want = {
+        "Refund $1,500.00 please": [("[REFUND_AMOUNT]", "$1,500.00")],
+        "delivered on 2023-06-15": [("[DATE]", "2023-06-15")],
+        "period 2023-2024 2025": [("[DATE]", "2023"), ("[DATE]", "2024"), ("[DATE]", "2025")],
+        "account 123456789012": [("[BANK_NUMBER]", "123456789012")],
+        "card 1234 5678 9012 3456": [],
+        "ring (555) 201-1234": [("[PHONE_NUMBER]", "(555) 201-1234")],
+        "ring 555.201.1234 or +44 20 7946 0958": [("[PHONE_NUMBER]", "555.201.1234"), ("[PHONE_NUMBER]", "+44 20 7946 0958")],
+        "May I return it, march in line": [],
+        "it came in May, or May 5": [("[DATE]", "in May"), ("[DATE]", "May 5")],
+        "from 10.20.30.40 today": [("[IP_ADDRESS]", "10.20.30.40"), ("[DATE]", "today")],
+        "ssn 078-05-1120": [("[US_SSN]", "078-05-1120")],
+        "see shop.example.com/help now": [("[URL]", "shop.example.com/help")],
+        "pay 1BoatSLRHtKNngkdXEeobR76b53LETtpyT": [("[CRYPTO]", "1BoatSLRHtKNngkdXEeobR76b53LETtpyT")],
+        "50 dollars, USD 20 or $ 20": [("[REFUND_AMOUNT]", "50 dollars"), ("[REFUND_AMOUNT]", "USD 20"), ("[REFUND_AMOUNT]", "$ 20")],
+        "yesterday, 3 days ago, next week, a month ago": [("[DATE]", "yesterday"), ("[DATE]", "3 days ago"), ("[DATE]", "next week"), ("[DATE]", "a month ago")],
+    }
+    df = spark.createDataFrame([(t,) for t in want], "text_clean string")
+    rows = E.with_spans(df).select("text_clean", E.merge_spans(F.col("spans")).alias("kept")).collect()
+    assert {r["text_clean"]: [(s["ph"], s["value"]) for s in r["kept"]] for r in rows} == want
+    assert all(r["text_clean"][s["start"] : s["end"]] == s["value"] for r in rows for s in r["kept"])
+
+
+def test_many_matches_keep_their_places(spark):
+    text = " ".join(f"june {i}" for i in range(1000))
+    df = spark.createDataFrame([(text,)], "text_clean string")
+    kept = E.with_spans(df).select(E.merge_spans(F.col("spans"))).first()[0]
+    assert sum(s["ph"] == "[DATE]" for s in kept) >= 1000
+    assert all(text[s["start"] : s["end"]] == s["value"] for s in kept)
+
+
 def merge(spark, spans):
     df = spark.createDataFrame([(spans,)], f"spans {SPANS.simpleString()}")
     return [(s["start"], s["end"]) for s in df.select(E.merge_spans(F.col("spans"))).first()[0]]
@@ -112,8 +145,8 @@ def test_gazetteer_small_and_large(spark):
         [("ada", "PERSON"), ("Ada Lovelace", "PERSON"), ("new york", "GPE"), ("york", "NORP")],
         "phrase string, entity string",
     )
-    for limit in (100, 1):  # broadcast, and salted shuffle
-        out = gazetteer.with_gazetteer_spans(df, known, broadcast_rows=limit)
+    for limit in (100, None):  # broadcast, and salted shuffle
+        out = gazetteer.with_gazetteer_spans(df, known, max_rows=limit)
         got = {
             r["row_seq"]: [(s["start"], s["value"], s["ph"]) for s in r["gazetteer_spans"]]
             for r in out.collect()
@@ -126,6 +159,15 @@ def test_gazetteer_small_and_large(spark):
         }
 
 
+def test_gazetteer_long_names(spark):
+    df = spark.createDataFrame([(1, "from Bank of New York to Jo de la Cruz Garcia")], "row_seq long, text_clean string")
+    known = spark.createDataFrame(
+        [("Bank of New York", "ORG"), ("jo de la cruz garcia", "PERSON")], "phrase string, entity string"
+    )
+    spans = gazetteer.with_gazetteer_spans(df, known).first()["gazetteer_spans"]
+    assert [s["value"] for s in spans][-1] == "Jo de la Cruz Garcia"
+
+
 def test_user_model_spans(spark):
     def load():
         def find(text):

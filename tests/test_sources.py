@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import pytest
 
-from msgloom.operators import metrics
+from pyspark.sql import functions as F
+
+from msgloom.operators import gazetteer, metrics
 from msgloom.plans import evaluate, ingest, prepare
 from msgloom.sources import readers, workspace, writers
 
@@ -145,10 +147,15 @@ def test_shared_folder(spark):
 
 def test_spread(spark):
     one = spark.range(10).coalesce(1)
-    cores = spark.sparkContext.defaultParallelism
-    assert readers.spread(one, "id").rdd.getNumPartitions() == 2 * cores
-    many = spark.range(0, 10, 1, 64)
-    assert readers.spread(many, "id") is many
+    assert readers.spread(one, "id", 16).rdd.getNumPartitions() == 16
+    assert readers.spread(one, "id", None) is one
+
+
+def test_building_a_frame_starts_no_job(spark):
+    broken = spark.range(10).groupBy("id").count().withColumn("x", F.raise_error(F.lit("ran")).cast("string"))
+    readers.spread(broken, "id", 4)
+    texts = broken.select(F.col("id").alias("row_seq"), F.col("x").alias("text_clean"))
+    gazetteer.with_gazetteer_spans(texts, broken.select(F.col("x").alias("phrase"), F.col("x").alias("entity")))
 
 
 def test_table_versions(spark, tmp_path):
