@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 
+from checks.examples import EXAMPLES, values_sql
 from msgloom import constants as C
 from msgloom.operators.entities import RULES
 from msgloom.operators.features import FLAGS, TOKEN_PATTERN
@@ -628,6 +629,8 @@ SELECTS: dict[str, str] = {
         join (select text_model, count(distinct text_raw) as n_unique_raw from modelled group by text_model
               having count(distinct text_raw) > 1 order by n_unique_raw desc, min(row_seq) limit 200) using (text_model)
         where turn <= 10""",
+    "entity_examples": f"""select o_orderkey as row_seq, cast(start as integer) as start, ph, value
+        from orders join {values_sql()} on o_orderkey % {len(EXAMPLES)} = i""",
     "collisions_all": """select text_model, n_unique_raw, text_raw
         from (select distinct text_model, text_raw from modelled)
         join (select text_model, count(distinct text_raw) as n_unique_raw from modelled group by text_model

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixtures as X
+from checks.examples import EXAMPLES
 from msgloom import constants as C
 from msgloom.functions import placeholders as P
 from msgloom.functions import text as T
@@ -450,6 +451,18 @@ def collisions(spark, sf_dir):
     )
 
 
+@query
+def entity_examples(spark, sf_dir):
+    """Spans in hand-written messages, one for each order, against hand-written spans."""
+    texts = list(EXAMPLES)
+    turn = F.col("o_orderkey") % len(texts)
+    df = X.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("row_seq"), X.pick(texts, turn).alias("text_clean")
+    )
+    found = entities.with_spans(df).select("row_seq", F.inline(entities.merge_spans(F.col("spans"))))
+    return found.select("row_seq", "start", "ph", "value")
+
+
 @query
 def collisions_all(spark, sf_dir):
     return audit.collision_rows(modelled(spark, sf_dir))
