@@ -158,17 +158,19 @@ def sensitive_terms(docs: DataFrame, based: DataFrame) -> DataFrame:
     both = pairs.join(often, ["entity", "term"]).select(*row, "entity", "term").distinct()
     both = both.groupBy("entity", "term").agg(F.count("*").alias("n_both"))
     owners = each.select(*row, "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    both = stored(both.join(owners, "entity"), "pairs")
+    near = pairs.select(*row, "term").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    total = docs.agg(F.count("*").alias("n")).scalar()
+    n = F.col("n").cast("double")
+    own = F.log2(n / F.col("n_entity"))
+    share = lambda n_term: F.when(own > 0, F.log2(F.col("n_both") * n / (F.col(n_term) * F.col("n_entity"))) / own)
+    # a term is in at least as many documents as it is near entities in, so no share gets larger than this
+    both = both.join(owners, "entity").join(near, "term").withColumn("n", total)
+    both = stored(both.filter(share("n_near") >= GENERALISE), "pairs")
     wanted = stored(both.select("term").distinct(), "wanted")
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(WORD), F.lit(0)))
     held = docs.select(F.explode(words).alias("term")).join(if_small(wanted), "term")
     held = stored(held.groupBy("term").agg(F.count("*").alias("n_term")), "held")
-    total = docs.agg(F.count("*").alias("n")).scalar()
-    n = F.col("n").cast("double")
-    known = both.join(held, "term").withColumn("n", total)
-    pmi = F.log2(F.col("n_both") * n / (F.col("n_term") * F.col("n_entity")))
-    own = F.log2(n / F.col("n_entity"))
-    shares = known.withColumn("share", F.when(own > 0, pmi / own)).filter(F.col("share") >= GENERALISE)
+    shares = both.join(held, "term").withColumn("share", share("n_term")).filter(F.col("share") >= GENERALISE)
     return stored(shares.groupBy("term").agg(F.max("share").alias("share")), "sensitive")
 
 
@@ -176,7 +178,7 @@ def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(doc_id, text_hash, terms): spans (start, end, value) of terms in the rows that hold any."""
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(WORD), F.lit(0)))
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    held = rows.select("doc_id", "text_hash", F.explode(words).alias("term")).distinct()
+    held = rows.select("doc_id", "text_hash", F.explode(words).alias("term"))
     held = held.join(if_small(terms.select("term")), "term", "left_semi")
     held = held.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("term")).alias("held"))
     held = stored(held.toDF("_doc", "_hash", "held"), "holders")
