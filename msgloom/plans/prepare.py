@@ -44,7 +44,8 @@ def prepare(
     """Model text, conflicts, dedup by model text, group key, label ids and split.
 
     The label ids need a pass over the rows of their own. With a `folder` (shared by all
-    executors) the rows are written there first, so that the text work is done once.
+    executors) the rows are written there first, so that the text work is done once, and an
+    empty train split is an error.
     """
     modelled = model_rows(cleaned, keep_bins)
     unique = dedup.first_per_key(modelled, ["text_model"])
@@ -56,6 +57,8 @@ def prepare(
     encoded = features.encode_labels(grouped, mapping)
     split = splits.split_exact if exact else splits.split_by_group
     rows = split(encoded, "group_key", test_ratio, valid_ratio, seed)
+    if folder:
+        rows = splits.require_rows(rows)
     return Prepared(rows, mapping, audit.text_conflicts(modelled))
 
 

@@ -140,6 +140,19 @@ def test_evaluate(spark):
     assert out["report"].count() == 13 and out["thresholds"].count() == 10
 
 
+def test_audit_job(spark, tmp_path):
+    from msgloom.plans import audit
+
+    rows = [(i, f"order {i % 7} is late, refund ${i}", ["complaint", "review"][i % 2]) for i in range(60)]
+    df = spark.createDataFrame([(i, t, label, t) for i, t, label in rows], "row_seq long, text string, label string, text_raw string")
+    modelled = prepare.model_rows(df)
+    checks = audit.audit_rows(modelled, prepare.prepare(df, folder=str(tmp_path / "rows"), group_by="presence"))
+    assert len(checks) == 8
+    assert checks["label_distribution"].count() == 2 and checks["collisions"].count() >= 0
+    with pytest.raises(ValueError):
+        prepare.prepare(df.limit(0), folder=str(tmp_path / "none"))
+
+
 def test_shared_folder(spark):
     assert workspace.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert workspace.new_folder(spark, "x") != workspace.new_folder(spark, "x")
