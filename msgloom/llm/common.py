@@ -44,17 +44,3 @@ def file_system(path: str):
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(path) if ":" in path else (fs.LocalFileSystem(), path)
-
-
-def write_file(path: str, chunks, attempt: int = 0) -> None:
-    """Write the chunks under another name and move the whole file into place.
-
-    A task that runs again makes the same file again; a reader never sees half of one.
-    """
-    store, name = file_system(path)
-    store.create_dir(name.rpartition("/")[0], recursive=True)
-    part = f"{name}.{attempt}.part"
-    with store.open_output_stream(part, compression=None) as out:
-        for chunk in chunks:
-            out.write(chunk)
-    store.move(part, name)
