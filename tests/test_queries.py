@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from checks import oracle, queries
 from oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,13 +18,14 @@ def con():
 
 
 def test_every_query_but_the_trained_model_has_sql():
-    assert set(entry.queries()) - set(SQL) == {"ml_predictions"}
-    assert set(SQL) <= set(entry.queries())
+    assert set(queries.QUERIES) - set(SQL) == {"ml_predictions"}
+    assert set(SQL) <= set(queries.QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(queries.QUERIES))
 def test_query(spark, con, name):
-    fn = entry.queries()[name]
+    fn = queries.QUERIES[name]
     if name not in SQL:
         assert fn(spark, SF).count() > 0
         return
