@@ -168,8 +168,8 @@ def sensitive_terms(docs: DataFrame, based: DataFrame) -> DataFrame:
     both = stored(both.filter(share("n_near") >= GENERALISE), "pairs")
     wanted = stored(both.select("term").distinct(), "wanted")
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(WORD), F.lit(0)))
-    held = docs.select(F.explode(words).alias("term")).join(if_small(wanted), "term")
-    held = stored(held.groupBy("term").agg(F.count("*").alias("n_term")), "held")
+    held = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    held = stored(held.join(if_small(wanted), "term"), "held")
     shares = both.join(held, "term").withColumn("share", share("n_term")).filter(F.col("share") >= GENERALISE)
     return stored(shares.groupBy("term").agg(F.max("share").alias("share")), "sensitive")
 
@@ -183,14 +183,15 @@ def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     held = held.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("term")).alias("held"))
     held = stored(held.toDF("_doc", "_hash", "held"), "holders")
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash"))
-    found = rows.join(if_small(held), same).dropDuplicates(["doc_id", "text_hash"])
+    found = rows.join(if_small(held), same)
     pattern = F.concat(F.lit("(?iu)(?<!\\p{L})(?:"), F.array_join("held", "|"), F.lit(")(?!\\p{L})"))
     found = computed_once(found.select("doc_id", "text_hash", "text", pattern.alias("pattern")), {
         "terms_m": F.regexp_extract_all("text", F.col("pattern"), F.lit(0)),
         "terms_p": F.split("text", F.col("pattern"), -1),
     }, ["text", "pattern"])
     found = _with_offsets(found, ["terms"])
-    return found.select("doc_id", "text_hash", F.transform("terms", lambda s: s.dropFields("before", "after")).alias("terms"))
+    found = found.select("doc_id", "text_hash", F.transform("terms", lambda s: s.dropFields("before", "after")).alias("terms"))
+    return found.dropDuplicates(["doc_id", "text_hash"])  # of repeated rows
 
 
 def _named(spans: Column) -> Column:
