@@ -1,8 +1,10 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-Spark counts the n-grams of labelled texts by class. The n-grams that separate the classes
+Spark counts the n-grams of all labelled texts by class. The n-grams that separate the classes
 best (chi-square) are kept; presence of each is scaled by its log-count ratio, and logistic
-regression on a bounded sample of labelled rows weighs them. Every whole text is scored.
+regression on all labelled rows weighs them: the driver holds one number for each n-gram, each
+step sums the gradient in Spark. The sums are of whole numbers, so that they don't depend on how
+rows fall to tasks. Every whole text is scored.
 
 Null and empty texts hold no n-gram and get the model's base score. Labels that are null, or
 of rows that documents lack, are left out; of repeated labels the larger counts. Without both
@@ -19,18 +21,22 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from msgloom.llm.common import stored
+from msgloom.llm.common import if_small, stored
 
-ORDERS = (4, 6)
+ORDERS = (3, 4, 5)
 BITS = 21
-#: Labelled rows of each class that the classifier is fitted on, those with the smallest hashes.
-TRAIN_ROWS = 3_000
-FEATURES = 4_000
+FEATURES = 20_000
 MIN_TEXTS = 3
 SMOOTHING = 1.0
 PENALTY = 1e-3
 THRESHOLD = 0.7
 PIECE = 1 << 20
+#: Steps of the fit, pairs of steps that it remembers, and the relative gain at which it ends.
+STEPS, REMEMBERED, SETTLED = 40, 8, 1e-3
+#: Errors and losses are summed in units of 1 / UNITS. Rows are read in groups of so many.
+UNITS, GROUP = 1 << 22, 256
+#: Features of labelled rows of at most so many bytes are summed on the driver.
+LOCAL_BYTES = 4 << 20
 
 
 @dataclass
@@ -56,16 +62,11 @@ def slot_pieces(text: str | None, orders=ORDERS, bits: int = BITS) -> Iterator[n
                 yield (mixed * np.uint32(0x9E3779B1) ^ np.uint32(n * 0x51ED27)) >> np.uint32(32 - bits)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(label, text) of at most `rows` labelled documents of each class."""
-    one = labels.filter("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    picked = None
-    for label in (0, 1):
-        some = one.filter(F.col("label") == label).orderBy(*order).limit(rows)
-        picked = some if picked is None else picked.unionByName(some)
-    ids = picked.select(F.col("doc_id").alias("_id"), "label")  # at most 2 * rows
-    return docs.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("label", F.coalesce("text", F.lit("")).alias("text"))
+def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(label, text) of the labelled documents."""
+    one = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").alias("_id"))
+    ids = if_small(stored(one.agg(F.max("toxic").cast("int").alias("label")), "labels"))
+    return docs.join(ids, F.col("doc_id") == F.col("_id")).select("label", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -95,36 +96,97 @@ class Presence:
         return np.unique(np.concatenate(found))
 
 
-def _fit(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression on presence times ratio, by gradient steps with adaptive moments."""
-    index = np.concatenate(rows) if rows else np.zeros(0, np.int16)
-    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-    value = ratio[index].astype(np.float32)
-    w, b = np.zeros(len(ratio)), 0.0
-    first, second, base_first, base_second = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-    for t in range(1, steps + 1):
-        z = np.bincount(row, weights=value * w[index], minlength=len(rows)) + b
-        error = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
-        grad = np.bincount(index, weights=value * error[row], minlength=len(w)) + PENALTY * w
-        first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad**2
-        base_first, base_second = 0.9 * base_first + 0.1 * error.sum(), 0.99 * base_second + 0.01 * error.sum() ** 2
-        scale = 0.05 * np.sqrt(1 - 0.99**t) / (1 - 0.9**t)
-        w = w - scale * first / (np.sqrt(second) + 1e-9)
-        b = b - scale * base_first / (np.sqrt(base_second) + 1e-9)
-    return w, float(b)
-
-
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, features: int = FEATURES) -> Model:
+def _sums(labels: np.ndarray, held: list[bytes], weights: np.ndarray, base: float) -> np.ndarray:
+    """By class: the rows' errors summed by feature, all errors, all losses, in whole UNITS."""
+    width = len(weights)
+    out = np.zeros((2, width + 2))
+    for at in range(0, len(held), GROUP):
+        some, y = held[at : at + GROUP], labels[at : at + GROUP].astype(np.int64)
+        index = np.frombuffer(b"".join(some), "<i2")
+        row = np.repeat(np.arange(len(some)), [len(h) // 2 for h in some])
+        z = np.bincount(row, weights=weights[index], minlength=len(some)) + base
+        error = np.rint((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * UNITS)
+        loss = np.rint(np.minimum(np.logaddexp(0, (1 - 2 * y) * z), 1000) * UNITS)
+        out[:, :width] += np.bincount(index + width * y[row], weights=error[row], minlength=2 * width).reshape(2, width)
+        out[:, width] += np.bincount(y, weights=error, minlength=2)
+        out[:, width + 1] += np.bincount(y, weights=loss, minlength=2)
+    return out
+
+
+def _passes(held: DataFrame, width: int):
+    """A function (weights, base) -> _sums over all rows of held (label, held), a stored table."""
+    size = held.agg(F.sum(F.length("held"))).first()[0] or 0
+    if size <= LOCAL_BYTES:
+        rows = held.toPandas()
+        return lambda weights, base: _sums(rows["label"].to_numpy(), list(rows["held"]), weights, base)
+
+    def over_all(weights: np.ndarray, base: float) -> np.ndarray:
+        def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            sums = np.zeros((2, width + 2))
+            for batch in batches:
+                sums += _sums(batch["label"].to_numpy(), list(batch["held"]), weights, base)
+            some = np.flatnonzero(sums.any(axis=0))
+            yield pd.DataFrame({"at": some.astype("int32"), "clean": sums[0, some].astype("int64"), "toxic": sums[1, some].astype("int64")})
+
+        added = held.mapInPandas(part, "at int, clean long, toxic long").groupBy("at")
+        got = added.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()
+        out = np.zeros((2, width + 2))
+        out[:, got["at"].to_numpy()] = got[["clean", "toxic"]].to_numpy(float).T
+        return out
+
+    return over_all
+
+
+def _fit(passes, ratio: np.ndarray, clean: int, toxic: int) -> tuple[np.ndarray, float]:
+    """Logistic regression on presence times ratio, both classes with the same weight (L-BFGS)."""
+    width = len(ratio)
+    share = np.array([0.5 / clean, 0.5 / toxic]) / UNITS
+
+    def at(x: np.ndarray) -> tuple[float, np.ndarray]:
+        sums = share @ passes(x[:-1] * ratio, x[-1])
+        return sums[width + 1] + PENALTY / 2 * x[:-1] @ x[:-1], np.append(sums[:width] * ratio + PENALTY * x[:-1], sums[width])
+
+    x, past = np.zeros(width + 1), []
+    loss, grad = at(x)
+    for _ in range(STEPS):
+        way, kept = -grad, []
+        for s, d in reversed(past):
+            kept.append((s @ way) / (s @ d))
+            way = way - kept[-1] * d
+        if past:
+            s, d = past[-1]
+            way = way * (s @ d) / (d @ d)
+        else:
+            way = way / max(np.linalg.norm(grad), 1e-12)
+        for (s, d), k in zip(past, reversed(kept), strict=True):
+            way = way + (k - (d @ way) / (s @ d)) * s
+        size, slope = 1.0, grad @ way
+        new_loss, new_grad = at(x + way)
+        while new_loss > loss + 1e-4 * size * slope and size > 1e-4:
+            size /= 4
+            new_loss, new_grad = at(x + size * way)
+        if new_loss >= loss:
+            break
+        step, change, gain = size * way, new_grad - grad, loss - new_loss
+        if step @ change > 1e-12:
+            past = [*past, (step, change)][-REMEMBERED:]
+        x, loss, grad = x + step, new_loss, new_grad
+        if gain < SETTLED * loss:
+            break
+    return x[:-1], float(x[-1])
+
+
+def train(docs: DataFrame, labels: DataFrame, features: int = FEATURES) -> Model:
     """Fit on documents (doc_id, text) with labels (doc_id, toxic)."""
-    train_set = stored(training_rows(docs, labels, rows), "labelled")
+    if features > 1 << 15:
+        raise ValueError("feature numbers have 16 bits")
+    train_set = stored(training_rows(docs, labels), "labelled")
     sizes = {r["label"]: r["count"] for r in train_set.groupBy("label").count().collect()}
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not clean or not toxic:
         base = 30.0 if toxic else -30.0
         return Model(np.zeros(0, np.int64), np.zeros(0), base)
-    spread = train_set.repartition(6)
-    counted = spread.mapInPandas(_count, "slot int, clean int, toxic int")
+    counted = train_set.mapInPandas(_count, "slot int, clean int, toxic int")
     counted = counted.groupBy("slot").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
     apart = a * (clean - b) - b * (toxic - a)
@@ -142,12 +204,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, features:
             held = [find(t).astype("<i2").tobytes() for t in batch["text"]]
             yield pd.DataFrame({"label": batch["label"], "held": held})
 
-    if features > 1 << 15:
-        raise ValueError("feature numbers have 16 bits")
-    held = spread.mapInPandas(present, "label int, held binary").toPandas()
-    held = held.sort_values(["label", "held"])  # sums in one order, whatever task came first
-    lists = [np.frombuffer(h, "<i2") for h in held["held"]]
-    w, base = _fit(lists, held["label"].to_numpy(), ratio)
+    held = stored(train_set.mapInPandas(present, "label int, held binary"), "held")
+    w, base = _fit(_passes(held, len(slots)), ratio, clean, toxic)
     return Model(slots, (w * ratio).astype(np.float64), base)
 
 

@@ -267,6 +267,34 @@ def test_toxicity_learns_from_labels_only(spark, empty):
     assert kept.columns == docs.columns and kept.count() == sum(r["predicted"] == 0 for r in got)
 
 
+def test_toxic_words_of_every_labelled_row_count(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    ids = spark.range(14_000).select(F.col("id").alias("doc_id"), toxicity.held_out(F.col("id")).alias("out"))
+    ranked = ids.orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    learned = [r["doc_id"] for r in ranked if not r["out"]]
+    late = set(learned[8_400:])  # the last rows in the order of hashes
+    rows, labels = [], []
+    for n, i in enumerate(learned):
+        words = prose(9, i).split()
+        if toxic := n % 2:
+            words[i % 9] = "horribad" if i in late else "vilename"
+        rows.append((i, " ".join(words), "en", "s", 0))
+        labels.append((i, 1, toxic))
+    unseen = [r["doc_id"] for r in ranked if r["out"]][:200]
+    rows += [(i, prose(9, i) + (" horribad" if n % 2 else ""), "en", "s", 0) for n, i in enumerate(unseen)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(8)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: (r["score"], r["predicted"]) for r in toxicity.scored(docs, table).collect()}
+    assert sum(got[i][1] == n % 2 for n, i in enumerate(unseen)) >= 190
+    monkeypatch.setattr(toxicity, "LOCAL_BYTES", 0)
+    few = docs.filter("doc_id < 300")
+    monkeypatch.setattr(toxicity, "STEPS", 3)
+    spread = order(map(tuple, toxicity.scored(few, table).collect()))
+    monkeypatch.setattr(toxicity, "LOCAL_BYTES", 1 << 30)
+    assert order(map(tuple, toxicity.scored(few, table).collect())) == spread
+
+
 def test_long_texts_are_read_in_pieces(monkeypatch):
     text = prose(500, 1)
     whole = np.unique(np.concatenate(list(toxicity.slot_pieces(text))))
