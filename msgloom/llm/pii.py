@@ -3,8 +3,9 @@
 Base spans are found by patterns. A term is a word that stands near an entity (a base value). From
 document counts over the corpus, a term's information about an entity is PMI(term, entity), and
 the entity's own is IC = -log2 p(entity). A term whose share PMI / IC reaches GENERALISE is
-generalised to GENERAL wherever it stands, from REMOVE on it is removed. Pairs need
-MIN_CONTEXTS different contexts, so that copies of one passage are one piece of evidence.
+generalised to GENERAL wherever it stands, from REMOVE on it is removed. All pairs are judged,
+those that stand together once as well: PMI takes the lower confidence bound of p(entity | term),
+which is far below the observed share where evidence is scarce.
 
 Null texts are empty. Repeated rows count as documents and give repeated results. A row without
 a doc_id is a row like others.
@@ -34,7 +35,10 @@ BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 #: Words on each side of an entity that count as its context, and the characters they are taken from.
 NEAR_WORDS, NEAR_CHARS = 6, 200
 WORD = "\\p{L}{3,}"
-MIN_CONTEXTS = 3
+#: Pieces between matches that may lie within NEAR_CHARS, as a match has seven characters or more.
+NEAR_PIECES = NEAR_CHARS // 7
+#: Standard deviations that the confidence bound (Wilson) lies below the observed share.
+DEVIATIONS = 3.0
 GENERALISE, REMOVE = 0.5, 0.9
 #: Sums are made of blocks of so many pieces.
 CHUNK = 64
@@ -62,9 +66,10 @@ def valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _with_offsets(rows: DataFrame, names: list[str]) -> DataFrame:
-    """For each name, turn pieces (<name>_p) and matches (<name>_m) into <name>: (start, end, value, before, after).
+def _with_offsets(rows: DataFrame, names: list[str], sides: bool = False) -> DataFrame:
+    """For each name, turn pieces (<name>_p) and matches (<name>_m) into <name>: (start, end, value).
 
+    With sides also (before, after): the text next to a match, other matches of the name as a space.
     Lengths are summed in blocks first, so that a text with many matches takes linear time.
     """
     none = F.array().cast("array<string>")
@@ -85,21 +90,30 @@ def _with_offsets(rows: DataFrame, names: list[str]) -> DataFrame:
     rows = computed_once(rows, {f"{n}_d": steps(n) for n in names})
     rows = computed_once(rows, {f"{n}_b": sums(n) for n in names})
     rows = computed_once(rows, {f"{n}_t": totals(n) for n in names}, [f"{n}_b" for n in names])
+    if sides:
+        ends = {f"{n}_r": F.transform(f"{n}_p", lambda p: F.right(p, F.lit(NEAR_CHARS))) for n in names}
+        starts = {f"{n}_l": F.transform(f"{n}_p", lambda p: F.left(p, F.lit(NEAR_CHARS))) for n in names}
+        rows = computed_once(rows, ends | starts)
+
+    def around(n: str, i: Column) -> list[Column]:
+        first = F.greatest(i + 1 - NEAR_PIECES, F.lit(0))
+        before = F.array_join(F.slice(F.col(f"{n}_r"), first + 1, i + 1 - first), " ")
+        after = F.array_join(F.slice(F.col(f"{n}_l"), i + 2, F.lit(NEAR_PIECES)), " ")
+        return [before.alias("before"), after.alias("after")]
 
     def made(n: str) -> Column:
         def span(m: Column, i: Column) -> Column:
             block = F.floor(i / CHUNK).cast("int")
             inside = F.slice(F.col(f"{n}_d"), block * CHUNK + 1, i - block * CHUNK)
-            before = F.get(F.col(f"{n}_p"), i)
-            start = F.get(F.col(f"{n}_t"), block) + add(inside) + F.char_length(before)
+            start = F.get(F.col(f"{n}_t"), block) + add(inside) + F.char_length(F.get(F.col(f"{n}_p"), i))
             return F.struct(
                 start.alias("start"), (start + F.char_length(m)).alias("end"), m.alias("value"),
-                before.alias("before"), F.get(F.col(f"{n}_p"), i + 1).alias("after"),
+                *(around(n, i) if sides else []),
             )
 
         return F.transform(F.coalesce(F.col(f"{n}_m"), none), span)
 
-    dropped = [f"{n}_{x}" for n in names for x in "pmdt"]
+    dropped = [f"{n}_{x}" for n in names for x in ("pmdtrl" if sides else "pmdt")]
     return computed_once(rows, {n: made(n) for n in names}, dropped)
 
 
@@ -125,7 +139,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
         f"{kind}_p": F.when(F.size(f"{kind}_m") > 0, F.split(text, pattern, -1)).otherwise(none)
         for kind, pattern in PATTERNS.items()
     }
-    rows = _with_offsets(computed_once(rows, pieces, ["text"]), list(KINDS))
+    rows = _with_offsets(computed_once(rows, pieces, ["text"]), list(KINDS), sides=True)
 
     def placed(place: int, kind: str) -> Column:
         good = F.filter(F.col(kind), lambda s: valid(kind, s["value"]))
@@ -142,6 +156,12 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return computed_once(rows, {"base": F.sort_array(F.concat(*parts))}, list(KINDS))
 
 
+def least_share(part: Column, whole: Column) -> Column:
+    """The lower bound (Wilson) of a share of which `part` of `whole` cases were seen."""
+    p, n, z2 = part / whole, whole.cast("double"), DEVIATIONS**2
+    return (p + z2 / (2 * n) - DEVIATIONS * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+
+
 def sensitive_terms(docs: DataFrame, based: DataFrame) -> DataFrame:
     """Stored (term, share): terms whose information about some entity reaches GENERALISE of its own.
 
@@ -150,19 +170,15 @@ def sensitive_terms(docs: DataFrame, based: DataFrame) -> DataFrame:
     entity = F.xxhash64("s.kind", F.lower("s.value"))
     each = based.select("doc_id", "text_hash", F.explode("base").alias("s"))
     each = each.select("doc_id", "text_hash", entity.alias("entity"), "s.near")
-    place = F.xxhash64("near")
-    pairs = each.select("doc_id", "text_hash", "entity", place.alias("place"), F.explode(F.array_distinct("near")).alias("term"))
-    contexts = pairs.select("entity", "term", "place").distinct().groupBy("entity", "term").count()
-    often = contexts.filter(F.col("count") >= MIN_CONTEXTS).select("entity", "term")
     row = ["doc_id", "text_hash"]
-    both = pairs.join(often, ["entity", "term"]).select(*row, "entity", "term").distinct()
-    both = both.groupBy("entity", "term").agg(F.count("*").alias("n_both"))
+    pairs = each.select(*row, "entity", F.explode(F.array_distinct("near")).alias("term")).distinct()
+    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both"))
     owners = each.select(*row, "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     near = pairs.select(*row, "term").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
     total = docs.agg(F.count("*").alias("n")).scalar()
     n = F.col("n").cast("double")
     own = F.log2(n / F.col("n_entity"))
-    share = lambda n_term: F.when(own > 0, F.log2(F.col("n_both") * n / (F.col(n_term) * F.col("n_entity"))) / own)
+    share = lambda n_term: F.when(own > 0, F.log2(least_share(F.col("n_both"), F.col(n_term)) * n / F.col("n_entity")) / own)
     # a term is in at least as many documents as it is near entities in, so no share gets larger than this
     both = both.join(owners, "entity").join(near, "term").withColumn("n", total)
     both = stored(both.filter(share("n_near") >= GENERALISE), "pairs")
@@ -190,7 +206,7 @@ def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
         "terms_p": F.split("text", F.col("pattern"), -1),
     }, ["text", "pattern"])
     found = _with_offsets(found, ["terms"])
-    found = found.select("doc_id", "text_hash", F.transform("terms", lambda s: s.dropFields("before", "after")).alias("terms"))
+    found = found.select("doc_id", "text_hash", "terms")
     return found.dropDuplicates(["doc_id", "text_hash"])  # of repeated rows
 
 

@@ -448,6 +448,22 @@ def test_terms_that_reveal_an_entity(spark):
     assert "orblatt" not in clean[0] and "[EMAIL]" in clean[0] and clean[20] == rows[20][1]
 
 
+def test_scarce_entities_reveal_terms_too(spark):
+    rows = [(i, f"{prose(20, i)} wrote from home to us", "en", "s", 0) for i in range(400)]
+    rows += [(400 + i, f"{prose(8, 400 + i)} Zimbrel wrote from z{i // 2}@mail.example.com to {prose(8, 900 + i)}", "en", "s", 0) for i in range(2)]
+    rows += [(410, f"only Zimbrel {prose(9, 410)}", "en", "s", 0)]
+    copied = f"{prose(9, 420)} Quandrix at +1 555 201 1234 from {prose(9, 421)}"
+    rows += [(420 + i, copied, "en", "s", 0) for i in range(30)] + [(460, "ask quandrix", "en", "s", 0)]
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert "term:5:12" in got[410] and "term:4:12" in got[460] and got[20] == ""
+
+
+def test_contexts_run_past_neighbouring_matches(spark):
+    text = "Zimbrel +1 555 201 1234, +1 555 201 9999; +1 555 201 8888 Quandrix"
+    base = pii.base_spans(spark.createDataFrame([(1, text, "en", "s", 0)], SCHEMA)).first()["base"]
+    assert [b["near"] for b in base] == [["zimbrel", "quandrix"]] * 3
+
+
 SECRET_BASE = [
     ("assign", r"(?ai)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"),
     ("access", r"AKIA[A-Z0-9]+"),
