@@ -1,9 +1,10 @@
 """Secret scans by grammar inference.
 
-Credentials that the base patterns find are labelled by their pattern. From a bounded sample of
-each label a prefix tree over character classes is built, and states whose statistics agree are
-merged (Hoeffding test) into a probabilistic automaton. One more automaton learns ordinary
-tokens. Every run of credential characters in every text is scored: bits per character by which
+Credentials that the base patterns find are labelled by their pattern. Spark counts the prefixes
+of all different values of a label, written as character classes. From the most frequent ones a
+prefix tree is built, and states whose statistics agree are merged (Hoeffding test) into an
+automaton; its probabilities are counted over all values. One more automaton learns ordinary
+tokens in the same way. Every run of credential characters in every text is scored: bits per character by which
 the best format is likelier than ordinary tokens. Runs above the format's threshold are added.
 
 Null texts are empty. A corpus without labelled credentials has base spans only (none). Rows
@@ -15,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -30,14 +32,17 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "likely")
 MIN_VALUE, MIN_ACCESS = 12, 18
 RUN = r"[A-Za-z0-9+/_.=-]{12,}"
-#: Values of each label, and ordinary tokens, that automata are inferred from: those with the smallest hashes.
-TRAIN_VALUES = 400
-#: Longer values are left out of inference; all lengths are scored.
+#: Inner nodes of a label's prefix tree, the most frequent prefixes; their other continuations are leaves.
+NODES = 3_000
+#: Longer prefixes are not in the tree.
 TRAIN_LENGTH = 200
 CONFIDENCE = 0.05
+#: Leaves of the cut tree with so many visits stay states of their own, as nothing is known of their moves.
 MIN_VISITS = 20
 #: Share of a label's own values that may score below its threshold, and the least threshold in bits.
 MISSED, LEAST_BITS = 0.05, 0.5
+#: Gains are counted in bins of 1 / BINS bits.
+BINS = 256
 UNSEEN = 1e-4
 MEMO = 100_000
 
@@ -96,22 +101,34 @@ class Automaton:
     """
 
     def __init__(self, words: list[str]):
+        prefixes, ends = Counter(), Counter(words)
+        for word, times in ends.items():
+            for n in range(len(word) + 1):
+                prefixes[word[:n]] += times
+        self._build([(prefix, n, ends[prefix], True) for prefix, n in prefixes.items()])
+
+    @classmethod
+    def of_nodes(cls, nodes: list[tuple[str, int, int, bool]]) -> Automaton:
+        """From (prefix, visits, ends, whether its moves are known); parents of nodes are nodes."""
+        made = cls.__new__(cls)
+        made._build(nodes)
+        return made
+
+    def _build(self, nodes: list[tuple[str, int, int, bool]]) -> None:
         self.visits, self.ends = [0], [0]
         self.moves: list[dict[str, list[int]]] = [{}]
-        for word in words:
-            state = 0
-            self.visits[0] += 1
-            for s in word:
-                move = self.moves[state].get(s)
-                if move is None:
-                    move = self.moves[state][s] = [len(self.visits), 0]
-                    self.visits.append(0)
-                    self.ends.append(0)
-                    self.moves.append({})
-                move[1] += 1
-                state = move[0]
-                self.visits[state] += 1
-            self.ends[state] += 1
+        self.open, number = set(), {"": 0}
+        for prefix, n, ends, known in sorted(nodes, key=lambda x: (len(x[0]), x[0])):
+            state = number.get(prefix)
+            if state is None:
+                state = number[prefix] = len(self.visits)
+                self.visits.append(0)
+                self.ends.append(0)
+                self.moves.append({})
+                self.moves[number[prefix[:-1]]][prefix[-1]] = [state, n]
+            self.visits[state], self.ends[state] = n, ends
+            if not known and n > ends:
+                self.open.add(state)
         self._merge()
         self._settle()
 
@@ -124,10 +141,10 @@ class Automaton:
         while todo:
             a, b = todo.pop()
             n, m = self.visits[a], self.visits[b]
-            if min(n, m) < MIN_VISITS:
-                continue
             if self._apart(self.ends[a], n, self.ends[b], m):
                 return False
+            if a in self.open or b in self.open:
+                continue
             for s in self.moves[a].keys() | self.moves[b].keys():
                 x, y = self.moves[a].get(s), self.moves[b].get(s)
                 if self._apart(x[1] if x else 0, n, y[1] if y else 0, m):
@@ -144,6 +161,8 @@ class Automaton:
                 continue
             self.visits[a] += self.visits[b]
             self.ends[a] += self.ends[b]
+            if self.moves[b]:
+                self.open.discard(a)
             for s, (to, times) in self.moves[b].items():
                 if s in self.moves[a]:
                     self.moves[a][s][1] += times
@@ -152,14 +171,17 @@ class Automaton:
                     self.moves[a][s] = [to, times]
 
     def _merge(self) -> None:
-        red = [0]
+        red, alone = [0], []
         while True:
-            settled = set(red)
-            border = [(self.visits[m[0]], r, s) for r in red for s, m in self.moves[r].items() if m[0] not in settled]
+            settled = {*red, *alone}
+            border = [(self.visits[m[0]], r, s) for r in [*red, *alone] for s, m in self.moves[r].items() if m[0] not in settled]
             if not border:
                 break
             _, parent, s = max(border, key=lambda x: (x[0], -x[1], x[2]))
             blue = self.moves[parent][s][0]
+            if blue in self.open and self.visits[blue] >= MIN_VISITS:
+                alone.append(blue)
+                continue
             for r in red:
                 if self._compatible(r, blue):
                     self.moves[parent][s][0] = r
@@ -167,7 +189,29 @@ class Automaton:
                     break
             else:
                 red.append(blue)
-        self.states = red
+        self.states = red + alone
+
+    def count(self, word: str, times: int, counts: Counter) -> None:
+        """Add the moves of a word, (state, symbol), and its end, (state, ""); a move that is missing stays."""
+        state = 0
+        for s in word:
+            counts[state, s] += times
+            move = self.moves[state].get(s)
+            state = move[0] if move else state
+        counts[state, ""] += times
+
+    def recount(self, counts: dict[tuple[int, str], int]) -> None:
+        """Take the probabilities from the counts of all words."""
+        for state in self.states:
+            to = {s: m[0] for s, m in self.moves[state].items()}
+            self.moves[state], self.visits[state], self.ends[state] = {s: [t, 0] for s, t in to.items()}, 0, 0
+        for (state, s), times in counts.items():
+            self.visits[state] += times
+            if s:
+                self.moves[state].setdefault(s, [state, 0])[1] += times
+            else:
+                self.ends[state] += times
+        self._settle()
 
     def _settle(self) -> None:
         """Bits of each move and end, for scoring."""
@@ -195,48 +239,92 @@ class Automaton:
 class Grammar:
     """Automata of the labels and of ordinary tokens, with a threshold for each label."""
 
-    def __init__(self, labelled: dict[str, list[str]], ordinary: list[str]):
-        classes = lambda words: sorted(w.translate(CLASSES) for w in words if len(w) <= TRAIN_LENGTH)
-        self.ordinary = Automaton(classes(ordinary))
-        self.formats = {kind: Automaton(made) for kind, words in sorted(labelled.items()) if (made := classes(words))}
-        self.least = {}
-        for kind, format in self.formats.items():
-            own = sorted(self._gain(format, w) for w in classes(labelled[kind]))
-            self.least[kind] = max(LEAST_BITS, own[int(MISSED * len(own))])
+    def __init__(self, formats: dict[str, Automaton], ordinary: Automaton):
+        self.formats, self.ordinary, self.least = formats, ordinary, dict.fromkeys(formats, LEAST_BITS)
 
-    def _gain(self, format: Automaton, word: str) -> float:
+    def gain(self, format: Automaton, word: str) -> float:
         return (format.score(word) - self.ordinary.score(word)) / (len(word) + 1)
 
     def likely(self, value: str) -> bool:
         """Whether the value is a word of one of the formats rather than an ordinary token."""
         word = value.translate(CLASSES)
-        return any(self._gain(format, word) >= self.least[kind] for kind, format in self.formats.items())
+        return any(self.gain(format, word) >= self.least[kind] for kind, format in self.formats.items())
 
 
-def train(docs: DataFrame, values: int = TRAIN_VALUES) -> Grammar | None:
-    """Infer from bounded samples of all texts' labelled credentials and ordinary tokens."""
+def shapes(docs: DataFrame) -> DataFrame:
+    """Stored (kind, shape, n): how many different values of a label, or ordinary tokens (kind ""), have a shape."""
 
     def collect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         find, pattern = Base(), re.compile(RUN)
         for batch in batches:
-            rows = []
+            rows = set()
             for text in batch["text"]:
                 base = find(text or "")
-                rows += [(kind, value) for _, _, kind, value in base]
-                ordinary = [v for _, _, v in runs(text or "", [s[:2] for s in base], pattern)]
-                if ordinary:
-                    rows.append(("", min(ordinary, key=lambda v: hashlib.md5(v.encode()).digest())))
-            yield pd.DataFrame(rows, columns=["kind", "value"])
-
-    found = stored(docs.select("text").mapInPandas(collect, "kind string, value string").distinct(), "values")
-    picked = {}
-    for kind in ("", *KINDS[:3]):
-        some = found.filter((F.col("kind") == kind) & (F.length("value") <= TRAIN_LENGTH))
-        rows = some.orderBy(F.xxhash64("value"), "value").limit(values).collect()
-        picked[kind] = [r["value"] for r in rows]
-    ordinary = picked.pop("")
-    labelled = {kind: words for kind, words in picked.items() if words}
-    return Grammar(labelled, ordinary) if labelled else None
+                rows.update((kind, value) for _, _, kind, value in base)
+                rows.update(("", v) for _, _, v in runs(text or "", [s[:2] for s in base], pattern))
+            yield pd.DataFrame(sorted(rows), columns=["kind", "value"])
+
+    values = docs.select("text").mapInPandas(collect, "kind string, value string").distinct()
+    chars = [chr(c) for c in CLASSES if symbol(chr(c)) != chr(c)]
+    shape = F.translate("value", "".join(chars), "".join(map(symbol, chars))).alias("shape")
+    return stored(values.select("kind", shape).groupBy("kind", "shape").agg(F.count("*").alias("n")), "shapes")
+
+
+def _tree(nodes: DataFrame, size: int) -> list[tuple[str, int, int, bool]]:
+    """The `size` most frequent prefixes and the prefixes that are one symbol longer."""
+    top = nodes.orderBy(F.desc("n"), F.length("prefix"), "prefix").limit(size)
+    inner = {r["prefix"]: (r["n"], r["ends"]) for r in top.collect()}
+    parent = F.left("prefix", F.length("prefix") - 1)
+    below = nodes.filter("prefix <> ''").join(F.broadcast(top.select(F.col("prefix").alias("_up"))), parent == F.col("_up"))
+    leaves = {r["prefix"]: (r["n"], r["ends"]) for r in below.select("prefix", "n", "ends").collect()}
+    return [(prefix, n, ends, prefix in inner) for prefix, (n, ends) in (leaves | inner).items()]
+
+
+def train(docs: DataFrame, size: int = NODES) -> Grammar | None:
+    """Infer from the labelled credentials and ordinary tokens of all texts."""
+    found = shapes(docs)
+    cut = F.left("shape", F.lit(TRAIN_LENGTH))
+    each = found.select("kind", "shape", "n", F.explode(F.sequence(F.lit(0), F.length(cut))).alias("d"))
+    ends = F.sum(F.when(F.col("d") == F.length("shape"), F.col("n")).otherwise(0)).alias("ends")
+    nodes = each.groupBy("kind", F.left("shape", F.col("d")).alias("prefix")).agg(F.sum("n").alias("n"), ends)
+    nodes = stored(nodes, "prefixes")
+    machines = {kind: Automaton.of_nodes(tree) for kind in ("", *KINDS[:3]) if (tree := _tree(nodes.filter(F.col("kind") == kind), size))}
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = {kind: Counter() for kind in machines}
+        for batch in batches:
+            for kind, shape, n in zip(batch["kind"], batch["shape"], batch["n"].tolist(), strict=True):
+                machines[kind].count(shape, n, counts[kind])
+        rows = [(kind, state, s, n) for kind, own in counts.items() for (state, s), n in own.items()]
+        yield pd.DataFrame(rows, columns=["kind", "state", "symbol", "n"])
+
+    counted = found.mapInPandas(count, "kind string, state int, symbol string, n long").groupBy("kind", "state", "symbol")
+    every = {kind: {} for kind in machines}
+    for r in counted.agg(F.sum("n").alias("n")).orderBy("kind", "state", "symbol").collect():
+        every[r["kind"]][r["state"], r["symbol"]] = r["n"]
+    for kind, machine in machines.items():
+        machine.recount(every[kind])
+    ordinary = machines.pop("", None) or Automaton([])
+    if not machines:
+        return None
+    grammar = Grammar(machines, ordinary)
+
+    def gains(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = [math.floor(grammar.gain(grammar.formats[k], w) * BINS) for k, w in zip(batch["kind"], batch["shape"], strict=True)]
+            yield pd.DataFrame({"kind": batch["kind"], "gain": made, "n": batch["n"]})
+
+    gained = found.filter("kind <> ''").mapInPandas(gains, "kind string, gain long, n long")
+    bins = gained.groupBy("kind", "gain").agg(F.sum("n").alias("n")).orderBy("kind", "gain").collect()
+    for kind in machines:
+        own = [(r["gain"], r["n"]) for r in bins if r["kind"] == kind]
+        total, until = sum(n for _, n in own), 0
+        for gain, n in own:
+            until += n
+            if until > MISSED * total:
+                grammar.least[kind] = max(LEAST_BITS, gain / BINS)
+                break
+    return grammar
 
 
 def _joined(spans: list[Span]) -> str:

@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -498,6 +499,27 @@ def test_secrets_by_brute_force_and_by_format(spark, empty):
     assert rows_of(credentials.secrets(empty)) == []
 
 
+def test_rare_formats_and_all_ordinary_tokens_are_learned(spark):
+    own = random.Random(6)
+    digits = lambda n: "".join(own.choice("0123456789") for _ in range(n))
+    common = ["".join(own.choice("ghjkmnpqrstuvwxyz") for _ in range(20)) for _ in range(4000)]
+    rare = [f"/{digits(4)}/{digits(4)}/{digits(4)}" for _ in range(8)]
+    rows = [(i, f"password={w} internationalization{'' if i % 4 else 's'}", "en", "s", 0) for i, w in enumerate(common)]
+    rows += [(5000 + i, f"token={w}", "en", "s", 0) for i, w in enumerate(rare)]
+    grammar = credentials.train(spark.createDataFrame(rows, SCHEMA).repartition(8))
+    machine = grammar.formats["assign"]
+    assert machine.visits[0] >= 4008 and machine.moves[0]["/"][1] == 8
+    assert grammar.likely(f"/{digits(4)}/{digits(4)}/{digits(4)}")
+    names = [own.choice("ab") * own.randint(1, 9) + own.choice("Gg0") * own.randint(4, 30) for _ in range(3000)]
+    tree = Counter(n[:i] for n in names for i in range(len(n) + 1))
+    inner = dict(tree.most_common(40)) | {"": len(names)}
+    cut = [(n, c, names.count(n), n in inner) for n, c in tree.items() if n[:-1] in inner]
+    assert all(credentials.Automaton.of_nodes(cut).score(n) < 0 for n in names)
+    many = [(i, f"{digits(6)}.{digits(6)} {'x' * 12}{'y' * (i % 9)}", "en", "s", 0) for i in range(900)]
+    found = credentials.shapes(spark.createDataFrame(many, SCHEMA))
+    assert found.agg({"n": "sum"}).first()[0] == 909
+
+
 def test_automaton_merges_compatible_states():
     own = random.Random(4)
     words = ["A" + "0" * own.randint(8, 20) for _ in range(200)]
