@@ -18,7 +18,7 @@ NATIVE = {"op3_personal_data", "op5_licenses", "op6_quality", "op7_decontaminati
 def test_queries_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLE) <= set(entry.oracle_sql())
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
