@@ -169,10 +169,94 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_licenses, coalesce(names, '') AS lice
 FROM d LEFT JOIN found USING (doc_id)
 """
 
+PHRASES = rf"""
+WITH p AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), w AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p
+), t AS (
+    SELECT lang, sum(len(w))::HUGEINT AS n FROM w GROUP BY lang
+), g AS (
+    SELECT lang, m::INT AS m, array_to_string(list_slice(w, pos, pos + m - 1), ' ') AS phrase
+    FROM (SELECT lang, w, m, unnest(generate_series(1, len(w) - m + 1)) AS pos FROM w, range(1, 6) AS r(m) WHERE len(w) >= m)
+), f AS (
+    SELECT lang, m, phrase, string_split(phrase, ' ') AS w, count(*)::HUGEINT AS f FROM g GROUP BY lang, m, phrase HAVING count(*) >= 100
+), c AS (
+    SELECT lang, m, phrase, w, f AS a, unnest(generate_series(1, m - 1)) AS k FROM f WHERE m > 1
+), s AS (
+    SELECT c.lang, c.m, c.phrase, c.a, c.k, x.f AS l, y.f AS r, t.n, (1000 * c.a * t.n) // (x.f * y.f) AS score
+    FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(list_slice(c.w, 1, k), ' ')
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(list_slice(c.w, k + 1, c.m), ' ')
+    JOIN t ON t.lang = c.lang
+), b AS (
+    SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+    SELECT DISTINCT lang, f, array_to_string(list_slice(w, pos, pos + size - 1), ' ') AS phrase
+    FROM (SELECT lang, f, w, size, unnest(generate_series(1, m - size + 1)) AS pos FROM f, range(2, 5) AS q(size) WHERE m > size)
+), kept AS (
+    SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = b.lang AND i.phrase = b.phrase AND 100 * i.f >= 100 * b.a)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+#: crc32 byte by byte from its table, which follows from the polynomial.
+SPELLING = rf"""
+WITH RECURSIVE step AS (
+    SELECT i, i AS v, 0 AS round FROM range(256) AS t(i)
+    UNION ALL
+    SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, round + 1 FROM step WHERE round < 8
+), crc AS (
+    SELECT list(v ORDER BY i) AS tab FROM step WHERE round = 8
+), runs AS (
+    SELECT doc_id, unnest(regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+), each AS (
+    SELECT doc_id, run, count(*) AS n, encode(coalesce(doc_id::VARCHAR, '') || ':' || run) AS bytes FROM runs GROUP BY doc_id, run
+), hexed AS (
+    SELECT run, n, hex(bytes) AS x, octet_length(bytes) AS size FROM each
+), hashed AS (
+    SELECT run, n, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(0, size), lambda i: ('0x' || substr(x, (2 * i + 1)::INT, 2))::BIGINT)),
+        lambda h, b: xor(h >> 8, tab[(xor(h, b) & 255) + 1])), 4294967295) AS h
+    FROM hexed, crc
+), dropped AS (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n
+    FROM hashed
+), words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM dropped WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), less AS (
+    SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+    FROM (SELECT word, n, unnest(generate_series(1, length(word)))::INT AS i FROM words)
+), near AS (
+    SELECT a.word, b.word AS other, b.n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND length(a.word) = length(b.word) AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+), best AS (
+    SELECT word, count(*) AS n_near, max(n) AS n FROM near GROUP BY word
+), formed AS (
+    SELECT w.word, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near,
+           CASE WHEN b.n >= 2 * w.n THEN (SELECT min(other) FROM near x WHERE x.word = w.word AND x.n = b.n) END AS form,
+           CASE WHEN b.n >= 2 * w.n THEN b.n END AS form_n
+    FROM words w LEFT JOIN best b USING (word)
+), way AS (
+    SELECT word, form AS last FROM formed WHERE form IS NOT NULL
+    UNION ALL
+    SELECT way.word, f.form FROM way JOIN formed f ON f.word = way.last WHERE f.form IS NOT NULL
+), ends AS (
+    SELECT way.word, way.last FROM way JOIN formed f ON f.word = way.last WHERE f.form IS NULL
+)
+SELECT f.word, f.form, coalesce(ends.last, f.word) AS root, f.n, f.n_near, f.form_n FROM formed f LEFT JOIN ends USING (word)
+"""
+
 ORACLE: dict[str, str] = {
     "op4_warc": WARC,
     "op5_licenses": LICENSES,
     "op6_quality": QUALITY,
     "op7_decontamination": CONTAMINATION,
     "op8_source_mix": MIX,
+    "op11_phrases": PHRASES,
+    "op12_spelling": SPELLING,
 }

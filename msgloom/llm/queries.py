@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from msgloom.llm import credentials, decontaminate, licenses, mixing, pii, quality, simhash, tokens, toxicity, warc
+from msgloom.llm import (
+    credentials,
+    decontaminate,
+    licenses,
+    mixing,
+    phrases,
+    pieces,
+    pii,
+    quality,
+    simhash,
+    spelling,
+    tokens,
+    toxicity,
+    warc,
+)
 from msgloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +38,12 @@ def word_bpe() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def piece_bpe() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -73,3 +93,18 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), piece_bpe())

@@ -11,6 +11,8 @@ doc_id follow in the order of their texts, so repeated rows are equal wherever t
 
 from __future__ import annotations
 
+import functools
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -31,60 +33,78 @@ SHARD_IDS = 16_000_000
 MAGIC = b"PFORIDS1"
 FOOTER = struct.Struct("<8sQQQQ")
 GROUP = 1024
-MEMO = 200_000
+#: Pieces of a generation that a worker process remembers, and characters of the longest of them.
+MEMO, LONGEST = 250_000, 64
 
 
 class Encoder:
     """Ids of texts by a tokenizer file.
 
-    `by_words`: for tokenizers that drop white space, so that the ids of a text are those of
-    its pieces between white space. Pieces met before are taken from a memo of bounded size.
+    `by_words`: for tokenizers that drop white space and treat letters, single digits and runs of
+    other characters apart. A text is cut into such pieces, and the ids of pieces met before come
+    from a memo of two generations: the older one goes when the newer is full. Words with other
+    characters than PLAIN (which are composed, and get lower case letter by letter) stay whole.
     """
 
+    PLAIN = re.compile(r"[\t-\r -~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]*")
+    PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00C0-\u00FF]+|[0-9]|[^a-z0-9\u00C0-\u00FF\s]+")
+    SPECIAL = "<|"
+
     def __init__(self, path: str, by_words: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_words = by_words
-        self.now: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.now: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def plain(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words, encoded as one text; an id belongs to the word at its offset."""
-        texts = [w.decode("utf-8") for w in words]
-        made = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        starts = np.cumsum([0] + [len(t) + 1 for t in texts])
+    def _is_plain(self, text: str) -> bool:
+        return self.SPECIAL not in text and self.PLAIN.fullmatch(text) is not None
+
+    def _cut(self, text: str) -> list[str]:
+        if self._is_plain(text):
+            return self.PIECE.findall(text.lower())
+        words = (w.decode("utf-8") for w in text.encode("utf-8").split())
+        return [p for w in words for p in (self.PIECE.findall(w.lower()) if self._is_plain(w) else [w])]
+
+    def _by_tokenizer(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of pieces or words, encoded as one text; an id belongs to the part at its offset."""
+        made = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
+        starts = np.cumsum([0] + [len(w) + 1 for w in parts])
         at = np.array([a for a, _ in made.offsets], np.int64)
         cuts = np.searchsorted(at, starts).tolist()
         raw = np.array(made.ids, "<u4").tobytes()
-        return {w: raw[4 * a : 4 * b] for w, a, b in zip(words, cuts, cuts[1:], strict=False)}
+        return {w: raw[4 * a : 4 * b] for w, a, b in zip(parts, cuts, cuts[1:], strict=False)}
+
+    def _learn(self, parts: set[str]) -> dict[str, bytes]:
+        """The ids of all parts; those not known are encoded, and remembered unless very long."""
+        found = {p: known[p] for known in (self.old, self.now) for p in parts if p in known}
+        missing = [p for p in parts if p not in found]
+        if missing:
+            found |= self._by_tokenizer(missing)
+        if len(self.now) + len(found) > MEMO:
+            self.now, self.old = {}, self.now
+        self.now |= {p: ids for p, ids in list(found.items())[:MEMO] if len(p) <= LONGEST}
+        return found
 
     def __call__(self, text: str) -> np.ndarray:
         if not self.by_words:
             return self.plain(text)
-        words = text.encode("utf-8").split()
-        known = {}
-        missing = []
-        for w in set(words):
-            if w in self.now:
-                continue
-            if w in self.old:
-                known[w] = self.old[w]
-            else:
-                missing.append(w)
-        if missing:
-            known |= self._learn(missing)
-        if len(self.now) + len(known) > MEMO:
-            if len(known) > MEMO:  # one text with more words than the memo holds
-                found = self.old | self.now | known
-                return np.frombuffer(b"".join(map(found.__getitem__, words)), "<u4")
-            self.old, now = self.now, self.now
-            self.now = {w: now[w] for w in set(words) if w in now}
-        self.now.update(known)
-        return np.frombuffer(b"".join(map(self.now.__getitem__, words)), "<u4")
+        parts = self._cut(text)
+        try:
+            ids = b"".join(map(self.now.__getitem__, parts))
+        except KeyError:
+            ids = b"".join(map(self._learn(set(parts)).__getitem__, parts))
+        return np.frombuffer(ids, "<u4")
+
+
+@functools.lru_cache(maxsize=2)
+def encoder(path: str, by_words: bool = True) -> Encoder:
+    """One for each worker process, whose memo serves all its tasks."""
+    return Encoder(path, by_words)
 
 
 def pack_blocks(ids: np.ndarray, percentile: float = PERCENTILE):
@@ -239,7 +259,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID
 
         task = TaskContext.get()
         part = task.partitionId()
-        encode, end = Encoder(tokenizer, by_words), np.array([end_id], "<u4")
+        encode, end = encoder(tokenizer, by_words), np.array([end_id], "<u4")
         writer, done = None, []
 
         def finish() -> None:
