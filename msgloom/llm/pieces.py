@@ -88,13 +88,15 @@ def chunk_counts(docs: DataFrame, model: str) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cut, seen = cutter(model), Counter()
+        counted = lambda: pd.DataFrame({"chunk": list(seen), "n": list(seen.values())})
         for batch in batches:
             for text in batch["text"]:
                 seen.update(cut.chunks(text))
                 if len(seen) > FLUSH:
-                    yield pd.DataFrame({"chunk": list(seen), "n": list(seen.values())})
+                    yield counted()
                     seen.clear()
-        yield pd.DataFrame({"chunk": list(seen), "n": list(seen.values())}, columns=["chunk", "n"]).astype({"n": "int64"})
+        if seen:
+            yield counted()
 
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     return texts.mapInPandas(count, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))

@@ -34,7 +34,7 @@ MAGIC = b"PFORIDS1"
 FOOTER = struct.Struct("<8sQQQQ")
 GROUP = 1024
 #: Pieces of a generation that a worker process remembers, and characters of the longest of them.
-MEMO, LONGEST = 250_000, 64
+MEMO, LONGEST = 400_000, 64
 
 
 class Encoder:
@@ -81,14 +81,16 @@ class Encoder:
 
     def _learn(self, parts: set[str]) -> dict[str, bytes]:
         """The ids of all parts; those not known are encoded, and remembered unless very long."""
-        found = {p: known[p] for known in (self.old, self.now) for p in parts if p in known}
-        missing = [p for p in parts if p not in found]
+        found = {p: self.now[p] for p in parts if p in self.now}
+        new = {p: self.old[p] for p in parts if p in self.old and p not in found}
+        missing = [p for p in parts if p not in found and p not in new]
         if missing:
-            found |= self._by_tokenizer(missing)
-        if len(self.now) + len(found) > MEMO:
+            new |= self._by_tokenizer(missing)
+        if len(self.now) + len(new) > MEMO:
             self.now, self.old = {}, self.now
-        self.now |= {p: ids for p, ids in list(found.items())[:MEMO] if len(p) <= LONGEST}
-        return found
+        if len(new) <= MEMO:
+            self.now |= {p: ids for p, ids in new.items() if len(p) <= LONGEST}
+        return found | new
 
     def __call__(self, text: str) -> np.ndarray:
         if not self.by_words:
