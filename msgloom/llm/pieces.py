@@ -58,7 +58,9 @@ class Cutter:
             raise ValueError("pieces of this model cross white-space markers")
         inner = {c for b in beside for c in b} - {MARK}
         self.lead = len(self.model.encode(LEAD))
-        if LEAD in inner or self.model.normalize(f"{LEAD}{MARK}{MARK}a") != f"{MARK}{LEAD}{MARK}{MARK}a":
+        self.lead_id = self.model.encode(LEAD)[-1]
+        self.names = [str(i) for i in range(n)]
+        if LEAD in inner or self.model.is_unknown(self.lead_id) or self.model.normalize(f"{LEAD}{MARK}{MARK}a") != f"{MARK}{LEAD}{MARK}{MARK}a":
             raise ValueError("this model changes white space")
         # `first` stand only before other characters of a chunk; `last` is followed by none of `first`.
         last = {c for c in inner if c.isalpha()}
@@ -72,9 +74,17 @@ class Cutter:
     def chunks(self, text: str) -> list[str]:
         return self.pattern.findall(self.model.normalize(text))
 
-    def segment(self, chunk: str) -> bytes:
-        """Ids of one chunk of normalised text, as 32-bit integers; it stands behind LEAD, which ends a chunk."""
-        return np.array(self.model.encode(LEAD + chunk)[self.lead :], "<i4").tobytes()
+    def segment(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of chunks of normalised text, as 32-bit integers.
+
+        They are encoded as one text with LEAD before each, which ends a chunk and has one id of its own.
+        """
+        apart = [c for c in chunks if LEAD not in c]
+        ids = np.array(self.model.encode(LEAD + LEAD.join(apart))[self.lead :], "<i4")
+        raw, cuts = ids.tobytes(), np.flatnonzero(ids == self.lead_id).tolist()
+        made = {c: raw[4 * i : 4 * j] for c, i, j in zip(apart, [0, *(k + 1 for k in cuts)], [*cuts, len(ids)], strict=True)} if apart else {}
+        rest = [c for c in chunks if LEAD in c]
+        return made | {c: np.array(self.model.encode(LEAD + c)[self.lead :], "<i4").tobytes() for c in rest}
 
 
 @functools.lru_cache(maxsize=2)
@@ -121,8 +131,8 @@ def chunk_table(docs: DataFrame, model: str, rows: int = TABLE_ROWS) -> DataFram
     def segment(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cut = cutter(model)
         for batch in batches:
-            ids = [cut.segment(c) for c in batch["chunk"]]
-            yield pd.DataFrame({"chunk": batch["chunk"], "ids": ids})
+            chunks = batch["chunk"].tolist()
+            yield pd.DataFrame({"chunk": chunks, "ids": list(map(cut.segment(chunks).__getitem__, chunks))})
 
     kept = counts.filter(level >= least) if least is not None else counts.limit(0)
     return kept.select("chunk").mapInPandas(segment, "chunk string, ids binary")
@@ -143,7 +153,7 @@ def _known(name: str, sent) -> dict[str, bytes]:
 def encode_text(text: str, cut: Cutter, known: dict[str, bytes]) -> list[int]:
     """Ids of a text, joined from the ids of its chunks in their order."""
     found = cut.chunks(text)
-    rare = {c: cut.segment(c) for c in set(found) if c not in known}
+    rare = cut.segment([c for c in set(found) if c not in known])
     return np.frombuffer(b"".join([known[c] if c in known else rare[c] for c in found]), "<i4").tolist()
 
 
@@ -182,7 +192,7 @@ def encoded(docs: DataFrame, model: str, rows: int = TABLE_ROWS) -> DataFrame:
 
 def _digest(ids: list[int], cut: Cutter) -> tuple[int, str, str]:
     sha = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
-    return len(ids), sha(" ".join(map(str, ids))), sha(cut.model.decode(ids))
+    return len(ids), sha(" ".join([cut.names[i] for i in ids])), sha(cut.model.decode(ids))
 
 
 def digests(docs: DataFrame, model: str, rows: int = TABLE_ROWS) -> DataFrame:
