@@ -10,7 +10,8 @@ from msgloom.operators.dedup import first_per_key, newest_per_hash
 from msgloom.operators.ranking import with_rank
 
 PAYLOAD = ["text", "label"]
-ID_RANGE = 1_000_000
+#: Buckets in which new rows are numbered, cut by a quantile sketch of their order.
+ID_BUCKETS, SKETCH = 256, 20_000
 
 
 def with_hash(df: DataFrame, text_col: str = "text_raw", hash_col: str = "md5_hash") -> DataFrame:
@@ -43,11 +44,23 @@ def unmatched(target: DataFrame, staging: DataFrame) -> DataFrame:
     return staging.join(known, "md5_hash", "left_anti")
 
 
-def assign_ids(df: DataFrame, start: Column, order_by: str = "row_seq") -> DataFrame:
-    """Add consecutive ids after `start`, in the order of a unique non-negative number."""
-    ranked = with_rank(
-        df, F.floor(F.col(order_by) / F.lit(ID_RANGE)), [order_by], output="_rank"
-    )
+def range_bounds(df: DataFrame, order_by: str = "row_seq", buckets: int = ID_BUCKETS) -> Column:
+    """Ascending values that cut df into at most `buckets` ranges of about equal size, read once."""
+    shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    bounds = F.percentile_approx(order_by, shares, F.lit(SKETCH))
+    return df.agg(F.coalesce(F.array_distinct(bounds), F.array().cast("array<bigint>"))).scalar()
+
+
+def assign_ids(df: DataFrame, start: Column, order_by: str = "row_seq", bounds: Column | None = None) -> DataFrame:
+    """Add consecutive ids after `start`, in the order of a unique number, however sparse it is.
+
+    Rows are numbered inside the ranges between `bounds` and after those before; bounds of any
+    rows of like order will do.
+    """
+    bounds = range_bounds(df, order_by) if bounds is None else bounds
+    # Its place among the bounds; a scalar subquery can't stand in a lambda.
+    bucket = F.array_position(F.sort_array(F.array_append(bounds, F.col(order_by))), F.col(order_by))
+    ranked = with_rank(df, bucket, [order_by], output="_rank")
     return ranked.withColumn("id", start + F.col("_rank")).drop("_rank")
 
 
@@ -93,7 +106,7 @@ def upsert(
     )
     if not dense_ids:
         return merged
-    new = assign_ids(unmatched(target, staging), top_id).select(
+    new = assign_ids(unmatched(target, staging), top_id, bounds=range_bounds(staging)).select(
         "id",
         "text_raw",
         *PAYLOAD,

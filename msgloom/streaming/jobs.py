@@ -12,7 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from msgloom.functions import text as T
 from msgloom.operators import monitor, scoring, upsert
+from msgloom.plans import ingest
 from msgloom.sources.readers import spread
+from msgloom.sources.versions import DIGITS, prefix_of
 
 BATCH = "batch_id"
 
@@ -131,53 +133,44 @@ def write_first_seen(
     )
 
 
-def _newest_version(rows: DataFrame) -> DataFrame:
-    turn = F.row_number().over(
-        Window.partitionBy("md5_hash").orderBy(F.desc(BATCH), F.desc("id"))
-    )
-    return rows.withColumn("turn", turn).filter("turn = 1").drop("turn", BATCH)
-
-
 def current_messages(spark: SparkSession, path: str) -> DataFrame:
-    """The message table kept by upsert_stream: the newest version of each hash."""
-    rows = read_batches(spark, path)
-    unhashed = rows.filter("md5_hash is null").drop(BATCH)
-    return _newest_version(rows.filter("md5_hash is not null")).unionByName(unhashed)
+    """The message table kept by upsert_stream: the newest row of each hash in the last committed version."""
+    return ingest.message_version(spark, path)
 
 
 def upsert_stream(
-    messages: DataFrame, target: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    messages: DataFrame,
+    target: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    max_parts: int = 8,
+    digits: int = DIGITS,
 ) -> StreamingQuery:
     """Upsert each micro-batch of cleaned messages (row_seq, text_raw, text, label).
 
-    A batch reads only the rows of its own hashes and writes only the rows it inserts or
-    changes; the table is the newest version of each hash. The target goes in as batch -1,
-    so its size is written once.
+    A batch reads only the folders of its own hash prefixes, takes the highest id from the manifest,
+    and adds only the rows it inserts or changes as a new version. A batch that died shows in no
+    version, one that runs again after its commit is left out. When a prefix has more than
+    max_parts folders, it is made one again. The target is the first version, written once.
     """
-    spark = target.sparkSession
-    if not _has_base(spark, path):
-        write_batch(upsert.newest_per_hash(upsert.backfill_hash(target)), path, -1)
+    table = ingest.message_table(target.sparkSession, path, digits)
+    if not table.current():
+        ingest.start_table(table, target)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch_id <= table.last_batch():
+            return
         staged = upsert.stage(batch).persist()
         try:
-            seen = read_batches(batch.sparkSession, path, before=batch_id)
+            keys = staged.select(prefix_of(F.col("md5_hash"), digits)).distinct().collect()
             # The batch is the small side: its hashes select rows of the table in place.
-            touched = seen.join(staged.select("md5_hash"), "md5_hash", "left_semi")
-            top_id = seen.agg(F.max("id")).scalar()
-            loaded = upsert.upsert(_newest_version(touched), staged, top_id=top_id)
-            write_batch(loaded.filter("action <> 'kept'").drop("action"), path, batch_id)
+            touched = table.read(prefixes=[k[0] for k in keys]).join(staged.select("md5_hash"), "md5_hash", "left_semi")
+            top_id = F.lit(table.top_id()).cast("bigint")
+            loaded = upsert.upsert(touched, staged, top_id=top_id)
+            table.append(loaded.filter("action <> 'kept'"), batch_id)
+            table.compact(max_parts + 1)
         finally:
             staged.unpersist()
 
     return _start(messages, checkpoint, each_batch, "append", trigger)
-
-
-def _has_base(spark: SparkSession, path: str) -> bool:
-    from pyspark.errors import AnalysisException
-
-    try:
-        spark.read.parquet(f"{path}/{BATCH}=-1").schema
-        return True
-    except AnalysisException:
-        return False

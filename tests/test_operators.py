@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import bisect
 import math
 import random
 
@@ -70,6 +71,21 @@ def test_upsert_is_idempotent(spark, tmp_path):
     assert sparse.count() == dense.count()
 
 
+def test_sparse_order_numbers_make_few_buckets(spark):
+    ids = spark.range(100_000).select((F.col("id") * 86_028_157_000).alias("row_seq")).repartition(9)
+    bounds = upsert.range_bounds(ids)
+    got = upsert.assign_ids(ids, F.lit(10).cast("bigint"), bounds=bounds)
+    assert got.filter(F.col("id") != F.col("row_seq") / 86_028_157_000 + 11).count() == 0
+    assert got.agg(F.min("id"), F.max("id"), F.countDistinct("id")).first()[:] == (11, 100_010, 100_000)
+    cuts = ids.select(bounds.alias("b")).first()["b"]
+    assert len(cuts) < upsert.ID_BUCKETS
+    sizes = [0] * (len(cuts) + 1)
+    for r in ids.collect():
+        sizes[bisect.bisect_left(cuts, r[0])] += 1
+    assert max(sizes) < 2000
+    assert upsert.assign_ids(ids.limit(0), F.lit(0).cast("bigint")).count() == 0
+
+
 def test_upsert_edge_cases(spark):
     import datetime
 

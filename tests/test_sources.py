@@ -1,12 +1,17 @@
 from __future__ import annotations
 
+import hashlib
+import os
+import re
+
 import pytest
 
 from pyspark.sql import functions as F
 
-from msgloom.operators import gazetteer, metrics
+from msgloom.operators import gazetteer, metrics, upsert
 from msgloom.plans import evaluate, ingest, prepare
 from msgloom.sources import readers, workspace, writers
+from msgloom.sources.versions import CommitConflict, Folder
 
 
 def csv(tmp_path, text, name="in.csv"):
@@ -175,12 +180,94 @@ def test_table_versions(spark, tmp_path):
     base = str(tmp_path / "messages")
     first = spark.createDataFrame([(1, "Order ORD-1", "review"), (2, "Order ORD-1", "complaint"), (3, "hi", "review")], "row_seq long, text string, label string")
     second = spark.createDataFrame([(4, "hi", "complaint"), (5, "new", "review")], "row_seq long, text string, label string")
-    dry = ingest.load_version(spark, base, ingest.clean_messages(first), 1, dry_run=True).first()
+    dry = ingest.load(spark, base, ingest.clean_messages(first), dry_run=True).first()
     assert dry[:] == (0, 2, 0) and not (tmp_path / "messages").exists()
-    assert ingest.load_version(spark, base, ingest.clean_messages(first), 1).first()[:] == (0, 2, 0)
-    assert ingest.load_version(spark, base, ingest.clean_messages(first), 2).first()[:] == (0, 0, 0)
-    assert ingest.load_version(spark, base, ingest.clean_messages(second), 3).first()[:] == (1, 1, 0)
-    rows = {(r["id"], r["text"], r["label"]) for r in ingest.message_version(spark, base, 3).collect()}
+    assert ingest.load(spark, base, ingest.clean_messages(first)).first()[:] == (0, 2, 0)
+    assert ingest.load(spark, base, ingest.clean_messages(first)).first()[:] == (0, 0, 0)
+    table = ingest.message_table(spark, base)
+    assert table.versions() == [1]  # a load without changes makes no version
+    assert ingest.load(spark, base, ingest.clean_messages(second)).first()[:] == (1, 1, 0)
+    rows = {(r["id"], r["text"], r["label"]) for r in ingest.message_version(spark, base).collect()}
     assert rows == {(1, "[order_id_presence]", "review"), (2, "hi", "complaint"), (3, "new", "review")}
     assert ingest.load_report(ingest.clean_messages(first)).first()["n"] == 2
     assert ingest.message_version(spark, base, 1).count() == 2
+    assert ingest.message_version(spark, base, 0).count() == 0
+    with pytest.raises(ValueError, match="not committed"):
+        ingest.message_version(spark, base, 9)
+    shared = workspace.shared_folder(spark)
+    assert not [n for n in os.listdir(shared) if n.startswith("staging-")]
+
+
+def _staged(spark, rows, tmp_path, name):
+    staging = upsert.stage(spark.createDataFrame(rows, "row_seq long, text_raw string, text string, label string"))
+    staging.select(*ingest.STAGED).write.parquet(str(tmp_path / name))
+    return spark.read.parquet(str(tmp_path / name))
+
+
+def _scanned(df):
+    return set(re.findall(r"prefix=(\w+)", " ".join(df.inputFiles())))
+
+
+def test_a_small_load_touches_only_its_prefixes(spark, tmp_path, monkeypatch):
+    table = ingest.message_table(spark, str(tmp_path / "t"))
+    many = [(i, f"text {i}", f"text {i}", "review") for i in range(2000)]
+    ingest.load_staged(table, _staged(spark, many, tmp_path, "s1"))
+    paths = lambda: {p: [q["path"] for q in parts] for p, parts in table.by_prefix().items()}
+    before = paths()
+    assert len(before) == 256 and table.top_id() == 2000
+    few = [(1, "text 5", "text 5", "complaint"), (2, "brand new", "brand new", "review")]
+    staging = _staged(spark, few, tmp_path, "s2")
+    prefixes = {hashlib.md5(r[1].encode()).hexdigest()[:2] for r in few}
+    seen = []
+    plain = upsert.upsert
+    monkeypatch.setattr(upsert, "upsert", lambda target, *a, **k: seen.append(_scanned(target)) or plain(target, *a, **k))
+    assert ingest.load_staged(table, staging).first()[:] == (1, 1, 0)
+    assert seen == [prefixes]  # the load neither reads nor shuffles other prefixes
+    assert {p for p, at in paths().items() if at != before[p]} == prefixes
+    got = {(r["id"], r["text"], r["label"]) for r in table.read().filter("text in ('text 5', 'brand new')").collect()}
+    assert ("brand new", "review") in {g[1:] for g in got} and ("text 5", "complaint") in {g[1:] for g in got}
+    assert max(g[0] for g in got) == 2001 and table.read().count() == 2001
+    # The same rows as the whole-table upsert gives.
+    want = plain(table.read(1), staging).select("id", "md5_hash", "text", "label")
+    assert want.exceptAll(table.read().select(*want.columns)).count() == 0
+
+
+def test_a_killed_load_leaves_readers_on_the_old_version(spark, tmp_path, monkeypatch):
+    table = ingest.message_table(spark, str(tmp_path / "t"))
+    ingest.load_staged(table, _staged(spark, [(1, "a", "a", "x"), (2, "b", "b", "x")], tmp_path, "s1"))
+    change = _staged(spark, [(1, "a", "a", "y"), (3, "c", "c", "x")], tmp_path, "s2")
+    with monkeypatch.context() as m:
+        m.setattr(Folder, "create", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError, match="killed"):
+            ingest.load_staged(table, change)
+    rows = lambda: {(r["text"], r["label"]) for r in table.read().collect()}
+    assert table.current() == 1 and rows() == {("a", "x"), ("b", "x")}
+    # Run again, it succeeds; what the dead load wrote goes with vacuum.
+    ingest.load_staged(table, change)
+    assert table.current() == 2 and rows() == {("a", "y"), ("b", "x"), ("c", "x")}
+    assert len(table.vacuum()) == 1 and rows() == {("a", "y"), ("b", "x"), ("c", "x")}
+    assert table.read(1).count() == 2
+    table.vacuum(keep=1)
+    assert table.versions() == [2] and rows() == {("a", "y"), ("b", "x"), ("c", "x")}
+
+
+def test_two_loads_cannot_commit_one_version(spark, tmp_path):
+    table = ingest.message_table(spark, str(tmp_path / "t"))
+    ingest.load_staged(table, _staged(spark, [(1, "a", "a", "x")], tmp_path, "s1"))
+    other = table.write_parts(table.read(1), 2)
+    ingest.load_staged(table, _staged(spark, [(1, "b", "b", "x")], tmp_path, "s2"))
+    with pytest.raises(CommitConflict):
+        table.commit(other, 2)
+    assert table.read().count() == 2
+
+
+def test_rows_without_a_hash_get_one_with_the_next_load(spark, tmp_path):
+    table = ingest.message_table(spark, str(tmp_path / "t"))
+    old = [(5, "a", "a", "x", None), (6, "b", "b", "x", hashlib.md5(b"b").hexdigest()), (7, None, "n", "x", None)]
+    target = spark.createDataFrame(old, "id long, text_raw string, text string, label string, md5_hash string")
+    target = target.withColumns({"created_at": F.current_timestamp(), "updated_at": F.lit(None).cast("timestamp")})
+    assert table.replace(target) == 1
+    staging = _staged(spark, [(1, "a", "a", "y"), (2, "c", "c", "x")], tmp_path, "s")
+    assert ingest.load_staged(table, staging).first()[:] == (1, 1, 0)
+    got = {(r["id"], r["text"], r["label"]) for r in table.read().collect()}
+    assert got == {(5, "a", "y"), (6, "b", "x"), (7, "n", "x"), (8, "c", "x")}

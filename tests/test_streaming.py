@@ -1,10 +1,18 @@
 from __future__ import annotations
 
+import hashlib
+from collections import Counter
+
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from checks import fixtures as X
 from msgloom import constants as C
 from msgloom.operators import monitor, scoring, upsert
+from msgloom.plans import ingest
+from msgloom.schema import MESSAGES
+from msgloom.sources.versions import VersionedTable
 from msgloom.streaming import jobs
 
 SF = "/root/testdata/sf0.001"
@@ -87,10 +95,8 @@ def test_upsert_stream(spark, tmp_path):
     # The same rows again, as a second stream batch: nothing new is written.
     rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     jobs.upsert_stream(stream, target, out, str(tmp_path / "cp")).awaitTermination()
-    written = jobs.read_batches(spark, out)
-    last = written.agg(F.max("batch_id")).first()[0]
     assert jobs.current_messages(spark, out).count() == want.count()
-    assert last == 0 or written.filter(F.col("batch_id") == last).count() == 0
+    assert ingest.message_table(spark, out).versions() == [1, 2]
 
 
 def test_upsert_stream_over_several_batches(spark, tmp_path):
@@ -111,5 +117,68 @@ def test_upsert_stream_over_several_batches(spark, tmp_path):
         jobs.upsert_stream(stream, target, out, cp).awaitTermination()
     got = {(r["id"], r["text"], r["label"]) for r in jobs.current_messages(spark, out).collect()}
     assert got == {(5, "a", "y"), (6, "b", "x"), (7, "n", "x"), (8, "c", "z"), (9, "d", "x")}
-    written = jobs.read_batches(spark, out).groupBy("batch_id").count()
-    assert {r["batch_id"]: r["count"] for r in written.collect()} == {-1: 3, 0: 2, 1: 2}
+    table = ingest.message_table(spark, out)
+    written = Counter()
+    for part in table.parts():
+        written[part["seq"]] += part["n_rows"]
+    assert written == {1: 3, 2: 2, 3: 2}
+    assert table.last_batch() == 1 and table.top_id() == 9
+
+
+def _many_batches(spark, tmp_path, n, **options):
+    """n batches over the same 40 texts, then the table and what it should hold."""
+    schema = "row_seq long, text_raw string, text string, label string"
+    path, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    target = spark.createDataFrame([], MESSAGES)
+    want = {}
+    for i in range(n):
+        rows = [(100 * i + j, f"t{k}", f"t{k}", f"l{i}") for j, k in enumerate(range(i, i + 40))]
+        want |= {r[1]: r[3] for r in rows}
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(schema).parquet(path)
+        jobs.upsert_stream(stream, target, out, cp, digits=1, **options).awaitTermination()
+    return ingest.message_table(spark, out), want
+
+
+def test_upsert_stream_compacts(spark, tmp_path):
+    table, want = _many_batches(spark, tmp_path, 5, max_parts=2)
+    assert max(map(len, table.by_prefix().values())) <= 2
+    rows = table.read().collect()
+    assert {r["text"]: r["label"] for r in rows} == want and len(rows) == len(want)
+    assert sorted(r["id"] for r in rows) == list(range(1, len(want) + 1))
+    assert table.last_batch() == 4
+    version = table.current()
+    table.compact()
+    assert all(len(p) == 1 for p in table.by_prefix().values()) and table.last_batch() == 4
+    assert table.read().exceptAll(table.read(version)).count() == 0 and table.read().count() == len(want)
+
+
+def test_a_batch_reads_its_prefixes_and_a_dead_one_shows_nowhere(spark, tmp_path, monkeypatch):
+    table, want = _many_batches(spark, tmp_path, 2)
+    schema = "row_seq long, text_raw string, text string, label string"
+    spark.createDataFrame([(900, "t3", "t3", "new")], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    start = lambda: jobs.upsert_stream(stream, table.read(), table.base, str(tmp_path / "cp"), digits=1)
+    seen = []
+    plain = upsert.upsert
+    monkeypatch.setattr(upsert, "upsert", lambda rows, *a, **k: seen.append(rows.inputFiles()) or plain(rows, *a, **k))
+    version = table.current()
+    with monkeypatch.context() as m:
+        m.setattr(VersionedTable, "commit", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(StreamingQueryException):
+            start().awaitTermination()
+    assert table.current() == version and {r["text"]: r["label"] for r in table.read().collect()} == want
+    start().awaitTermination()
+    assert table.current() == version + 1
+    assert {r["text"]: r["label"] for r in table.read().collect()} == want | {"t3": "new"}
+    own = hashlib.md5(b"t3").hexdigest()[0]
+    assert {f.split("prefix=")[1][0] for files in seen for f in files if "prefix=" in f} == {own}
+
+
+def test_a_half_written_base_is_not_taken(spark, tmp_path):
+    table = ingest.message_table(spark, str(tmp_path / "out"))
+    rows = spark.createDataFrame([(1, "a", "a", "x", None)], "id long, text_raw string, text string, label string, md5_hash string")
+    rows = rows.withColumns({"created_at": F.current_timestamp(), "updated_at": F.lit(None).cast("timestamp")})
+    table.write_parts(rows, 1)  # died before the commit
+    assert table.current() == 0 and table.read().count() == 0
+    assert ingest.start_table(table, rows) == 1 and table.read().first()["md5_hash"] is not None
