@@ -60,11 +60,11 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, lis
         each = made.select("item_id", "words", F.posexplode(f"m{m}").alias("at", "fp"))
         parts.append(each.select(F.lit(m).alias("m"), "fp", F.slice("words", F.col("at") + 1, F.lit(m)).alias("window"), "item_id"))
     if not parts:
-        return words.sparkSession.createDataFrame([], "m int, fp long, window array<string>, items array<long>"), []
+        return words.sparkSession.createDataFrame([], "m int, fp long, window array<string>, items array<string>"), []
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
-    grouped = every.groupBy("m", "fp", "window").agg(F.collect_set(F.col("item_id").cast("long")).alias("items"))
+    grouped = every.groupBy("m", "fp", "window").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
     return stored(grouped, "windows"), lengths
 
 
@@ -126,7 +126,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     covered = F.flatten(
         F.transform(F.flatten("spans"), lambda s: F.sequence(s["start"], s["start"] + s["m"] - 1))
     )
-    names = F.sort_array(F.transform(F.array_distinct(F.flatten("items")), lambda i: i.cast("string")))
+    names = F.sort_array(F.array_distinct(F.flatten("items")))
     per = per.select(
         "doc_id", "text_hash", F.col("n_words").cast("long").alias("n_words"), "rows",
         F.size(F.array_distinct(covered)).cast("long").alias("n_hit"), names.alias("names"),
@@ -147,5 +147,5 @@ def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of docs that hold no window of any item."""
     hit = contamination(docs, items, window).filter("contaminated")
     hit = stored(hit.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_text")).distinct(), "hit")
-    same = docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_text"))
+    same = docs["doc_id"].eqNullSafe(hit["_doc"]) & (F.xxhash64(docs["text"]) == hit["_text"])
     return docs.join(if_small(hit), same, "left_anti")

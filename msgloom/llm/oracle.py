@@ -24,7 +24,7 @@ FROM q
 MIX = rf"""
 WITH s AS (
     SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS size,
-           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')), 1, 15))::BIGINT AS h
     FROM documents
 ), t AS (
     SELECT source, sum(size)::BIGINT AS source_size FROM s GROUP BY source

@@ -6,10 +6,10 @@ longest phrase, so every phrase that begins before a chunk's last window lies in
 each occurrence is counted in one chunk only. Equal chunks meet in a dictionary with their
 frequencies, and phrases are counted inside the distinct chunks, weighted by these.
 
-A phrase can reach the count only if the two phrases that lack its last or first word do. So lengths
-are counted one after the other; a bitmap of the hashes of frequent phrases, of a bounded size,
-leaves out most others before the shuffle, and the counts then decide. Pairs of words, the most
-numerous, are first counted by hash alone.
+A phrase can reach the count only if all its words and all its pairs of neighbours do. So words are
+counted first, then pairs, then longer phrases; a bitmap of the hashes of the frequent ones, of a
+bounded size, leaves out most others before the shuffle, and the counts then decide. Pairs, the
+most numerous, are first counted by hash alone.
 
 A null text is empty, a null lang is `und`; texts without words and an empty table give no rows.
 Repeated rows count again. A very long text without a trigger is cut every LONGEST tokens. Only
@@ -70,12 +70,6 @@ def chunks(found: list[bytes], trigger: int = TRIGGER, longest: int = LONGEST) -
         yield start, stop - start, min(n, stop + WINDOW)
 
 
-def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    """Columns of strings, then of integers."""
-    columns = zip(*rows, strict=True) if rows else ((),) * len(names)
-    return pd.DataFrame({n: pd.Series(c, dtype="int64" if i > 1 else object) for i, (n, c) in enumerate(zip(names, columns, strict=True))})
-
-
 def dictionary(docs: DataFrame, trigger: int = TRIGGER) -> DataFrame:
     """(lang, chunk, core, n): distinct chunks with their frequencies."""
 
@@ -86,8 +80,10 @@ def dictionary(docs: DataFrame, trigger: int = TRIGGER) -> DataFrame:
                 found = tokens(text)
                 if found:
                     seen.update((lang, b" ".join(found[a:z]), core) for a, core, z in chunks(found, trigger))
-            rows = [(lang, chunk.decode("utf-8", "surrogatepass"), core, n) for (lang, chunk, core), n in seen.items()]
-            yield _frame(rows, ["lang", "chunk", "core", "n"])
+            if seen:
+                langs, parts, cores = zip(*seen, strict=True)
+                parts = [p.decode("utf-8", "surrogatepass") for p in parts]
+                yield pd.DataFrame({"lang": langs, "chunk": parts, "core": cores, "n": list(seen.values())})
 
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     found = texts.mapInPandas(parse, "lang string, chunk string, core int, n long")
@@ -161,12 +157,14 @@ class _Batch:
         h ^= h >> np.uint64(32)
         return h * np.uint64(0x9FB21C651E98DF25)
 
-    def starts(self, size: int, shorter: Bitmap | None, own: Bitmap | None) -> tuple[np.ndarray, np.ndarray]:
-        """(positions, hashes) of the phrases to count."""
+    def starts(self, size: int, shorter: tuple[int, Bitmap] | None, own: Bitmap | None) -> tuple[np.ndarray, np.ndarray]:
+        """(positions, hashes) of the phrases to count: all their parts of the shorter size may be frequent."""
         alive = self.core & (self.reach >= size)
         if shorter is not None:
-            less = shorter.holds(self.hashes(size - 1))
-            alive[:-1] &= less[:-1] & less[1:]
+            part, known = shorter
+            held = known.holds(self.hashes(part))
+            for i in range(size - part + 1):
+                alive[: len(held) - i] &= held[i:]
         at = np.flatnonzero(alive)
         h = self.hashes(size)[at]
         if own is not None:
@@ -174,8 +172,8 @@ class _Batch:
             at, h = at[kept], h[kept]
         return at, h
 
-    def counts(self, size: int, at: np.ndarray, h: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(position, hash, count) of each different phrase; phrases of equal hash are told apart."""
+    def counts(self, size: int, at: np.ndarray, h: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(positions, hashes, counts), one for each different phrase; phrases of equal hash are told apart."""
         while len(at):
             values, first, group = np.unique(h, return_index=True, return_inverse=True)
             head = at[first]
@@ -184,7 +182,7 @@ class _Batch:
                 same &= self.codes[at + i] == self.codes[head[group] + i]
             sums = np.zeros(len(values), np.int64)
             np.add.at(sums, group[same], self.weight[at[same]])
-            yield from zip(head.tolist(), values.astype(np.int64).tolist(), sums.tolist(), strict=True)
+            yield head, values.astype(np.int64), sums
             at, h = at[~same], h[~same]
 
 
@@ -206,28 +204,33 @@ def _batches(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, _Batch]]:
         yield from by_lang()
 
 
-def phrase_counts(words: DataFrame, size: int, shorter: Bitmap | None = None, own: Bitmap | None = None) -> DataFrame:
-    """(lang, phrase, h, n) of the phrases of `size` words in a dictionary that the bitmaps let pass."""
+def phrase_counts(
+    words: DataFrame, sizes: list[int], shorter: tuple[int, Bitmap] | None = None, own: Bitmap | None = None
+) -> DataFrame:
+    """(lang, phrase, size, h, n) of the phrases of some sizes in a dictionary that the bitmaps let pass."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for lang, batch in _batches(batches):
-            rows = [(lang, " ".join(batch.flat[p : p + size]), v, n) for p, v, n in batch.counts(size, *batch.starts(size, shorter, own))]
-            yield _frame(rows, ["lang", "phrase", "h", "n"])
+            for size in sizes:
+                for head, h, n in batch.counts(size, *batch.starts(size, shorter, own)):
+                    phrase = pd.Series([" ".join(batch.flat[p : p + size]) for p in head.tolist()], dtype=object)
+                    yield pd.DataFrame({"lang": lang, "phrase": phrase, "size": size, "h": h, "n": n})
 
-    found = words.mapInPandas(count, "lang string, phrase string, h long, n long")
-    return found.groupBy("lang", "phrase", "h").agg(F.sum("n").alias("n"))
+    found = words.mapInPandas(count, "lang string, phrase string, size int, h long, n long")
+    return found.groupBy("lang", "phrase", "size", "h").agg(F.sum("n").alias("n"))
 
 
-def hash_counts(words: DataFrame, size: int, shorter: Bitmap | None) -> DataFrame:
+def hash_counts(words: DataFrame, size: int, shorter: tuple[int, Bitmap]) -> DataFrame:
     """(h, n): counts of phrases by hash; equal hashes count together."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, batch in _batches(batches):
             at, h = batch.starts(size, shorter, None)
-            values, group = np.unique(h, return_inverse=True)
-            sums = np.zeros(len(values), np.int64)
-            np.add.at(sums, group, batch.weight[at])
-            yield pd.DataFrame({"h": values.astype(np.int64), "n": sums})
+            if len(at):
+                by = np.argsort(h)
+                h, weight = h[by], batch.weight[at][by]
+                first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+                yield pd.DataFrame({"h": h[first].astype(np.int64), "n": np.add.reduceat(weight, first)})
 
     return words.mapInPandas(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
@@ -240,22 +243,15 @@ def frequent_phrases(
         raise ValueError(f"phrases have at most {WINDOW + 1} words")
     enough = F.col("n") >= min_count
     words = stored(dictionary(docs, trigger), "dictionary")
-    single = stored(phrase_counts(words, 1), "phrases")
+    single = stored(phrase_counts(words, [1]), "phrases")
     total = stored(single.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    levels = [single.filter(enough)]
-    for size in range(2, max_words + 1):
-        shorter = bitmap(levels[-1].select("h"), max_bits)
-        own = None
-        if size == 2:
-            own = bitmap(stored(hash_counts(words, size, shorter).filter(enough).select("h"), "hashes"), max_bits)
-        levels.append(stored(phrase_counts(words, size, shorter, own).filter(enough), "phrases"))
-        if levels[-1].isEmpty():
-            break
-    found = None
-    for size, level in enumerate(levels, 1):
-        part = level.select("lang", "phrase", F.lit(size).alias("size"), "n")
-        found = part if found is None else found.unionByName(part)
-    return found, total
+    single = single.filter(enough)
+    known = (1, bitmap(single.select("h"), max_bits))
+    by_hash = stored(hash_counts(words, 2, known).filter(enough).select("h"), "hashes")
+    pairs = stored(phrase_counts(words, [2], known, bitmap(by_hash, max_bits)).filter(enough), "phrases")
+    known = (2, bitmap(pairs.select("h"), max_bits))
+    longer = stored(phrase_counts(words, list(range(3, max_words + 1)), known).filter(enough), "phrases")
+    return single.unionByName(pairs).unionByName(longer).select("lang", "phrase", "size", "n"), total
 
 
 def _part(words: Column, start: Column | int, n: Column | int) -> Column:

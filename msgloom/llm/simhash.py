@@ -6,7 +6,8 @@ one around each segment value reaches every partner. A pair that differs in one
 segment is met from the side whose bit is 0, so only those flips are looked up.
 
 Null and empty texts have fingerprint zero. A null doc_id takes part in links, but names
-no component. Repeated rows give repeated results.
+no component. Repeated rows give repeated results, an empty table none. A very long text is hashed
+in pieces. Other columns may have any name.
 """
 
 from __future__ import annotations
@@ -108,13 +109,20 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row of docs (doc_id, text)."""
-    prints = stored(docs.select("doc_id", fingerprint(F.col("text")).alias("fp")), "prints")
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+def _linked(docs: DataFrame, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(stored (doc_id, text_hash, fp) of every row, stored (fp, root) of every fingerprint)."""
+    prints = stored(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), fingerprint(F.col("text")).alias("fp")), "prints")
+    nodes = stored(prints.select("fp").distinct(), "nodes")
     roots = components(links(nodes, max_bits))
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    rooted = stored(rooted.select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
+    return prints, stored(rooted.select("fp", F.coalesce("root", "fp").alias("root")), "rooted")
+
+
+def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row of docs (doc_id, text)."""
+    prints, rooted = _linked(docs, max_bits)
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    rooted = rooted.join(least, "fp")
     first = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = stored(rooted.join(first, "root").select("fp", "component_id"), "named")
     return prints.join(named, "fp").select(
@@ -125,16 +133,24 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of docs whose doc_id names their component: one document of each group.
+    """One row of docs for each component, with the columns of docs.
 
-    Rows without a doc_id stay. Of rows that share a doc_id, one with the smallest text hash stays.
+    It is the row with the smallest doc_id (none comes last), and of rows that share it the one with
+    the smallest text hash. Components are of texts, so texts that share a doc_id don't stand for
+    each other. Of equal rows one stays.
     """
-    found = stored(near_duplicates(docs, max_bits), "near")
-    copies = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(copies, "doc_id", "left_anti").select(docs.columns)
-    repeated = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    if repeated.isEmpty():
-        return kept
-    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    marked = kept.withColumn("_turn", turn)
-    return marked.filter((F.col("_turn") == 1) | F.col("doc_id").isNull()).select(docs.columns)
+    prints, rooted = _linked(docs, max_bits)
+    row = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("_keep_id"), F.col("text_hash").alias("_keep_hash"))
+    texts = prints.groupBy("fp", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    # Equal fingerprints are reduced first, so a large component sends one row for each of them.
+    least = texts.groupBy("fp").agg(F.min(F.struct(row.alias("row"), F.col("n"))).alias("first"))
+    least = rooted.join(least, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    kept = stored(least.select("first.row._keep_id", "first.row._keep_hash", F.col("first.n").alias("_keep_n")), "kept")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.xxhash64("text").alias("_hash"))
+    same = F.col("_doc").getField("doc_id").eqNullSafe(F.col("_keep_id")) & (F.col("_hash") == F.col("_keep_hash"))
+    found = whole.join(kept, same)
+    if not kept.filter("_keep_n > 1").isEmpty():
+        turn = F.row_number().over(Window.partitionBy("_keep_id", "_keep_hash").orderBy(F.lit(0)))
+        again = found.filter("_keep_n > 1").withColumn("_turn", turn).filter("_turn = 1").drop("_turn")
+        found = found.filter("_keep_n = 1").unionByName(again)
+    return found.select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns])

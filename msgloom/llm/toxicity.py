@@ -66,7 +66,8 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(label, text) of the labelled documents."""
     one = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").alias("_id"))
     ids = if_small(stored(one.agg(F.max("toxic").cast("int").alias("label")), "labels"))
-    return docs.join(ids, F.col("doc_id") == F.col("_id")).select("label", F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return texts.join(ids, F.col("doc_id") == F.col("_id")).select("label", "text")
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
