@@ -153,7 +153,7 @@ class _Batch:
         """Hashes of the phrases of `size` words that begin at each position."""
         h = np.zeros(len(self.word), np.uint64)
         for i in range(size):
-            h = h * np.uint64(0xD6E8FEB86659FD93) + np.append(self.word[i:], np.zeros(i, np.uint64))
+            h = h * np.uint64(0xD6E8FEB86659FD93) + np.append(self.word[i:], np.zeros(min(i, len(self.word)), np.uint64))
         h ^= h >> np.uint64(32)
         return h * np.uint64(0x9FB21C651E98DF25)
 
