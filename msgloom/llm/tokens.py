@@ -57,6 +57,11 @@ class Encoder:
         self.by_words = by_words
         self.now: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        # How the tokenizer writes each plain character before its model sees it.
+        self.written = {}
+        if by_words:
+            letters = [c for c in map(chr, range(33, 256)) if self.PLAIN.fullmatch(c) and c == c.lower()]
+            self.written = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
 
     def plain(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
@@ -79,13 +84,19 @@ class Encoder:
         raw = np.array(made.ids, "<u4").tobytes()
         return {w: raw[4 * a : 4 * b] for w, a, b in zip(parts, cuts, cuts[1:], strict=False)}
 
+    def _by_model(self, part: str) -> bytes:
+        """Ids of one plain piece: the tokenizer would hand it to its model as it is."""
+        return b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(part.translate(self.written))])
+
     def _learn(self, parts: set[str]) -> dict[str, bytes]:
         """The ids of all parts; those not known are encoded, and remembered unless very long."""
         found = {p: self.now[p] for p in parts if p in self.now}
         new = {p: self.old[p] for p in parts if p in self.old and p not in found}
         missing = [p for p in parts if p not in found and p not in new]
-        if missing:
-            new |= self._by_tokenizer(missing)
+        plain = {p for p in missing if self._is_plain(p)}
+        new |= {p: self._by_model(p) for p in plain}
+        if whole := [p for p in missing if p not in plain]:
+            new |= self._by_tokenizer(whole)
         if len(self.now) + len(new) > MEMO:
             self.now, self.old = {}, self.now
         if len(new) <= MEMO:
