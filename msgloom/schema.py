@@ -17,14 +17,6 @@ SPAN = T.StructType(
 )
 SPANS = T.ArrayType(SPAN)
 
-RAW_MESSAGES = T.StructType(
-    [
-        T.StructField("row_seq", T.LongType()),
-        T.StructField("text", T.StringType()),
-        T.StructField("label", T.StringType()),
-    ]
-)
-
 CLEANED = T.StructType(
     [
         T.StructField("row_seq", T.LongType()),
@@ -58,11 +50,12 @@ LOGS = T.StructType(
     ]
 )
 
-LOW_CONF = T.StructType(
+#: Messages whose text was seen for the first time; they have no id of the message table.
+SEEN = T.StructType(
     [
-        T.StructField("ts", T.TimestampType()),
-        T.StructField("text", T.StringType()),
-        T.StructField("confidence", T.DoubleType()),
-        T.StructField("slots", T.StringType()),
+        T.StructField("id", T.LongType()),
+        T.StructField("row_seq", T.LongType()),
+        T.StructField("md5_hash", T.StringType()),
+        T.StructField("text_raw", T.StringType()),
     ]
 )

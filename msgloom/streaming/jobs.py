@@ -1,7 +1,9 @@
 """Streams: scoring with two sinks, daily quality, dedup and upsert.
 
 Sinks are folders with one sub-folder for each micro-batch, written in overwrite mode. A
-batch that runs again after a failure replaces its own output, so each row lands once.
+batch that runs again after a failure replaces its own output, so each row lands once. Where a
+batch goes to two sinks, one commit record names it when both are written, and readers of either
+take committed batches only.
 """
 
 from __future__ import annotations
@@ -12,9 +14,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from msgloom.functions import text as T
 from msgloom.operators import monitor, scoring, upsert
+from msgloom.operators.dedup import first_per_key
 from msgloom.plans import ingest
+from msgloom.schema import SEEN
 from msgloom.sources.readers import spread
-from msgloom.sources.versions import DIGITS, prefix_of
+from msgloom.sources.versions import DIGITS, Folder, VersionedTable, prefix_of
 
 BATCH = "batch_id"
 
@@ -23,10 +27,19 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
-def read_batches(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """All rows of a batched sink with their batch_id, optionally of earlier batches only."""
-    df = spark.read.parquet(path)
-    return df if before is None else df.filter(F.col(BATCH) < before)
+def read_batches(spark: SparkSession, path: str, commits: str | None = None) -> DataFrame:
+    """All rows of a batched sink with their batch_id; of the batches that `commits` names, if given."""
+    if commits is None:
+        return spark.read.parquet(path)
+    done = committed(spark, commits)
+    # Folders of other batches are not listed. An empty list gives no rows of the same columns.
+    paths = [f"{path}/{BATCH}={i}" for i in done if Folder(spark, path).exists(f"{BATCH}={i}")]
+    return spark.read.option("basePath", path).parquet(*paths) if paths else spark.read.parquet(path).limit(0)
+
+
+def committed(spark: SparkSession, commits: str) -> list[int]:
+    """Numbers of the batches whose sinks are all written."""
+    return sorted(int(n) for n in Folder(spark, commits).names("") if n.isdigit())
 
 
 def _start(stream: DataFrame, checkpoint: str, each_batch, mode: str, trigger: dict | None) -> StreamingQuery:
@@ -51,11 +64,21 @@ def score_stream(
     trigger: dict | None = None,
     key: str = "row_seq",
     parts: int | None = None,
+    commits: str | None = None,
 ) -> StreamingQuery:
     """Score and gate messages; all go to the log, those below their threshold also to the
-    low-confidence log. Both come from one persisted micro-batch, dealt over `parts` partitions if given."""
+    low-confidence log. Both come from one persisted micro-batch, dealt over `parts` partitions if given.
+
+    With `commits`, a folder, a batch is named there after both logs are written: read_batches with
+    that folder shows a batch that died in between in neither log, and a batch that is named
+    already isn't written again under its readers.
+    """
+
+    spark = messages.sparkSession
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
+        if commits is not None and Folder(spark, commits).exists(str(batch_id)):
+            return
         ts = F.current_timestamp() if ts_col is None else F.col(ts_col)
         rows = spread(batch, key, parts)
         scored = scoring.score_messages(rows, scorer, mapping, thresholds)
@@ -65,6 +88,8 @@ def score_stream(
         try:
             write_batch(scoring.log_rows(scored, ts), logs_path, batch_id)
             write_batch(scoring.low_confidence_rows(scored, ts), low_conf_path, batch_id)
+            if commits is not None:
+                Folder(spark, commits).create(str(batch_id))
         finally:
             scored.unpersist()
 
@@ -116,6 +141,45 @@ def first_seen(messages: DataFrame, ts_col: str = "ts", delay: str = "1 day") ->
     return hashed.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(["md5_hash"])
 
 
+def seen_table(spark: SparkSession, path: str, digits: int = DIGITS) -> VersionedTable:
+    return VersionedTable(spark, path, SEEN, "md5_hash", digits)
+
+
+def write_never_seen(
+    messages: DataFrame,
+    known: VersionedTable,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    max_parts: int = 8,
+    digits: int = DIGITS,
+) -> StreamingQuery:
+    """Add messages (row_seq, text_raw) to the log at `path` whose text is in neither `known` nor the log.
+
+    No watermark ends the memory: what was seen is the message table's hashes and the log's own,
+    in folders by hash prefix, of which a batch reads those of its own hashes and only that column.
+    Of equal texts in a batch the one with the smallest row_seq stays. A batch that died shows in
+    no version of the log, one that runs again after its commit is left out.
+    """
+    log = seen_table(messages.sparkSession, path, digits)
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch_id <= log.last_batch():
+            return
+        rows = batch.select(F.lit(None).cast("long").alias("id"), "row_seq", T.md5_text(F.col("text_raw")).alias("md5_hash"), "text_raw")
+        first = new = first_per_key(rows.filter("md5_hash is not null"), ["md5_hash"]).persist()
+        try:
+            for table in (known, log):
+                keys = [k[0] for k in first.select(prefix_of(F.col("md5_hash"), table.digits)).distinct().collect()]
+                new = new.join(table.read(prefixes=keys).select("md5_hash"), "md5_hash", "left_anti")
+            log.append(new, batch_id)
+            log.compact(max_parts + 1)
+        finally:
+            first.unpersist()
+
+    return _start(messages, checkpoint, each_batch, "append", trigger)
+
+
 def write_first_seen(
     messages: DataFrame,
     path: str,

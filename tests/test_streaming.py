@@ -182,3 +182,56 @@ def test_a_half_written_base_is_not_taken(spark, tmp_path):
     table.write_parts(rows, 1)  # died before the commit
     assert table.current() == 0 and table.read().count() == 0
     assert ingest.start_table(table, rows) == 1 and table.read().first()["md5_hash"] is not None
+
+
+def test_a_batch_that_dies_between_two_sinks_shows_in_neither(spark, tmp_path, monkeypatch):
+    raw = X.messages_raw(spark, SF).limit(60)
+    mapping = spark.createDataFrame([(v, i) for i, v in enumerate(C.INTENT_LABELS)], "label string, id int")
+    score = scoring.column_scorer(X.word_logits(C.INTENT_LABELS))
+    stream = split_files(spark, raw, str(tmp_path / "in"), 2, "row_seq")
+    logs, low, done = (str(tmp_path / n) for n in ("logs", "low", "done"))
+    run = lambda: jobs.score_stream(stream, score, mapping, None, logs, low, str(tmp_path / "cp"), "ts", commits=done)
+    plain = jobs.write_batch
+
+    def dies(df, path, batch_id):
+        if path == low and batch_id == 1:
+            raise OSError("killed")
+        plain(df, path, batch_id)
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "write_batch", dies)
+        with pytest.raises(StreamingQueryException):
+            run().awaitTermination()
+    assert jobs.committed(spark, done) == [0]
+    assert spark.read.parquet(logs).select("batch_id").distinct().count() == 2  # the dead batch wrote one log
+    first = jobs.read_batches(spark, logs, done)
+    assert {r[0] for r in first.select("batch_id").distinct().collect()} == {0}
+    assert {r[0] for r in jobs.read_batches(spark, low, done).select("batch_id").distinct().collect()} <= {0}
+    run().awaitTermination()
+    assert jobs.committed(spark, done) == [0, 1]
+    assert jobs.read_batches(spark, logs, done).count() == raw.count()
+    assert jobs.read_batches(spark, logs, str(tmp_path / "nothing")).count() == 0
+
+
+def test_never_seen_catches_repeats_of_any_age(spark, tmp_path):
+    old = [(1, "known", "known", "x", None)]
+    target = spark.createDataFrame(old, "id long, text_raw string, text string, label string, md5_hash string")
+    target = target.withColumns({"created_at": F.current_timestamp(), "updated_at": F.lit(None).cast("timestamp")})
+    known = ingest.message_table(spark, str(tmp_path / "messages"))
+    ingest.start_table(known, target)
+    path, log = str(tmp_path / "in"), str(tmp_path / "log")
+    schema = "row_seq long, text_raw string, ts string"
+    batches = [
+        [(2, "known", "2024-01-01"), (3, "a", "2024-01-01"), (4, "a", "2024-01-01"), (5, None, "2024-01-01")],
+        [(6, "b", "2024-05-01"), (7, "a", "2024-05-01")],  # months after any watermark's delay
+        [(8, "known", "2025-01-01"), (9, "a", "2025-01-01"), (10, "c", "2025-01-01"), (11, "b", "2023-01-01")],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(schema).parquet(path)
+        jobs.write_never_seen(stream, known, log, str(tmp_path / "cp"), max_parts=1, digits=1).awaitTermination()
+    table = jobs.seen_table(spark, log, 1)
+    assert sorted((r["row_seq"], r["text_raw"]) for r in table.read().collect()) == [(3, "a"), (6, "b"), (10, "c")]
+    assert table.last_batch() == 2 and max(map(len, table.by_prefix().values())) == 1
+    jobs.write_never_seen(stream, known, log, str(tmp_path / "again"), digits=1).awaitTermination()  # replayed from the start
+    assert table.read().count() == 3
