@@ -603,6 +603,18 @@ SELECTS: dict[str, str] = {
         union all
         select (select max(id) from target) + row_number() over (order by row_seq), md5_hash, text, label
         from staging where md5_hash not in (select md5_hash from filled)""",
+    "table_load": """select t.id, t.md5_hash, coalesce(s.text, t.text) as text, coalesce(s.label, t.label) as label
+        from newest t left join staging s using (md5_hash)
+        union all
+        select (select max(id) from target) + row_number() over (order by row_seq), md5_hash, text, label
+        from staging where md5_hash not in (select md5_hash from filled)""",
+    "stream_never_seen": """select min(row_seq) as row_seq, md5(text) as md5_hash, text as text_raw from messages
+        where md5(text) not in (select md5_hash from filled) group by text""",
+    "strings_read": """select c_custkey::varchar as c_custkey, c_name, case when c_mktsegment = 'BUILDING' then '' else c_mktsegment end as segment from customer""",
+    "roles": 'select true_id as "true", cast(pred_id as integer) as pred, count(*) as n from preds group by all',
+    "table_read": "select doc_id, source from documents",
+    "previews": "select doc_id, substr(text, 1, 80) as preview from documents",
+    "token_list": f"""select distinct unnest(regexp_extract_all(lower(coalesce(text, '')), {q('[[][^]' + AWS + ']+[]]|[a-z0-9]+')})) as token from documents""",
     "stream_dedup": "select distinct md5(text) as md5_hash, text as text_raw from messages",
     "stream_scores": "select row_seq, intent, round(confidence, 6) as confidence, confidence < 0.80 as low from gated",
     "scored_messages": "select row_seq, pred_label, round(confidence, 6) as confidence, intent from gated",

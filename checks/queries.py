@@ -383,6 +383,17 @@ def upsert_summary(spark, sf_dir):
     return upsert.upsert_summary(X.upsert_target(spark, sf_dir), upsert.stage(X.upsert_rows(spark, sf_dir)))
 
 
+@query
+def table_load(spark, sf_dir):
+    """The newest version of a message table after a load that copies the touched hash prefixes."""
+    folder = workspace.new_folder(spark, "table-load")
+    table = ingest.message_table(spark, f"{folder}/messages", digits=1)
+    ingest.start_table(table, X.upsert_target(spark, sf_dir))
+    upsert.stage(X.upsert_rows(spark, sf_dir)).select(*ingest.STAGED).write.parquet(f"{folder}/staging")
+    ingest.load_staged(table, spark.read.parquet(f"{folder}/staging"))
+    return table.read().select("id", "md5_hash", "text", "label")
+
+
 @query
 def newest_per_hash(spark, sf_dir):
     return dedup.newest_per_hash(X.upsert_target(spark, sf_dir)).select("id", "md5_hash", "label")
@@ -801,6 +812,17 @@ def stream_upsert(spark, sf_dir):
     return jobs.current_messages(spark, f"{root}/messages").select("id", "md5_hash", "text", "label")
 
 
+@query
+def stream_never_seen(spark, sf_dir):
+    """Messages whose text is neither in the message table nor earlier in the stream."""
+    root = workspace.new_folder(spark, "stream-never-seen")
+    known = ingest.message_table(spark, f"{root}/messages", digits=1)
+    ingest.start_table(known, X.upsert_target(spark, sf_dir))
+    messages = X.messages_raw(spark, sf_dir, stream=True).withColumnRenamed("text", "text_raw")
+    jobs.write_never_seen(messages, known, f"{root}/log", f"{root}/checkpoint", digits=1).awaitTermination()
+    return jobs.seen_table(spark, f"{root}/log", 1).read().select("row_seq", "md5_hash", "text_raw")
+
+
 # --- Sources and sinks ----------------------------------------------------------------
 
 
@@ -857,6 +879,45 @@ def matrix_roundtrip(spark, sf_dir):
     return readers.read_matrix(spark, folder)
 
 
+@query
+def strings_read(spark, sf_dir):
+    """All columns of a CSV as strings, nulls as empty text."""
+    folder = workspace.new_folder(spark, "strings")
+    docs = X.table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"))
+    writers.write_cleaned(docs, folder, "csv")
+    return readers.read_csv_strings(spark, folder, multi_line=False)
+
+
+@query
+def table_read(spark, sf_dir):
+    """Columns of a catalog table."""
+    X.table(spark, sf_dir, "documents").createOrReplaceTempView("documents_in_catalog")
+    return readers.read_table(spark, "documents_in_catalog", ["doc_id", "source"])
+
+
+@query
+def roles(spark, sf_dir):
+    """True and predicted labels by the roles of a log's columns."""
+    df = X.predictions(spark, sf_dir)
+    found = readers.resolve_roles(df, ["true", "pred"])
+    return df.select(F.col(found["true"]).alias("true"), F.col(found["pred"]).alias("pred")).groupBy("true", "pred").agg(F.count("*").alias("n"))
+
+
+@query
+def previews(spark, sf_dir):
+    return X.table(spark, sf_dir, "documents").select("doc_id", T.preview(F.col("text"), 80).alias("preview"))
+
+
+@query
+def token_list(spark, sf_dir):
+    """The sorted token list, written as text and read back."""
+    folder = workspace.new_folder(spark, "tokens")
+    names = features.tokens(F.col("text"))
+    tokens = X.table(spark, sf_dir, "documents").select(F.explode(names).alias("token")).distinct()
+    writers.write_token_list(tokens, folder)
+    return spark.read.text(folder).withColumnRenamed("value", "token")
+
+
 @query
 def thresholds_json(spark, sf_dir):
     df = thresholds.class_thresholds(
