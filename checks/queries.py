@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,11 +16,13 @@ from checks.examples import EXAMPLES
 from msgloom import constants as C
 from msgloom.functions import placeholders as P
 from msgloom.functions import text as T
+from msgloom.functions import vectors as V
 from msgloom.operators import (
     audit,
     dedup,
     entities,
     features,
+    focal,
     gazetteer,
     metrics,
     monitor,
@@ -256,7 +259,7 @@ def gazetteer_spans(spark, sf_dir):
         "row_seq", T.clean_text(F.col("text")).alias("text_clean")
     )
     known = X.gazetteer(spark, sf_dir)
-    return _exploded(gazetteer.with_gazetteer_spans(raw, known), "gazetteer_spans")
+    return _exploded(gazetteer.gazetteer_spans(raw, known), "gazetteer_spans")
 
 
 # --- Features -------------------------------------------------------------------------
@@ -747,6 +750,38 @@ def ml_predictions(spark, sf_dir):
     return scored.select("row_seq", "label", "encoded_label", "pred_id", "confidence")
 
 
+@query
+def focal_gradient(spark, sf_dir):
+    """Loss and gradient of the weighted focal loss where all weights are zero."""
+    fit = focal.FocalClassifier(slots=2048)
+    train = prepared(spark, sf_dir).filter("split = 'train'")
+    weights = features.class_weights(train).select("label", F.col("weight").alias("class_weight"))
+    rows = fit.rows(train.join(F.broadcast(weights), "label"))
+    classes = rows.agg(F.max("id")).first()[0] + 1
+    zero = np.zeros((classes, fit.slots))
+    loss, by_slot, by_bias = focal.loss_and_gradient(rows, zero, zero[:, 0])
+    made = [(focal.LOSS, 0, loss), *[(focal.BIAS, c, float(g)) for c, g in enumerate(by_bias)]]
+    made += [(s, c, float(by_slot[c, s])) for c in range(classes) for s in range(fit.slots) if by_slot[c, s]]
+    df = spark.createDataFrame(made, "slot int, class int, value double")
+    return df.select("slot", "class", (r6("value") + 0.0).alias("value")).filter("value <> 0")
+
+
+@query
+def ml_quality(spark, sf_dir):
+    """The best of two candidates by macro F1: sound on rows that no fit has seen, and its
+    weighted loss on the train rows below that of equal scores for all classes."""
+    rows = prepared(spark, sf_dir).select("row_seq", "text_model", "label", "encoded_label", "split")
+    model = scoring.train(rows, [scoring.classifier(max_iter=10), focal.FocalClassifier()])
+    scored = scoring.predict(model, rows.filter("split = 'test'"))
+    sound = (F.col("confidence") > 0) & (F.col("confidence") <= 1) & (F.abs(V.total(F.col("probs")) - 1) < 1e-6)
+    checked = scored.agg(F.count("*").alias("n"), F.bool_and(sound).alias("sound"))
+    train = rows.filter("split = 'train'")
+    weights = features.class_weights(train, "encoded_label").select(F.col("label").alias("id"), "weight")
+    loss = metrics.losses(scoring.predict(model, train), weights, true_col="encoded_label")
+    least = F.ln(weights.agg(F.count("*")).scalar())
+    return checked.withColumn("lowers_loss", loss.select("cross_entropy").scalar() < least)
+
+
 # --- Streams --------------------------------------------------------------------------
 
 

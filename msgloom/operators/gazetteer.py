@@ -1,4 +1,9 @@
-"""Person, organisation, product and place spans from a table of known phrases."""
+"""Person, organisation, product and place spans from a table of known phrases.
+
+Texts are cut into words that carry their place; a phrase is looked up by its rarest word, and
+its other words are checked at the places next to it. So no text leaves its task, and the work
+doesn't depend on how long the longest phrase is.
+"""
 
 from __future__ import annotations
 
@@ -6,31 +11,59 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from msgloom.functions.vectors import let
-from msgloom.operators.bounded import salted_join, small
-from msgloom.operators.entities import match_spans, placeholder_for
+from msgloom.operators.bounded import bounded, salted_join
+from msgloom.operators.entities import match_spans, merge_spans, placeholder_for
 from msgloom.schema import SPANS
 
-WORD_BREAK = r"[^a-z0-9#_-]+"
-
+WORD = "[A-Za-z0-9#_-]+"
 
-def _words(c: Column) -> Column:
-    return F.filter(F.split(F.lower(c), WORD_BREAK), lambda w: w != "")
 
+def known_phrases(gazetteer: DataFrame) -> DataFrame:
+    """(phrase, words, entity): each different phrase of a table (phrase, entity) once."""
+    words = F.transform(F.regexp_extract_all("phrase", F.lit(WORD), F.lit(0)), F.lower)
+    return (
+        gazetteer.select(words.alias("words"), "entity")
+        .filter(F.size("words") > 0)
+        .groupBy(F.array_join("words", " ").alias("phrase"))
+        .agg(F.first("words").alias("words"), F.min("entity").alias("entity"))
+    )
 
-def _grams(c: Column, max_words: Column) -> Column:
-    """Distinct runs of one to max_words words, each as one phrase."""
 
-    def runs(words: Column, n: Column) -> Column:
-        starts = F.when(
-            F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))
-        ).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+def phrase_index(known: DataFrame, word_counts: DataFrame | None = None) -> DataFrame:
+    """(word, place, phrase, words, entity): each phrase under its rarest word and that word's place.
 
-    lengths = F.sequence(F.lit(1), max_words.cast("int"))
-    return let(
-        _words(c),
-        lambda words: F.array_distinct(F.flatten(F.transform(lengths, lambda n: runs(words, n)))),
+    Rare means in few phrases, or seldom in `word_counts` (word, n) where given; of equally
+    rare words the longest, then the first counts.
+    """
+    each = known.select("phrase", "words", "entity", F.posexplode("words").alias("place", "word"))
+    counts = word_counts
+    if counts is None:
+        counts = each.groupBy("word").agg(F.count("*").alias("n"))
+    ranked = each.join(counts.select("word", "n"), "word", "left")
+    rarity = F.struct(F.coalesce("n", F.lit(0)), -F.length("word"), "place")
+    chosen = ranked.groupBy("phrase").agg(
+        F.min_by(F.struct("word", "place", "words", "entity"), rarity).alias("best")
     )
+    return chosen.select("best.word", "best.place", "phrase", "best.words", "best.entity")
+
+
+def placed_words(df: DataFrame, key: str = "row_seq", text_col: str = "text_clean") -> DataFrame:
+    """(key, i, start, end, value, gap): the words of each text; gap is what follows up to the next."""
+    text = F.col(text_col)
+
+    def rows(gaps: Column) -> Column:
+        return F.transform(
+            match_spans(text, F.lit(WORD), F.lit("")),
+            lambda s, i: F.struct(
+                i.alias("i"),
+                s["start"].alias("start"),
+                s["end"].alias("end"),
+                s["value"].alias("value"),
+                F.get(gaps, i + 1).alias("gap"),
+            ),
+        )
+
+    return df.select(key, F.inline(let(F.split(text, WORD), rows)))
 
 
 def gazetteer_matches(
@@ -39,28 +72,57 @@ def gazetteer_matches(
     key: str = "row_seq",
     text_col: str = "text_clean",
     max_rows: int | None = None,
+    word_counts: DataFrame | None = None,
 ) -> DataFrame:
-    """(key, phrase, entity) for every known phrase in a text.
+    """(key, phrase, entity, start, end, value) for every place of a known phrase in a text.
 
-    Phrases may have any number of words; the longest one sets how long the runs get. The
-    gazetteer (phrase, entity) is joined by a salted shuffle, since a common name may be in
-    a third of all texts. With max_rows it is broadcast, and the job fails beyond that.
+    `key` names one row; rows without one have no matches. Phrases may have any number of
+    words. Words are joined with the gazetteer (phrase, entity) by a salted shuffle, since a
+    common word may be in a third of all texts; with max_rows the gazetteer is broadcast, and
+    the job fails beyond that.
     """
-    known = (
-        gazetteer.select(F.array_join(_words(F.col("phrase")), " ").alias("phrase"), "entity")
-        .filter("phrase <> ''")
-        .groupBy("phrase")
-        .agg(F.min("entity").alias("entity"))
-    )
-    longest = known.agg(F.coalesce(F.max(F.size(F.split("phrase", " "))), F.lit(1))).scalar()
-    texts = df.select(key, text_col, longest.alias("_longest"))
-    grams = texts.select(key, F.explode(_grams(F.col(text_col), F.col("_longest"))).alias("phrase"))
+    known = known_phrases(gazetteer)
     if max_rows is not None:
-        return grams.join(small(known, max_rows, "gazetteer"), "phrase").select(key, "phrase", "entity")
-    return salted_join(grams, known, ["phrase"], [key]).select(key, "phrase", "entity")
+        known = bounded(known, max_rows, "gazetteer")
+    index = phrase_index(known, word_counts)
+    vocabulary = known.select(F.explode("words").alias("word")).distinct()
+
+    def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        if max_rows is not None:
+            return left.join(F.broadcast(right), "word", how)
+        return salted_join(left, right, ["word"], [key, "i"], how)
+
+    words = placed_words(df, key, text_col).withColumn("word", F.lower("value"))
+    words = joined(words, vocabulary, "left_semi")
+    found = joined(words, index, "inner")
+    single = found.filter(F.size("words") == 1).select(key, "phrase", "entity", "start", "end", "value")
+    # Longer phrases: every other word must stand at its place beside the rarest one.
+    wanted = found.filter(F.size("words") > 1).select(
+        key,
+        "phrase",
+        "entity",
+        (F.col("i") - F.col("place")).alias("first"),
+        F.size("words").alias("n"),
+        F.posexplode("words").alias("j", "word"),
+    )
+    wanted = wanted.withColumn("i", F.col("first") + F.col("j"))
+    seen = wanted.join(words, [key, "i", "word"])
+    piece = F.when(F.col("j") + 1 < F.col("n"), F.concat("value", "gap")).otherwise(F.col("value"))
+    pieces = F.array_sort(F.collect_list(F.struct("j", piece.alias("piece"))))
+    whole = (
+        seen.groupBy(key, "first", "phrase", "entity", "n")
+        .agg(
+            F.count("*").alias("there"),
+            F.min("start").alias("start"),
+            F.max("end").alias("end"),
+            F.array_join(F.transform(pieces, lambda p: p["piece"]), "").alias("value"),
+        )
+        .filter("there = n")
+    )
+    return single.unionByName(whole.select(*single.columns))
 
 
-def with_gazetteer_spans(
+def gazetteer_spans(
     df: DataFrame,
     gazetteer: DataFrame,
     key: str = "row_seq",
@@ -68,50 +130,47 @@ def with_gazetteer_spans(
     output: str = "gazetteer_spans",
     **options,
 ) -> DataFrame:
-    """Add the spans of all known phrases; longer phrases win at the same place."""
+    """(key, spans) of the texts that hold known phrases, without the texts.
+
+    Of phrases that start at one word the longest counts, then the leftmost that overlaps no
+    earlier one. Phrases of types without a placeholder take their place but give no span.
+    """
     found = gazetteer_matches(df, gazetteer, key, text_col, **options)
-    per_text = found.groupBy(key).agg(
-        F.sort_array(
-            F.collect_set(
-                F.struct(F.length("phrase").alias("size"), "phrase", "entity")
-            ),
-            asc=False,
-        ).alias("_known")
+    longest = found.groupBy(key, "start").agg(
+        F.max(F.struct("end", "entity", "value")).alias("best")
     )
-    escaped = F.transform(
-        F.col("_known"),
-        lambda k: F.regexp_replace(
-            F.regexp_replace(k["phrase"], r"([^a-z0-9 ])", r"\\$1"), " ", "[^A-Za-z0-9#_-]+"
-        ),
-    )
-    # A match starts and ends where a word does, as the words above are cut.
-    pattern = F.concat(
-        F.lit("(?i)(?<![a-z0-9#_-])(?:"), F.array_join(escaped, "|"), F.lit(")(?![a-z0-9#_-])")
-    )
-    names = F.map_from_entries(
-        F.transform(F.col("_known"), lambda k: F.struct(k["phrase"], k["entity"]))
+    span = F.struct(
+        "start",
+        F.col("best.end").alias("end"),
+        F.concat(F.lit("="), "best.entity").alias("ph"),
+        F.col("best.value").alias("value"),
+        F.lit(None).cast("double").alias("score"),
     )
 
-    def typed(span: Column) -> Column:
-        entity = names[F.array_join(_words(span["value"]), " ")]
+    def typed(s: Column) -> Column:
         return F.struct(
-            span["start"].alias("start"),
-            span["end"].alias("end"),
-            placeholder_for(entity, keep_unknown=False).alias("ph"),
-            span["value"].alias("value"),
-            span["score"].alias("score"),
+            s["start"].alias("start"),
+            s["end"].alias("end"),
+            placeholder_for(F.substr(s["ph"], F.lit(2)), keep_unknown=False).alias("ph"),
+            s["value"].alias("value"),
+            F.lit(None).cast("double").alias("score"),
         )
 
-    spans = F.filter(
-        F.transform(match_spans(F.col(text_col), pattern, F.lit("")), typed),
-        # Model-source types without a placeholder are dropped.
-        lambda s: s["ph"].isNotNull(),
-    )
-    return (
-        df.join(per_text, key, "left")
-        .withColumn(
-            output,
-            F.when(F.col("_known").isNotNull(), spans).otherwise(F.array().cast(SPANS)),
-        )
-        .drop("_known")
+    per_text = longest.groupBy(key).agg(F.collect_list(span).cast(SPANS).alias("_found"))
+    spans = F.transform(merge_spans(F.col("_found")), typed)
+    return per_text.select(key, F.filter(spans, lambda s: s["ph"].isNotNull()).alias(output))
+
+
+def with_gazetteer_spans(
+    df: DataFrame,
+    gazetteer: DataFrame,
+    key: str = "row_seq",
+    text_col: str = "text_clean",
+    output: str = "gazetteer_spans",
+    **options,
+) -> DataFrame:
+    """Add the spans of all known phrases, as in `gazetteer_spans`; only this join moves df's rows."""
+    spans = gazetteer_spans(df, gazetteer, key, text_col, output, **options)
+    return df.join(spans, key, "left").withColumn(
+        output, F.coalesce(F.col(output), F.array().cast(SPANS))
     )

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -152,6 +153,46 @@ def test_gazetteer_long_names(spark):
     assert [s["value"] for s in spans][-1] == "Jo de la Cruz Garcia"
 
 
+def test_gazetteer_by_brute_force(spark):
+    own = random.Random(5)
+    vocabulary = ["new", "york", "city", "of", "bank", "Ada", "x-1", "#7", "the", "a_b"]
+    known = {" ".join(own.choice(vocabulary) for _ in range(n)) for n in (1, 2, 2, 2, 3, 3, 3, 4, 5)}
+    known |= {" ".join(vocabulary * 3)}  # 30 words
+    gaps = [" ", ", ", " - ".replace("-", "/"), "  ", ". "]
+    texts = [
+        "".join(own.choice(vocabulary).upper() if own.random() < 0.2 else own.choice(vocabulary) + own.choice(gaps) for _ in range(own.randint(0, 60)))
+        for _ in range(150)
+    ]
+    texts += [f"so {' , '.join(vocabulary * 3)}!", "new york " * 3000, "", None]
+    by_words = {tuple(k.lower().split()) for k in known}
+
+    def brute(text):
+        words = [(m.start(), m.end(), m[0].lower()) for m in re.finditer("[A-Za-z0-9#_-]+", text or "")]
+        found, at = [], 0
+        while at < len(words):
+            ends = [n for n in range(1, 31) if tuple(w for _, _, w in words[at : at + n]) in by_words and at + n <= len(words)]
+            if ends:
+                a, b = words[at][0], words[at + max(ends) - 1][1]
+                found.append((a, b, text[a:b]))
+            at += max(ends, default=1)
+        return found
+
+    df = spark.createDataFrame(list(enumerate(texts)), "row_seq long, text_clean string")
+    phrases = spark.createDataFrame([(k, "PERSON") for k in sorted(known)], "phrase string, entity string")
+    counts = spark.createDataFrame([("of", 1), ("new", 5)], "word string, n long")
+    for options in ({}, {"max_rows": 50, "word_counts": counts}):
+        out = gazetteer.with_gazetteer_spans(df, phrases, **options).collect()
+        got = {r["row_seq"]: [(s["start"], s["end"], s["value"]) for s in r["gazetteer_spans"]] for r in out}
+        assert got == {i: brute(t) for i, t in enumerate(texts)}
+    none = gazetteer.with_gazetteer_spans(df, phrases.limit(0)).select("gazetteer_spans").distinct().collect()
+    assert [r[0] for r in none] == [[]]
+    plan = gazetteer.gazetteer_spans(df, phrases)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    exchanges = [part for part in plan.split("\n\n") if re.match(r"\(\d+\) Exchange", part)]
+    assert exchanges and not any("text_clean" in part for part in exchanges)
+
+
 def test_user_model_spans(spark):
     def load():
         def find(text):
