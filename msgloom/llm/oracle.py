@@ -113,27 +113,37 @@ WITH a AS (
     FROM (SELECT lang, source, unnest(['symbols', 'dup_lines', 'repeats', 'mean_length']) AS measure,
                  unnest([symbols, dup_lines, repeats, mean_length]) AS v FROM m WHERE NOT base_failed)
 ), q1 AS (
-    SELECT lang, source, measure, count(*) AS n, quantile_disc(bin, 0.25) AS q1, quantile_disc(bin, 0.75) AS q3 FROM e GROUP BY ALL
+    SELECT lang, source, measure, max(n) AS n, min(bin) FILTER (4 * i >= n) AS q1, min(bin) FILTER (4 * i >= 3 * n) AS q3,
+           min(bin) FILTER (100 * i >= 99 * n) AS top
+    FROM (SELECT *, row_number() OVER (w ORDER BY bin) AS i, count(*) OVER w AS n FROM e WINDOW w AS (PARTITION BY lang, source, measure))
+    GROUP BY ALL
 ), q2 AS (
-    SELECT lang, measure, count(*) AS n, quantile_disc(bin, 0.25) AS q1, quantile_disc(bin, 0.75) AS q3 FROM e GROUP BY ALL
+    SELECT lang, measure, max(n) AS n, min(bin) FILTER (4 * i >= n) AS q1, min(bin) FILTER (4 * i >= 3 * n) AS q3,
+           min(bin) FILTER (100 * i >= 99 * n) AS top
+    FROM (SELECT *, row_number() OVER (w ORDER BY bin) AS i, count(*) OVER w AS n FROM e WINDOW w AS (PARTITION BY lang, measure))
+    GROUP BY ALL
 ), q3 AS (
-    SELECT measure, count(*) AS n, quantile_disc(bin, 0.25) AS q1, quantile_disc(bin, 0.75) AS q3 FROM e GROUP BY ALL
+    SELECT measure, max(n) AS n, min(bin) FILTER (4 * i >= n) AS q1, min(bin) FILTER (4 * i >= 3 * n) AS q3,
+           min(bin) FILTER (100 * i >= 99 * n) AS top
+    FROM (SELECT *, row_number() OVER (w ORDER BY bin) AS i, count(*) OVER w AS n FROM e WINDOW w AS (PARTITION BY measure))
+    GROUP BY ALL
 ), f AS (
     SELECT q1.lang, q1.source, q1.measure,
            CASE WHEN q1.n >= 100 THEN q1.q1 WHEN q2.n >= 100 THEN q2.q1 ELSE q3.q1 END AS low,
-           CASE WHEN q1.n >= 100 THEN q1.q3 WHEN q2.n >= 100 THEN q2.q3 ELSE q3.q3 END AS high
+           CASE WHEN q1.n >= 100 THEN q1.q3 WHEN q2.n >= 100 THEN q2.q3 ELSE q3.q3 END AS high,
+           CASE WHEN q1.n >= 100 THEN q1.top WHEN q2.n >= 100 THEN q2.top ELSE q3.top END AS top
     FROM q1 JOIN q2 ON q1.lang IS NOT DISTINCT FROM q2.lang AND q1.measure = q2.measure JOIN q3 ON q1.measure = q3.measure
 ), h AS (
     SELECT lang, source,
            max(CASE measure WHEN 'symbols' THEN high + greatest(3 * (high - low), 300) END) AS top_symbols,
-           max(CASE measure WHEN 'dup_lines' THEN high + greatest(3 * (high - low), 5000) END) AS top_dup_lines,
-           max(CASE measure WHEN 'repeats' THEN high + greatest(3 * (high - low), 3000) END) AS top_repeats,
+           max(CASE measure WHEN 'dup_lines' THEN top + 1000 END) AS top_dup_lines,
+           max(CASE measure WHEN 'repeats' THEN top + 500 END) AS top_repeats,
            max(CASE measure WHEN 'mean_length' THEN high + greatest(3 * (high - low), 400) END) AS top_length,
            max(CASE measure WHEN 'mean_length' THEN low - greatest(3 * (high - low), 150) END) AS low_length
     FROM f GROUP BY lang, source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND coalesce(symbols <= top_symbols AND dup_lines <= top_dup_lines AND repeats <= top_repeats
+       NOT base_failed AND coalesce(symbols <= top_symbols AND (dup_lines <= top_dup_lines OR n_dup_lines <= 3) AND (repeats <= top_repeats OR n_repeat_words <= 16)
            AND mean_length BETWEEN low_length AND top_length, TRUE) AS kept
 FROM m LEFT JOIN h ON m.lang IS NOT DISTINCT FROM h.lang AND m.source IS NOT DISTINCT FROM h.source
 """

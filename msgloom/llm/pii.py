@@ -1,11 +1,11 @@
 """Personal data: base patterns, and terms that reveal a protected entity.
 
 Base spans are found by patterns. A term is a word that stands near an entity (a base value). From
-document counts over the corpus, a term's information about an entity is PMI(term, entity), and
-the entity's own is IC = -log2 p(entity). A term whose share PMI / IC reaches GENERALISE is
-generalised to GENERAL wherever it stands, from REMOVE on it is removed. All pairs are judged,
-those that stand together once as well: PMI takes the lower confidence bound of p(entity | term),
-which is far below the observed share where evidence is scarce.
+document counts over the corpus, what a term leaves open about an entity is -log2 p(entity | term)
+bits. A term that leaves at most GENERALISE bits of some entity is generalised to GENERAL wherever it
+stands, one that leaves at most REMOVE bits is removed. All pairs are judged by what the other
+documents tell: the probability leaves one of the documents that hold both out, so a pair that
+stands together once discloses nothing, and the bits don't depend on the size of the corpus.
 
 Null texts are empty. Repeated rows count as documents and give repeated results. A row without
 a doc_id is a row like others.
@@ -37,9 +37,8 @@ NEAR_WORDS, NEAR_CHARS = 6, 200
 WORD = "\\p{L}{3,}"
 #: Pieces between matches that may lie within NEAR_CHARS, as a match has seven characters or more.
 NEAR_PIECES = NEAR_CHARS // 7
-#: Standard deviations that the confidence bound (Wilson) lies below the observed share.
-DEVIATIONS = 3.0
-GENERALISE, REMOVE = 0.5, 0.9
+#: Bits that may be left open of an entity for a term to be generalised, or removed.
+GENERALISE, REMOVE = 1.6, 0.5
 #: Sums are made of blocks of so many pieces.
 CHUNK = 64
 
@@ -156,14 +155,13 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return computed_once(rows, {"base": F.sort_array(F.concat(*parts))}, list(KINDS))
 
 
-def least_share(part: Column, whole: Column) -> Column:
-    """The lower bound (Wilson) of a share of which `part` of `whole` cases were seen."""
-    p, n, z2 = part / whole, whole.cast("double"), DEVIATIONS**2
-    return (p + z2 / (2 * n) - DEVIATIONS * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+def bits_left(both: Column, term: Column) -> Column:
+    """-log2 p(entity | term), without one of the documents that hold both; null where no other does."""
+    return -F.log2((both - 1) / term)
 
 
 def sensitive_terms(docs: DataFrame, based: DataFrame) -> DataFrame:
-    """Stored (term, share): terms whose information about some entity reaches GENERALISE of its own.
+    """Stored (term, bits): terms that leave at most GENERALISE bits of some entity open.
 
     based: stored base_spans of docs.
     """
@@ -173,21 +171,16 @@ def sensitive_terms(docs: DataFrame, based: DataFrame) -> DataFrame:
     row = ["doc_id", "text_hash"]
     pairs = each.select(*row, "entity", F.explode(F.array_distinct("near")).alias("term")).distinct()
     both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    owners = each.select(*row, "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    # a term tells most of the entity that it stands near most often
+    both = both.groupBy("term").agg(F.max("n_both").alias("n_both")).filter("n_both > 1")
     near = pairs.select(*row, "term").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
-    total = docs.agg(F.count("*").alias("n")).scalar()
-    n = F.col("n").cast("double")
-    own = F.log2(n / F.col("n_entity"))
-    share = lambda n_term: F.when(own > 0, F.log2(least_share(F.col("n_both"), F.col(n_term)) * n / F.col("n_entity")) / own)
-    # a term is in at least as many documents as it is near entities in, so no share gets larger than this
-    both = both.join(owners, "entity").join(near, "term").withColumn("n", total)
-    both = stored(both.filter(share("n_near") >= GENERALISE), "pairs")
-    wanted = stored(both.select("term").distinct(), "wanted")
+    # a term is in at least as many documents as it is near entities in, so no fewer bits are left than this
+    both = both.join(near, "term").filter(bits_left(F.col("n_both"), F.col("n_near")) <= GENERALISE)
+    both = stored(both, "wanted")
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(WORD), F.lit(0)))
     held = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    held = stored(held.join(if_small(wanted), "term"), "held")
-    shares = both.join(held, "term").withColumn("share", share("n_term")).filter(F.col("share") >= GENERALISE)
-    return stored(shares.groupBy("term").agg(F.max("share").alias("share")), "sensitive")
+    held = held.join(if_small(both), "term").select("term", bits_left(F.col("n_both"), F.col("n_term")).alias("bits"))
+    return stored(held.filter(F.col("bits") <= GENERALISE), "sensitive")
 
 
 def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -216,7 +209,7 @@ def _named(spans: Column) -> Column:
 
 
 def sanitised(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, base, spans) of every row of docs; spans hold the terms as well, with their share."""
+    """(doc_id, text_hash, base, spans) of every row of docs; spans hold the terms as well."""
     based = stored(base_spans(docs), "based")
     terms = sensitive_terms(docs, based)
     found = stored(term_spans(docs, terms), "terms").toDF("_doc", "_hash", "terms")
@@ -255,7 +248,7 @@ def clean_text(docs: DataFrame) -> DataFrame:
     held = rows.select("doc_id", "text_hash", F.explode(F.array_distinct(words)).alias("term")).join(if_small(terms), "term")
     pick = lambda test: F.array_join(F.sort_array(F.collect_set(F.when(test, F.col("term")))), "|")
     held = held.groupBy("doc_id", "text_hash").agg(
-        pick(F.col("share") >= REMOVE).alias("removed"), pick(F.col("share") < REMOVE).alias("general")
+        pick(F.col("bits") <= REMOVE).alias("removed"), pick(F.col("bits") > REMOVE).alias("general")
     )
     held = stored(held.toDF("_doc", "_hash", "removed", "general"), "holders")
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash"))

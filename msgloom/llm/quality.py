@@ -2,8 +2,10 @@
 
 A document's measures are whole numbers. A sketch counts them in bins whose width is at most
 1/64 of the value; sketches merge by adding counts, so those of a language and of the corpus are
-sums of those of (language, source). Each measure has a fence from the quartiles of its group,
+sums of those of (language, source). Each measure has a fence from the quantiles of its group,
 or of the language or corpus where the group is small, and documents are joined with the fences.
+Symbols and word length have theirs from the quartiles. Shares of repeated words and lines are
+zero in most documents, so theirs is a high quantile, and a few repeats are borne in any text.
 
 Null and empty texts have no words and fail the base rule. Null languages and sources are
 groups of their own. Repeated rows count and come back as often as they are there.
@@ -25,12 +27,13 @@ MIN_GROUP = 100
 #: Documents beyond this many quartile ranges from the quartiles go.
 REACH = 3
 #: measure -> (slack below, slack above): least distance of a fence from the quartile; None: no fence
-SLACK = {
-    "symbols": (None, 300),
-    "dup_lines": (None, 5000),
-    "repeats": (None, 3000),
-    "mean_length": (150, 400),
-}
+SLACK = {"symbols": (None, 300), "mean_length": (150, 400)}
+#: Share of a group's documents, in percent, at or below the fence of a share of repeats.
+HIGH = 99
+#: measure -> (count, slack, borne): its fence is the high quantile and slack ten-thousandths, and
+#: a document with no more than `borne` of the count is inside it
+REPEATS = {"dup_lines": ("n_dup_lines", 1000, 3), "repeats": ("n_repeat_words", 500, 2 * GRAM)}
+MEASURES = (*SLACK, *REPEATS)
 
 
 def base_measures(docs: DataFrame) -> DataFrame:
@@ -98,19 +101,19 @@ def bin_of(value: Column) -> Column:
 
 def sketches(rows: DataFrame) -> DataFrame:
     """(lang, source, measure, bin, n): the sketch of each group, of rows that pass the base rule."""
-    each = F.array(*[F.struct(F.lit(m).alias("measure"), bin_of(F.col(m)).alias("bin")) for m in SLACK])
+    each = F.array(*[F.struct(F.lit(m).alias("measure"), bin_of(F.col(m)).alias("bin")) for m in MEASURES])
     binned = rows.filter(~F.col("base_failed")).select("lang", "source", F.inline(each))
     return binned.groupBy("lang", "source", "measure", "bin").agg(F.count("*").alias("n"))
 
 
 def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """(…by, measure, total, q1, q3) of sketches merged by the given columns."""
+    """(…by, measure, total, q1, q3, top) of sketches merged by the given columns."""
     merged = sketch.groupBy(*by, "measure", "bin").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*by, "measure")
     until = F.sum("n").over(group.orderBy("bin"))
     counted = merged.withColumns({"until": until, "total": F.sum("n").over(group)})
-    at = lambda k: F.min(F.when(4 * F.col("until") >= k * F.col("total"), F.col("bin")))
-    return counted.groupBy(*by, "measure", "total").agg(at(1).alias("q1"), at(3).alias("q3"))
+    at = lambda p: F.min(F.when(100 * F.col("until") >= p * F.col("total"), F.col("bin")))
+    return counted.groupBy(*by, "measure", "total").agg(at(25).alias("q1"), at(75).alias("q3"), at(HIGH).alias("top"))
 
 
 def fences(sketch: DataFrame) -> DataFrame:
@@ -124,7 +127,7 @@ def fences(sketch: DataFrame) -> DataFrame:
     enough = F.col("total") >= MIN_GROUP
     lang_enough = F.col("l_total") >= MIN_GROUP
     pick = lambda q: F.when(enough, F.col(q)).when(lang_enough, F.col(f"l_{q}")).otherwise(F.col(f"c_{q}"))
-    chosen = joined.select("lang", "source", "measure", pick("q1").alias("q1"), pick("q3").alias("q3"))
+    chosen = joined.select("lang", "source", "measure", *[pick(q).alias(q) for q in ("q1", "q3", "top")])
     spread = REACH * (F.col("q3") - F.col("q1"))
     columns = []
     for m, (down, up) in SLACK.items():
@@ -132,6 +135,8 @@ def fences(sketch: DataFrame) -> DataFrame:
         if down is not None:
             columns.append(F.max(F.when(own, F.col("q1") - F.greatest(spread, F.lit(down)))).alias(f"{m}_low"))
         columns.append(F.max(F.when(own, F.col("q3") + F.greatest(spread, F.lit(up)))).alias(f"{m}_high"))
+    for m, (_, slack, _) in REPEATS.items():
+        columns.append(F.max(F.when(F.col("measure") == m, F.col("top") + slack)).alias(f"{m}_high"))
     wide = chosen.groupBy("lang", "source").agg(*columns)
     return wide.withColumnsRenamed({"lang": "f_lang", "source": "f_source"})
 
@@ -146,6 +151,8 @@ def judged(docs: DataFrame) -> DataFrame:
         if down is not None:
             inside = inside & (F.col(m) >= F.col(f"{m}_low"))
         inside = inside & (F.col(m) <= F.col(f"{m}_high"))
+    for m, (count, _, borne) in REPEATS.items():
+        inside = inside & ((F.col(m) <= F.col(f"{m}_high")) | (F.col(count) <= borne))
     joined = rows.join(if_small(limits), same, "left")
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

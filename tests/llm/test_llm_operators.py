@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -374,6 +375,21 @@ def test_quality_base_rules_and_fences(spark, empty):
     assert rows_of(quality.judged(empty)) == []
 
 
+def test_quality_rejects_by_repeats_or_lines_alone(spark):
+    rows = [(i, prose(200, 500 + i), "en", "s0", 0) for i in range(300)]
+    part = prose(28, 7)
+    rows += [(900, f"{prose(72, 901)} {part} {prose(72, 902)} {part}", "en", "s0", 0)]  # 28 % of its words
+    lines = [prose(7, 910 + i) for i in range(25)]  # too short for a window of eight words
+    rows += [(901, "\n".join(w for i, line in enumerate(lines) for w in ([line, line] if i < 15 else [line])), "en", "s0", 0)]
+    short = [prose(7, 950 + i) for i in range(5)]
+    rows += [(902, "\n".join([*short, short[0], short[2]]), "en", "s0", 0)]  # 2 of 7 lines
+    got = {r["doc_id"]: r for r in quality.judged(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert not got[900]["kept"] and got[900]["n_dup_lines"] == 0 and got[900]["n_repeat_words"] == 56
+    assert not got[901]["kept"] and got[901]["n_dup_lines"] == 15
+    assert got[902]["kept"] and all(got[i]["kept"] for i in range(300))
+
+
 def test_sketches_merge_by_adding(spark):
     rows = [(i, prose(60 + i % 50, i), ["en", "fr"][i % 2], f"s{i % 3}", 0) for i in range(120)]
     measured = quality.with_measures(quality.base_measures(spark.createDataFrame(rows, SCHEMA)))
@@ -461,6 +477,36 @@ def test_scarce_entities_reveal_terms_too(spark):
     assert "term:5:12" in got[410] and "term:4:12" in got[460] and got[20] == ""
 
 
+def test_disclosure_by_brute_force_and_at_ten_times_the_size(spark):
+    def corpus(times):
+        own = random.Random(9)
+        names = [f"{a}{b}{c}" for a in "bdfgk" for b in ("ala", "eno", "iru") for c in ("tek", "mos", "dun", "vir")]
+        rows = [f"{prose(12, 7000 + i)} {own.choice(names)} at u{own.randrange(8)}@mail.example.com {prose(12, 9000 + i)}" for i in range(40)]
+        rows += [f"{own.choice(names)} {prose(30, i)}" for i in range(60)]
+        rows += [f"{prose(9, 50_000 + i)} once{''.join(chr(97 + int(d)) for d in str(i))} one{i}@mail.example.com" for i in range(20 * times)]
+        return rows + [prose(30, 20_000 + i) for i in range(100 * (times - 1))]
+
+    marked = []
+    for times in (1, 10):
+        texts = corpus(times)
+        docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA)
+        based = pii.base_spans(docs)
+        got = {r["term"]: r["bits"] for r in pii.sensitive_terms(docs, based).collect()}
+        near, held = Counter(), Counter()
+        for r in based.collect():
+            near.update({(s["value"], w) for s in r["base"] for w in s["near"]})
+        for t in texts:
+            held.update(set(re.findall(r"[^\W\d_]{3,}", t.lower())))
+        want = {}
+        for (_, term), n in near.items():
+            if n > 1:
+                want[term] = min(want.get(term, 99.0), -math.log2((n - 1) / held[term]))
+        want = {t: b for t, b in want.items() if b <= pii.GENERALISE}
+        assert got == pytest.approx(want) and not any(t.startswith("once") for t in got)
+        marked.append(set(got))
+    assert marked[0] and len(marked[1]) <= len(marked[0])
+
+
 def test_contexts_run_past_neighbouring_matches(spark):
     text = "Zimbrel +1 555 201 1234, +1 555 201 9999; +1 555 201 8888 Quandrix"
     base = pii.base_spans(spark.createDataFrame([(1, text, "en", "s", 0)], SCHEMA)).first()["base"]
