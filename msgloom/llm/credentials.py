@@ -4,8 +4,10 @@ Credentials that the base patterns find are labelled by their pattern. Spark cou
 of all different values of a label, written as character classes. From the most frequent ones a
 prefix tree is built, and states whose statistics agree are merged (Hoeffding test) into an
 automaton; its probabilities are counted over all values. One more automaton learns ordinary
-tokens in the same way. Every run of credential characters in every text is scored: bits per character by which
-the best format is likelier than ordinary tokens. Runs above the format's threshold are added.
+tokens in the same way, without those that a format explains better: at first better than a chain of
+character classes, then better than the ordinary automaton of the round before. So bare values of a format
+don't teach it to the ordinary automaton. Every run of credential characters in every text is scored: bits per
+character by which the best format is likelier than ordinary tokens. Runs above the format's threshold are added.
 
 Null texts are empty. A corpus without labelled credentials has base spans only (none). Rows
 are scanned one by one, so repeated rows give repeated results.
@@ -41,6 +43,9 @@ CONFIDENCE = 0.05
 MIN_VISITS = 20
 #: Share of a label's own values that may score below its threshold, and the least threshold in bits.
 MISSED, LEAST_BITS = 0.05, 0.5
+#: Rounds in which ordinary tokens are told from bare values; bits by which a format must beat the ordinary
+#: automaton for one (the chain: at all, as the next round takes back what ordinary tokens explain).
+ROUNDS, ODDS = 2, 6.0
 #: Gains are counted in bins of 1 / BINS bits.
 BINS = 256
 UNSEEN = 1e-4
@@ -114,6 +119,17 @@ class Automaton:
         made._build(nodes)
         return made
 
+    @classmethod
+    def chain(cls, symbols: list[str]) -> Automaton:
+        """A state for each symbol, reached by it from everywhere; it can't hold a format by heart."""
+        made = cls.of_nodes([("", 0, 0, True)])
+        to = {s: i + 1 for i, s in enumerate(symbols)}
+        made.states = list(range(len(symbols) + 1))
+        made.visits, made.ends = [0] * len(made.states), [0] * len(made.states)
+        made.moves = [{s: [i, 0] for s, i in to.items()} for _ in made.states]
+        made._settle()
+        return made
+
     def _build(self, nodes: list[tuple[str, int, int, bool]]) -> None:
         self.visits, self.ends = [0], [0]
         self.moves: list[dict[str, list[int]]] = [{}]
@@ -280,15 +296,8 @@ def _tree(nodes: DataFrame, size: int) -> list[tuple[str, int, int, bool]]:
     return [(prefix, n, ends, prefix in inner) for prefix, (n, ends) in (leaves | inner).items()]
 
 
-def train(docs: DataFrame, size: int = NODES) -> Grammar | None:
-    """Infer from the labelled credentials and ordinary tokens of all texts."""
-    found = shapes(docs)
-    cut = F.left("shape", F.lit(TRAIN_LENGTH))
-    each = found.select("kind", "shape", "n", F.explode(F.sequence(F.lit(0), F.length(cut))).alias("d"))
-    ends = F.sum(F.when(F.col("d") == F.length("shape"), F.col("n")).otherwise(0)).alias("ends")
-    nodes = each.groupBy("kind", F.left("shape", F.col("d")).alias("prefix")).agg(F.sum("n").alias("n"), ends)
-    nodes = stored(nodes, "prefixes")
-    machines = {kind: Automaton.of_nodes(tree) for kind in ("", *KINDS[:3]) if (tree := _tree(nodes.filter(F.col("kind") == kind), size))}
+def _counted(found: DataFrame, machines: dict[str, Automaton]) -> dict[str, Automaton]:
+    """The machines with probabilities from all shapes of their kind."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = {kind: Counter() for kind in machines}
@@ -304,9 +313,48 @@ def train(docs: DataFrame, size: int = NODES) -> Grammar | None:
         every[r["kind"]][r["state"], r["symbol"]] = r["n"]
     for kind, machine in machines.items():
         machine.recount(every[kind])
-    ordinary = machines.pop("", None) or Automaton([])
+    return machines
+
+
+def _inferred(found: DataFrame, kinds: tuple[str, ...], size: int, length: int) -> dict[str, Automaton]:
+    """The automaton of each kind that has shapes."""
+    cut = F.left("shape", F.lit(length))
+    each = found.select("kind", "shape", "n", F.explode(F.sequence(F.lit(0), F.length(cut))).alias("d"))
+    ends = F.sum(F.when(F.col("d") == F.length("shape"), F.col("n")).otherwise(0)).alias("ends")
+    nodes = each.groupBy("kind", F.left("shape", F.col("d")).alias("prefix")).agg(F.sum("n").alias("n"), ends)
+    nodes = stored(nodes, "prefixes")
+    machines = {kind: Automaton.of_nodes(tree) for kind in kinds if (tree := _tree(nodes.filter(F.col("kind") == kind), size))}
+    return _counted(found, machines)
+
+
+def _kept(plain: DataFrame, formats: dict[str, Automaton], ordinary: Automaton, odds: float) -> DataFrame:
+    """Stored shapes that no format explains better by `odds` bits than ordinary tokens do."""
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            fits = [max(f.score(w) for f in formats.values()) <= ordinary.score(w) + odds for w in batch["shape"]]
+            yield batch[pd.Series(fits, index=batch.index, dtype=bool)]
+
+    return stored(plain.mapInPandas(keep, plain.schema), "ordinary")
+
+
+def train(docs: DataFrame, size: int = NODES, length: int = TRAIN_LENGTH, rounds: int = ROUNDS) -> Grammar | None:
+    """Infer from the labelled credentials and ordinary tokens of all texts.
+
+    size: inner nodes of a prefix tree; length: longest prefix in it; rounds: how often the
+    ordinary tokens are told from bare values of a format (0: all unlabelled tokens are ordinary).
+    """
+    found = shapes(docs)
+    labelled, plain = found.filter("kind <> ''"), found.filter("kind = ''")
+    machines = _inferred(labelled, KINDS[:3], size, length)
     if not machines:
         return None
+    kept, symbols = plain, sorted({symbol(chr(c)) for c in CLASSES if re.match(r"[A-Za-z0-9+/_.=-]", chr(c))})
+    ordinary = _counted(plain, {"": Automaton.chain(symbols)})[""]
+    for turn in range(max(1, rounds)):
+        if rounds:
+            kept = _kept(plain, machines, ordinary, ODDS if turn else 0.0)
+        ordinary = _inferred(kept, ("",), size, length).get("") or Automaton([])
     grammar = Grammar(machines, ordinary)
 
     def gains(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -314,7 +362,7 @@ def train(docs: DataFrame, size: int = NODES) -> Grammar | None:
             made = [math.floor(grammar.gain(grammar.formats[k], w) * BINS) for k, w in zip(batch["kind"], batch["shape"], strict=True)]
             yield pd.DataFrame({"kind": batch["kind"], "gain": made, "n": batch["n"]})
 
-    gained = found.filter("kind <> ''").mapInPandas(gains, "kind string, gain long, n long")
+    gained = labelled.mapInPandas(gains, "kind string, gain long, n long")
     bins = gained.groupBy("kind", "gain").agg(F.sum("n").alias("n")).orderBy("kind", "gain").collect()
     for kind in machines:
         own = [(r["gain"], r["n"]) for r in bins if r["kind"] == kind]
@@ -331,9 +379,9 @@ def _joined(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
 
-def secrets(docs: DataFrame) -> DataFrame:
+def secrets(docs: DataFrame, size: int = NODES, length: int = TRAIN_LENGTH, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) of every row of docs (doc_id, text)."""
-    grammar = train(docs)
+    grammar = train(docs, size, length, rounds)
     names = ["n_assign", "n_access", "n_hex", "base_sha256", "spans"]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -568,6 +568,20 @@ def test_rare_formats_and_all_ordinary_tokens_are_learned(spark):
     assert found.agg({"n": "sum"}).first()[0] == 909
 
 
+def test_bare_values_of_a_format_are_found_in_numbers(spark):
+    own = random.Random(9)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    value = lambda: "ghp_" + "".join(own.choice(chars) for _ in range(36))
+    name = lambda: "".join(own.choice(["net", "work", "ing", "Data", "Flow", "ation", "er"]) for _ in range(own.randint(4, 8)))
+    rows = [(i, f"token={value()} of {name()} {name()}", "en", "s", 0) for i in range(300)]
+    bare = {1000 + i: (value(), name()) for i in range(60)}
+    rows += [(i, f"{v} then {n} /usr/share/{n.lower()}/lib.so.{i}", "en", "s", 0) for i, (v, n) in bare.items()]
+    for docs in (rows, [(i, t.split(" of ")[0].split(" then ")[0], *rest) for i, t, *rest in rows]):
+        got = {r[0]: r[5] for r in rows_of(credentials.secrets(spark.createDataFrame(docs, SCHEMA)))}
+        found, wrong = sum(got[i] == "likely:0:40" for i in bare), sum("likely" in got[i] for i in range(300))
+        assert found >= 50 and wrong == 0, (found, wrong)
+
+
 def test_automaton_merges_compatible_states():
     own = random.Random(4)
     words = ["A" + "0" * own.randint(8, 20) for _ in range(200)]
