@@ -644,6 +644,8 @@ SELECTS: dict[str, str] = {
         select conv_id, turn, case when rn <= n_test then 'test' when rn <= n_val then 'val' else 'train' end as split
         from conversations join cuts using (conv_id)""",
     "split_overlap": overlap("prepared", ["text_model", "text_raw", "text"]),
+    "overlap_sketch": f"""select * exclude (val_rows_seen, test_rows_seen), true as holds
+        from ({overlap("prepared", ["text_model", "text_raw", "text"])})""",
     "group_overlap": overlap("prepared", ["group_key"]),
     "turn_overlap": overlap(f"(select *, {bucket_split('turn')} as split from conversations)", ["conv_id", "role", "text"]),
     "token_overlap": overlap(f"(select *, {bucket_split('turn')} as split from encoded)", ["input_ids"]),

@@ -332,7 +332,7 @@ def _encoded(spark, sf_dir) -> DataFrame:
         "row_seq", F.concat_ws("-", "conv_id", "turn")
     )
     vocab = features.vocabulary(turns, "text")
-    return features.encode_tokens(turns, vocab, "row_seq", "text")
+    return features.encode_tokens(turns, vocab, "text")
 
 
 @query
@@ -437,6 +437,24 @@ def turn_overlap(spark, sf_dir):
     return splits.split_overlap(turns, ["conv_id", "role", "text"])
 
 
+@query
+def overlap_sketch(spark, sf_dir):
+    """Exact overlaps, and whether sketches of two loads, merged, estimate them all within their bound."""
+    df, columns = prepared(spark, sf_dir), ["text_model", "text_raw", "text"]
+    first = F.pmod(F.hash("row_seq"), F.lit(2)) == 0
+    loads = splits.overlap_sketches(df.filter(first), columns).unionByName(
+        splits.overlap_sketches(df.filter(~first), columns)
+    )
+    found = splits.sketch_overlap(splits.merge_sketches(loads))
+    exact = splits.split_overlap(df, columns).drop("val_rows_seen", "test_rows_seen")
+    names = [c for c in exact.columns if c != "column"]
+    size = {f"distinct_{s}": F.col(f"distinct_{s}") for s in splits.SPLITS}
+    size |= {f"{a}_{b}": size[f"distinct_{a}"] + size[f"distinct_{b}"] for a, b in splits.PAIRS}
+    near = [F.abs(F.col(c) - F.col(f"_{c}")) <= splits.overlap_error(size[c]) for c in names]
+    found = found.withColumnsRenamed({c: f"_{c}" for c in names})
+    return exact.join(found, "column").select(*exact.columns, F.array_min(F.array(*near)).alias("holds"))
+
+
 @query
 def token_overlap(spark, sf_dir):
     return splits.token_overlap(splits.split_by_group(_encoded(spark, sf_dir), "turn"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -225,10 +226,24 @@ def vocabulary(df: DataFrame, text_col: str = "text_model", vocab_size: int = 30
     )
 
 
+def _lookup_table(vocab: DataFrame, max_vocab: int) -> tuple[Column, int]:
+    """The vocabulary as one constant, an array of small maps, and the number of maps.
+
+    Maps are searched entry by entry, so a token's hash picks a map of one or two entries.
+    """
+    width = 1 << max(4, max_vocab.bit_length())
+    known = bounded(vocab.select("token", "token_id"), max_vocab, "vocabulary")
+    entries = known.select(F.pmod(F.hash("token"), F.lit(width)), "token", "token_id").collect()
+    width = min(width, 1 << max(4, len(entries).bit_length()))
+    maps = [{} for _ in range(width)]
+    for at, token, token_id in entries:
+        maps[at % width][token] = token_id
+    return F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>"), width
+
+
 def encode_tokens(
     df: DataFrame,
     vocab: DataFrame,
-    key: str = "row_seq",
     text_col: str = "text_model",
     max_len: int = C.MAX_TOKENS,
     max_vocab: int = 100_000,
@@ -236,40 +251,26 @@ def encode_tokens(
     """Add `input_ids` and `attention_mask`, both of length max_len.
 
     A text gets the start and end ids around at most max_len - 2 tokens; the tail of the
-    token list is cut, as the model's input is that long.
+    token list is cut, as the model's input is that long. The vocabulary, of at most
+    max_vocab tokens, is read once and travels with the plan: rows stay where they are.
     """
-    pieces = df.select(
-        key, F.posexplode(F.slice(tokens(F.col(text_col)), 1, max_len - 2)).alias("pos", "token")
-    )
-    lookup = small(vocab.select("token", "token_id"), max_vocab, "vocabulary")
-    ids = (
-        pieces.join(lookup, "token", "left")
-        .groupBy(key)
-        .agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct("pos", F.coalesce("token_id", F.lit(UNKNOWN)).alias("id"))
-                )
-            ).alias("_ids")
-        )
-    )
-    body = F.coalesce(
-        F.transform("_ids", lambda t: t["id"]), F.array().cast("array<int>")
-    )
+    table, width = _lookup_table(vocab, max_vocab)
+
+    def token_id(token: Column) -> Column:
+        found = F.get(table, F.pmod(F.hash(token), F.lit(width)))[token]
+        return F.coalesce(found, F.lit(UNKNOWN))
+
+    body = F.transform(F.slice(tokens(F.col(text_col)), 1, max_len - 2), token_id)
     full = F.concat(F.array(F.lit(START)), body, F.array(F.lit(END)))
+    left = F.lit(max_len) - F.size("_full")
     return (
-        df.join(ids, key, "left")
-        .withColumn("_full", full)
-        .withColumn(
-            "input_ids",
-            F.concat("_full", F.array_repeat(F.lit(PAD), max_len - F.size("_full"))),
-        )
+        computed_once(df, {"_full": full})
+        .withColumn("input_ids", F.concat("_full", F.array_repeat(F.lit(PAD), left)))
         .withColumn(
             "attention_mask",
             F.concat(
-                F.array_repeat(F.lit(1), F.size("_full")),
-                F.array_repeat(F.lit(0), max_len - F.size("_full")),
+                F.array_repeat(F.lit(1), F.size("_full")), F.array_repeat(F.lit(0), left)
             ),
         )
-        .drop("_ids", "_full")
+        .drop("_full")
     )

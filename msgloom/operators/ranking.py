@@ -47,18 +47,18 @@ def with_rank(
 def smallest_n(df: DataFrame, n: int, bucket: Column, order_by: list[str | Column]) -> DataFrame:
     """The first n rows in the order (bucket, *order_by); n may be large.
 
-    The bucket in which the n-th row falls is one number. Rows of lower buckets pass a
-    filter and aren't shuffled; only the rows of that one bucket are ranked.
+    Counts by bucket, a pass over the columns of `bucket` only, give the bucket in which the
+    n-th row falls. One filter over the rows follows; the rows that pass it, about n, are
+    numbered inside their buckets, and the cut is made in that one bucket.
     """
     work = df.withColumn("_bucket", bucket)
     reached = bucket_offsets(work, []).filter(F.col("_before") < n)
-    last = reached.agg(F.max("_bucket")).scalar()
-    left = n - reached.agg(F.max("_before")).scalar()
+    edge = reached.agg(F.max(F.struct("_bucket", "_before")).alias("_edge"))  # one row
     turn = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_by))
-    cut = (
-        work.filter(F.col("_bucket") == last)
+    lower = F.col("_bucket") < F.col("_edge._bucket")
+    return (
+        work.join(F.broadcast(edge), F.col("_bucket") <= F.col("_edge._bucket"))
         .withColumn("_turn", turn)
-        .filter(F.col("_turn") <= left)
-        .drop("_turn")
+        .filter(lower | (F.col("_turn") <= n - F.col("_edge._before")))
+        .drop("_bucket", "_turn", "_edge")
     )
-    return work.filter(F.col("_bucket") < last).unionByName(cut).drop("_bucket")

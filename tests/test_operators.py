@@ -3,6 +3,7 @@ from __future__ import annotations
 import bisect
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +48,21 @@ def test_rank_and_smallest(spark):
         assert sorted(r["id"] for r in got) == sorted(r[0] for r in order[:n])
 
 
+def scans(df) -> tuple[int, str]:
+    """File scans in the physical plan, and the plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan"), plan
+
+
+def test_smallest_reads_the_rows_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(1000).select("id", F.rand(1).alias("x"), F.lit("long").alias("text")).write.parquet(path)
+    df = spark.read.parquet(path)
+    n, plan = scans(smallest_n(df, 300, F.floor(F.col("x") * 10), ["x", "id"]))
+    assert "Union" not in plan and n == 2
+    assert sorted(re.findall(r"ReadSchema: (\S+)", plan)) == ["struct<id:bigint,x:double,text:string>", "struct<x:double>"]
+
+
 # --- Upsert ---------------------------------------------------------------------------
 
 
@@ -153,6 +169,27 @@ def test_overlap_finds_leaks(spark):
     assert (r["val_rows_seen"], r["test_rows_seen"]) == (1, 2)
 
 
+def test_overlap_sketches_merge_and_stay_within_their_bound(spark):
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "train").when(F.col("id") % 3 == 1, "val").otherwise("test").alias("split"),
+        (F.col("id") % 25_000).cast("string").alias("many"),
+        F.when(F.col("id") % 2 == 0, (F.col("id") % 50).cast("string")).alias("few"),
+    )
+    loads = [splits.overlap_sketches(rows.filter(F.col("many").cast("int") % 2 == i), ["many", "few"]) for i in (0, 1)]
+    merged = splits.merge_sketches(loads[0].unionByName(loads[1]))
+    assert merged.agg(F.sum("n_rows")).first()[0] == 120_000
+    got = {r["column"]: r.asDict() for r in splits.sketch_overlap(merged).collect()}
+    want = {r["column"]: r.asDict() for r in splits.split_overlap(rows, ["many", "few"]).collect()}
+    names = [c for c in got["few"] if c != "column"]
+    assert all(got["few"][c] == want["few"][c] for c in names) and want["few"]["distinct_train"] == 26
+    for c in names:
+        error = 4 * 40_000 / 2**6
+        assert abs(got["many"][c] - want["many"][c]) <= error and want["many"][c] > 10_000
+    alone = splits.sketch_overlap(splits.overlap_sketches(rows.filter("split = 'train'"), ["few"])).first()
+    assert (alone["distinct_train"], alone["distinct_val"], alone["train_val"]) == (26, 0, 0)
+    assert splits.sketch_overlap(splits.overlap_sketches(rows.limit(0), ["few"])).count() == 0
+
+
 # --- Features -------------------------------------------------------------------------
 
 
@@ -173,6 +210,26 @@ def test_token_rows(spark):
     assert all(len(r["input_ids"]) == len(r["attention_mask"]) == 64 for r in rows)
 
 
+def test_token_ids_move_no_rows(spark, tmp_path):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 90))) for _ in range(300)] + [None, "", "É [A B] [X_1]"]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([(i % 200, t) for i, t in enumerate(texts)], "row_seq long, text_model string").write.parquet(path)
+    df = spark.read.parquet(path)
+    vocab = features.vocabulary(df, vocab_size=2500)
+    made = features.encode_tokens(df, vocab)
+    assert not re.search("Exchange|Join|Python", scans(made)[1])
+    ids = {r["token"]: r["token_id"] for r in vocab.collect()}
+    want = []
+    for i, t in enumerate(texts):
+        body = [ids.get(w, 1) for w in re.findall(r"\[[^\]\s]+\]|[a-z0-9]+", (t or "").lower())[:62]]
+        want.append((i % 200, t or "", [2, *body, 3] + [0] * (62 - len(body))))
+    assert sorted((r["row_seq"], r["text_model"] or "", r["input_ids"]) for r in made.collect()) == sorted(want)
+    with pytest.raises(Exception, match="vocabulary has more"):
+        features.encode_tokens(df, vocab, max_vocab=100)
+
+
 def test_samples(spark):
     df = spark.range(300).select(F.col("id").alias("row_seq"), F.when(F.col("id") < 270, "big").otherwise("small").alias("label"))
     assert sampling.weighted_sample(df, 300).count() == 300
