@@ -53,12 +53,12 @@ def smallest_n(df: DataFrame, n: int, bucket: Column, order_by: list[str | Colum
     """
     work = df.withColumn("_bucket", bucket)
     reached = bucket_offsets(work, []).filter(F.col("_before") < n)
-    edge = reached.agg(F.max(F.struct("_bucket", "_before")).alias("_edge"))  # one row
+    edge = reached.agg(F.max(F.struct("_bucket", "_before"))).scalar()
     turn = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_by))
-    lower = F.col("_bucket") < F.col("_edge._bucket")
+    lower = F.col("_bucket") < edge["_bucket"]
     return (
-        work.join(F.broadcast(edge), F.col("_bucket") <= F.col("_edge._bucket"))
+        work.filter(F.col("_bucket") <= edge["_bucket"])
         .withColumn("_turn", turn)
-        .filter(lower | (F.col("_turn") <= n - F.col("_edge._before")))
-        .drop("_bucket", "_turn", "_edge")
+        .filter(lower | (F.col("_turn") <= n - edge["_before"]))
+        .drop("_bucket", "_turn")
     )
