@@ -32,6 +32,7 @@ from msgloom.operators import (
     thresholds,
     upsert,
 )
+from msgloom.operators.bounded import computed_once
 from msgloom.plans import ingest, prepare
 from msgloom.sources import readers, workspace, writers
 from msgloom.streaming import jobs
@@ -214,7 +215,8 @@ def ablation_labels(spark, sf_dir):
 
 
 def _exploded(df: DataFrame, spans: str) -> DataFrame:
-    s = df.select("row_seq", F.explode(spans).alias("s"))
+    s = computed_once(df.select("row_seq", spans), {spans: F.col(spans)})
+    s = s.select("row_seq", F.explode(spans).alias("s"))
     return s.select(
         "row_seq",
         F.col("s.start").alias("start_pos"),
@@ -259,7 +261,8 @@ def gazetteer_spans(spark, sf_dir):
         "row_seq", T.clean_text(F.col("text")).alias("text_clean")
     )
     known = X.gazetteer(spark, sf_dir)
-    return _exploded(gazetteer.gazetteer_spans(raw, known), "gazetteer_spans")
+    folder = workspace.new_folder(spark, "gazetteer-words")
+    return _exploded(gazetteer.gazetteer_spans(raw, known, folder=folder), "gazetteer_spans")
 
 
 # --- Features -------------------------------------------------------------------------

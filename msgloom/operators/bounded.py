@@ -43,12 +43,14 @@ def salted_join(
     """Equi-join of a skewed left side with a right side that has few rows for each key.
 
     Left rows of one key are spread over `salts` partitions; each right row is copied to
-    all of them. Kinds: inner, left, left_semi, left_anti.
+    all of them. Kinds: inner, left, left_semi, left_anti. The join is always a shuffle:
+    Spark's estimate of the right side doesn't know of the copies, nor of rows that an
+    explode made, and would broadcast a table of millions of rows.
     """
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     spread = left.withColumn("_salt", salt)
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(copies, [*on, "_salt"], how).drop("_salt")
+    return spread.join(copies.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def computed_once(

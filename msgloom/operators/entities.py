@@ -163,7 +163,7 @@ def _mixed_ok(value: Column) -> Column:
 CHECKS = {"luhn": _luhn_ok, "iban": _iban_ok, "mixed": _mixed_ok}
 
 
-def _pieces(text: Column, pattern: Column) -> Column:
+def match_pieces(text: Column, pattern: Column) -> Column:
     """The text cut before and after each match: gap, match, gap, match, ..., gap; empty
     when nothing matches."""
     return let(
@@ -175,7 +175,7 @@ def _pieces(text: Column, pattern: Column) -> Column:
 
 
 def _guarded_pieces(text: Column, lowered: Column, rule: Rule) -> Column:
-    pieces = _pieces(text, F.lit(rule.pattern))
+    pieces = match_pieces(text, F.lit(rule.pattern))
     if not rule.needs:
         return pieces
     possible = F.contains(lowered, F.lit(rule.needs[0]))
@@ -184,7 +184,7 @@ def _guarded_pieces(text: Column, lowered: Column, rule: Rule) -> Column:
     return F.when(possible, pieces).otherwise(F.array())
 
 
-def _sum(numbers: Column) -> Column:
+def span_sum(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0), lambda a, n: a + n)
 
 
@@ -197,7 +197,7 @@ def _walk(pieces: Column, placeholder: Column, score: Column) -> Column:
     def found(sizes: Column, totals: Column) -> Column:
         def span(i: Column) -> Column:
             block = F.floor(i / BLOCK).cast("int")
-            start = F.get(totals, block) + _sum(F.slice(sizes, block * BLOCK + 1, i - block * BLOCK))
+            start = F.get(totals, block) + span_sum(F.slice(sizes, block * BLOCK + 1, i - block * BLOCK))
             return F.struct(
                 start.alias("start"),
                 (start + F.get(sizes, i)).alias("end"),
@@ -210,8 +210,8 @@ def _walk(pieces: Column, placeholder: Column, score: Column) -> Column:
 
     def by_blocks(sizes: Column) -> Column:
         blocks = F.sequence(F.lit(0), F.floor(F.size(sizes) / BLOCK).cast("int"))
-        sums = F.transform(blocks, lambda b: _sum(F.slice(sizes, b * BLOCK + 1, F.lit(BLOCK))))
-        totals = let(sums, lambda s: F.transform(s, lambda _, b: _sum(F.slice(s, F.lit(1), b))))
+        sums = F.transform(blocks, lambda b: span_sum(F.slice(sizes, b * BLOCK + 1, F.lit(BLOCK))))
+        totals = let(sums, lambda s: F.transform(s, lambda _, b: span_sum(F.slice(s, F.lit(1), b))))
         return let(totals, lambda t: found(sizes, t))
 
     spans = let(F.transform(pieces, lambda p: F.length(p)), by_blocks)
@@ -221,7 +221,7 @@ def _walk(pieces: Column, placeholder: Column, score: Column) -> Column:
 def match_spans(text: Column, pattern: Column, placeholder: Column) -> Column:
     """All matches of a pattern, which may differ by row, as spans of one placeholder."""
     none = F.lit(None).cast("double")
-    return let(_pieces(text, pattern), lambda pieces: _walk(pieces, placeholder, none))
+    return let(match_pieces(text, pattern), lambda pieces: _walk(pieces, placeholder, none))
 
 
 def rule_spans(text: Column, rules: list[Rule]) -> Column:

@@ -253,3 +253,19 @@ def test_filters_do_not_recompute_text(spark):
     plan = df.filter("x <> 'a'")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("md5(") == 1
     assert df.count() == 3
+
+
+def test_gazetteer_broadcasts_a_bitmap_only(spark, tmp_path):
+    """Spark takes the phrases of a compressed file for small; only the bitmap's rows may be broadcast."""
+    path = str(tmp_path / "phrases")
+    phrases = F.concat(F.lit("Customer#"), F.col("id")).alias("phrase")
+    spark.range(3000).select(phrases, F.lit("PERSON").alias("entity")).write.parquet(path)
+    df = spark.createDataFrame([(1, "ask Customer#12 or Customer#2999, not Customer#3000")], "row_seq long, text_clean string")
+    known = spark.read.parquet(path)
+    plan = gazetteer.gazetteer_spans(df, known)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert joins and all("_row" in line for line in joins), joins
+    folder = str(tmp_path / "words")
+    for options in ({}, {"folder": folder}):
+        (row,) = gazetteer.gazetteer_spans(df, known, **options).collect()
+        assert [(s["start"], s["value"]) for s in row["gazetteer_spans"]] == [(4, "Customer#12"), (19, "Customer#2999")]
