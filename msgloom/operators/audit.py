@@ -124,7 +124,9 @@ def placeholder_by_label(
         .agg(F.count("*").alias("n"))
     )
     counts = computed_once(counts, {"placeholder": F.col("placeholder")})
-    support = counts.filter("placeholder is null").select(
+    # The test on n keeps the count where a caller drops the support, so that both sides of the
+    # join have the same columns and share one shuffle; else the texts are prepared twice.
+    support = counts.filter("placeholder is null and n > 0").select(
         F.col("label").alias("_label"), F.col("n").alias("support")
     )
     found = counts.filter("placeholder is not null")

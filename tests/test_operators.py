@@ -416,3 +416,13 @@ def test_train_picks_by_macro_f1(spark):
     model = scoring.train(df, candidates)
     out = scoring.predict(model, df)
     assert out.filter("pred_id <> encoded_label").count() == 0
+
+
+def test_top_placeholders_count_the_texts_once(spark):
+    """The support isn't selected, but both sides of its join still share one shuffle."""
+    rows = [("a [X_1] [Y]", "p"), ("[Y]", "p"), ("none", "q"), ("[Y=1]", None)]
+    df = spark.createDataFrame(rows, "text_model string, label string")
+    top = audit.top_placeholders(audit.placeholder_by_label(df), 1)
+    assert {tuple(r) for r in top.collect()} == {("p", "Y", 2, 1), (None, "Y=1", 1, 1)}
+    plan = top._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan and plan.count("Generate explode") == 1
