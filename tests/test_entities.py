@@ -269,3 +269,35 @@ def test_gazetteer_broadcasts_a_bitmap_only(spark, tmp_path):
     for options in ({}, {"folder": folder}):
         (row,) = gazetteer.gazetteer_spans(df, known, **options).collect()
         assert [(s["start"], s["value"]) for s in row["gazetteer_spans"]] == [(4, "Customer#12"), (19, "Customer#2999")]
+
+
+def test_guards_lose_no_match():
+    """Every rule has a cheap test before its pattern, and each match passes it."""
+    assert all(r.needs or r.hint for r in E.RULES)
+    texts = [
+        *EXAMPLES,
+        "card 4111-1111 11111111, 4111111111111111 or 4111 1111 1111 1111",
+        "GB82 WEST 1234 5698 7654 32 and GB82WEST12345698765432 licence D1234567",
+        "bc1qar0srrr7xfkvy5l643lydnw9re59gtzzwf5mdq 10.20.30.40 078-05-1120 1.2.3.4",
+        "a@b.com.x@y.zz me.you+x@mail.example.org (555)201-1234 555 201-1234 +1 (555) 201 1234",
+        "order ORD-1, INV 22, bill #3, Billno: B-9 gold account, 5 march 2024, May 5, 1/2/2023 1999 2010",
+        "an ago 3 days ago usd 1,500.25 12 pounds $ 9 12345678 99999999999999999 shop.example.io/x",
+    ]
+    seen = set()
+    for i, rule in enumerate(E.RULES):
+        for match in (m[0] for text in texts for m in re.finditer(rule.pattern, text)):
+            seen.add(i)
+            assert not rule.hint or re.search(rule.hint, match), (rule, match)
+            assert not rule.digit or re.search("[0-9]", match), (rule, match)
+            assert not rule.needs or any(n in match.lower() for n in rule.needs), (rule, match)
+    assert seen >= {i for i, r in enumerate(E.RULES) if r.hint}
+
+
+def test_walk_and_merge_by_number_of_matches(spark):
+    """None, one, a block's worth and more matches take different ways and agree."""
+    counts = [0, 1, 2, E.BLOCK - 1, E.BLOCK, E.BLOCK + 1, 3 * E.BLOCK]
+    df = spark.createDataFrame([(n, "x " * 3 + "2023 ab " * n) for n in counts], "n int, text_clean string")
+    for r in E.with_spans(df).withColumn("kept", E.merge_spans(F.col("spans"))).collect():
+        wanted = [(6 + 8 * i, 10 + 8 * i) for i in range(r["n"])]
+        assert [(s["start"], s["end"]) for s in r["spans"]] == wanted
+        assert [(s["start"], s["end"]) for s in r["kept"]] == wanted

@@ -96,3 +96,13 @@ def test_placeholder_functions(spark):
     assert values(spark, P.drop_label_words, ["a Request_Invoice b", "queries_related_to_payment/fee"]) == ["a   b", " "]
     assert values(spark, P.remove_placeholders, ["x [invoice_present][ID_PRESENT] [PHONE_PRESENT]", None]) == ["x  [PHONE_PRESENT]", ""]
     assert values(spark, lambda c: P.has_placeholder(c, "INVOICE_PRESENT"), ["[INVOICE_PRESENT]", "[invoice_present]", None]) == [True, False, False]
+
+
+def test_clean_text_takes_runs_of_blanks_and_wide_characters_together(spark):
+    texts = {
+        "aéé 中\tb": "a b", "é": "", " x ": "x", "a\x1cb": "a b", "a\x7fb\x00c": "a\x7fb\x00c",
+        "a\U0001f600\U0001f600b": "a b", "a b  c\n": "a b c", "café au lait": "caf au lait", "one two": "one two",
+        "see http://x.org/éé now then": "see now then",
+    }
+    df = spark.createDataFrame([(k, v) for k, v in texts.items()], "t string, wanted string")
+    assert [r for r in df.select("t", "wanted", T.clean_text(F.col("t")).alias("got")).collect() if r["got"] != r["wanted"]] == []
