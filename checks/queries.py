@@ -727,20 +727,19 @@ def loss_table(spark, sf_dir):
     return df.select(r6("cross_entropy").alias("cross_entropy"), r6("focal_loss").alias("focal_loss"), "n")
 
 
-def _scored(df: DataFrame, text: Column) -> DataFrame:
-    labels = C.INTENT_LABELS
-    score = scoring.column_scorer(X.word_logits(labels), "scored_text")
-    ids = F.array_position(F.array(*map(F.lit, labels)), F.col("label")) - 1
-    scored = score(df.withColumn("scored_text", text))
-    return scored.select("row_seq", ids.cast("int").alias("true_id"), "pred_id", "confidence")
-
-
 @query
 def ablation_delta(spark, sf_dir):
+    """Both texts of a row are scored in one pass, and the small rows of scores are kept for the two sides."""
     rows = modelled(spark, sf_dir).select("row_seq", "label", "text_model")
-    before = _scored(rows, F.col("text_model"))
-    after = _scored(rows, P.ablated_text(F.col("text_model")))
-    df = metrics.score_delta(before, after)
+    whole = F.struct(F.lit(False).alias("ablated"), F.col("text_model").alias("scored_text"))
+    cut = F.struct(F.lit(True).alias("ablated"), P.ablated_text(F.col("text_model")).alias("scored_text"))
+    score = scoring.column_scorer(X.word_logits(C.INTENT_LABELS), "scored_text")
+    scored = score(rows.select("row_seq", "label", F.inline(F.array(whole, cut))))
+    ids = F.array_position(F.array(*map(F.lit, C.INTENT_LABELS)), F.col("label")) - 1
+    folder = workspace.new_folder(spark, "ablation")
+    scored.select("row_seq", "ablated", ids.cast("int").alias("true_id"), "pred_id", "confidence").write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    df = metrics.score_delta(stored.filter("not ablated"), stored.filter("ablated"))
     return df.select(
         "label", "support", *[r6(c).alias(c) for c in ("f1_before", "f1_after", "f1_change")]
     )

@@ -40,3 +40,9 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).columns == ["day", "intent", "precision", "recall"]
+
+
+def test_ablation_does_the_text_work_once(spark):
+    """The two scorings are read from stored scores; no side cleans or scores texts again."""
+    plan = queries.ablation_delta(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan and "md5" not in plan
