@@ -6,6 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from checks.examples import EXAMPLES
+from msgloom.functions.vectors import let
 from msgloom.operators import entities as E
 from msgloom.operators import features, gazetteer, hooks
 from msgloom.operators.bounded import computed_once
@@ -301,3 +302,29 @@ def test_walk_and_merge_by_number_of_matches(spark):
         wanted = [(6 + 8 * i, 10 + 8 * i) for i in range(r["n"])]
         assert [(s["start"], s["end"]) for s in r["spans"]] == wanted
         assert [(s["start"], s["end"]) for s in r["kept"]] == wanted
+
+
+def test_cheap_tests_read_whole_words_and_runs(spark):
+    """Words inside other words open no rule, every match's digits are in a run, and a run may be long."""
+    text = F.col("text_clean")
+    long = "1 2 3 4 " * 100_000
+    texts = ["preorder inward ordinal, billboard accounts", "Order ORD-12, bill. In MAY", long]
+    df = spark.createDataFrame([(t,) for t in texts], "text_clean string")
+    known, runs = E._known_words(F.lower(text), E.RULES), E._number_runs(text)
+    got = {r[0]: r for r in df.select("text_clean", known, runs).collect()}
+    assert [got[t][1].split() for t in texts] == [[], ["order", "ord", "bill", "may"], []]
+    assert [got[t][2] for t in texts] == ["", "12", long.strip()]
+    matches = ["10.20.30.40", "078-05-1120", "4111 1111-11111111", "(555) 201-1234", "123456789", "1/2/2023", "1999"]
+    df = spark.createDataFrame([(m,) for m in matches], "text_clean string")
+    found = df.select("text_clean", runs, *[runs.rlike(r.hint) for r in E.RULES if r.runs]).collect()
+    ruled = [r for r in E.RULES if r.runs]
+    assert all(found[i][2 + k] for i, m in enumerate(matches) for k, r in enumerate(ruled) if re.search(r.pattern, m))
+
+
+def test_let_takes_no_element_by_index(spark):
+    """An element taken by its index works out the type of the whole body for every row."""
+    df = spark.createDataFrame([(1,), (None,)], "x int")
+    shown = df.select(let(F.col("x") + 1, lambda y: F.struct(y.alias("a"), F.array(y).alias("b"))).alias("z"))
+    assert "array_max" in shown._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r["z"]) for r in shown.collect()] == [(2, [2]), (None, [None])]
+    assert [r[0] for r in df.select(let(F.col("x"), lambda y: y)).collect()] == [1, None]
