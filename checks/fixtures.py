@@ -66,12 +66,13 @@ def template(n: Column, price: Column, customer: Column, key: Column) -> Column:
     return text
 
 
-def messages_raw(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+def messages_raw(spark: SparkSession, sf_dir: str, stream: bool = False, spread: bool = True) -> DataFrame:
     """FX1 (row_seq, ts, text, label): one message for each document and each order.
 
     A document's message is its whole text, in most cases after a short sentence that
     depends on the text only, so equal texts stay equal. Order messages are short and often
-    alike. Labels are uneven and four of the fourteen don't occur.
+    alike. Labels are uneven and four of the fourteen don't occur. Without `spread` rows stay
+    where they were read, for work that shuffles them anyway.
     """
     from_doc, from_order, label = _message_columns(spark)
     docs = computed_once(table(spark, sf_dir, "documents", stream), {"n": H(F.col("text"))})
@@ -83,7 +84,7 @@ def messages_raw(spark: SparkSession, sf_dir: str, stream: bool = False) -> Data
     )
     messages = computed_once(both, {"text": F.col("text"), "label": label})
     parts = 2 * spark.sparkContext.defaultParallelism
-    return messages if stream else readers.spread(messages, "row_seq", parts)
+    return messages if stream or not spread else readers.spread(messages, "row_seq", parts)
 
 
 @lru_cache(maxsize=4)
@@ -101,7 +102,7 @@ def _message_columns(session: SparkSession) -> tuple[Column, Column, Column]:
 
 def upsert_rows(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Cleaned-like rows to load: (row_seq, text_raw, text, label)."""
-    return messages_raw(spark, sf_dir, stream).select(
+    return messages_raw(spark, sf_dir, stream, spread=False).select(
         "row_seq", F.col("text").alias("text_raw"), F.lower("text").alias("text"), "label"
     )
 
@@ -128,7 +129,9 @@ def upsert_target(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     state = rated.unionByName(finished)
-    rows = first_per_key(upsert_rows(spark, sf_dir).join(state, "row_seq"), ["text_raw"])
+    messages = messages_raw(spark, sf_dir, spread=False).select("row_seq", F.col("text").alias("text_raw"), "label")
+    # The lower-cased text is made after the shuffle, which needn't carry it.
+    rows = first_per_key(messages.join(state, "row_seq"), ["text_raw"]).withColumn("text", F.lower("text_raw"))
     label = F.when(F.col("relabel"), "complaint").otherwise(F.col("label"))
     ids = F.array(
         F.col("row_seq") + 1, F.when(F.col("copied"), -(F.col("row_seq") + 1))

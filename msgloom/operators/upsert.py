@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from msgloom.functions import text as T
-from msgloom.operators.dedup import first_per_key, newest_per_hash
+from msgloom.operators.dedup import first_per_key, newest_known
 from msgloom.operators.ranking import with_rank
 
 PAYLOAD = ["text", "label"]
@@ -77,9 +77,9 @@ def upsert(
     match get new ids in the order of row_seq; of several rows with one hash only the one
     with the highest id stays. `staging` must be unique by hash, as `stage` leaves it.
 
-    Consecutive ids need the unmatched rows found and numbered apart. dense_ids=False
-    takes the next id plus row_seq instead: unique and in order, with gaps, and the whole
-    load is one join.
+    Consecutive ids need the unmatched rows found and numbered apart, by hash and order alone.
+    dense_ids=False takes the next id plus row_seq instead: unique and in order, with gaps, and
+    the whole load is one join.
 
     `top_id` is the highest id in use, where `target` is only the part of the table whose
     hashes occur in the staging rows. `action` tells what became of a row: kept, updated or
@@ -87,16 +87,27 @@ def upsert(
     """
     now = F.current_timestamp() if now is None else now
     target = backfill_hash(target)
-    t, s = newest_per_hash(target).alias("t"), staging.alias("s")
+    # Target rows without a hash stay out of the join: beside them the others would lose the
+    # partitioning by hash, and be shuffled again.
+    t, s = newest_known(target).alias("t"), staging.alias("s")
     # The highest id is one number, read once, however many rows use it.
     if top_id is None:
         top_id = target.agg(F.max("id")).scalar()
     top_id = F.coalesce(top_id, F.lit(0).cast("bigint"))
     same_hash = F.col("t.md5_hash") == F.col("s.md5_hash")
-    staged, known = F.col("s.md5_hash").isNotNull(), F.col("t.id").isNotNull()
+    staged, known = F.col("s.row_seq").isNotNull(), F.col("t.id").isNotNull()
     changed = staged & known & _changed("t", "s")
-    merged = t.join(s, same_hash, "left" if dense_ids else "full_outer").select(
-        F.coalesce("t.id", top_id + 1 + F.col("s.row_seq")).alias("id"),
+    new_id = top_id + 1 + F.col("s.row_seq")
+    if dense_ids:
+        # Ids are given to hashes and order alone, and join the staged rows in the shuffle by hash
+        # that the load needs anyway. Only one staged row may have no hash; it takes part in no join.
+        new = unmatched(target, staging.select("md5_hash", "row_seq"))
+        new = assign_ids(new, top_id, bounds=range_bounds(staging)).select("md5_hash", F.col("id").alias("_new"))
+        lone = new.filter("md5_hash is null").agg(F.max("_new")).scalar()
+        s = staging.join(new, "md5_hash", "left").alias("s")
+        new_id = F.when(F.col("s.md5_hash").isNull(), lone).otherwise(F.col("s._new"))
+    merged = t.join(s, same_hash, "full_outer").select(
+        F.coalesce("t.id", new_id).alias("id"),
         F.coalesce("t.text_raw", "s.text_raw").alias("text_raw"),
         *[F.when(staged, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in PAYLOAD],
         F.coalesce("t.md5_hash", "s.md5_hash").alias("md5_hash"),
@@ -104,18 +115,8 @@ def upsert(
         F.when(changed, now).otherwise(F.col("t.updated_at")).alias("updated_at"),
         F.when(~known, "inserted").when(changed, "updated").otherwise("kept").alias("action"),
     )
-    if not dense_ids:
-        return merged
-    new = assign_ids(unmatched(target, staging), top_id, bounds=range_bounds(staging)).select(
-        "id",
-        "text_raw",
-        *PAYLOAD,
-        "md5_hash",
-        now.alias("created_at"),
-        F.lit(None).cast("timestamp").alias("updated_at"),
-        F.lit("inserted").alias("action"),
-    )
-    return merged.unionByName(new)
+    unhashed = target.filter("md5_hash is null").withColumn("action", F.lit("kept"))
+    return merged.unionByName(unhashed.select(*merged.columns))
 
 
 def upsert_summary(target: DataFrame, staging: DataFrame) -> DataFrame:
@@ -124,15 +125,18 @@ def upsert_summary(target: DataFrame, staging: DataFrame) -> DataFrame:
     Every target row that differs counts as updated, older copies too, because the update
     comes before their removal.
     """
+    # Texts are compared by md5, so that none travels.
+    digests = [F.md5("text").alias("text"), "label"]
     copies = (
         backfill_hash(target)
         .filter("md5_hash is not null")
+        .select("md5_hash", *digests)
         .groupBy("md5_hash", *PAYLOAD)
         .agg(F.count("*").alias("n"))
     )
     per_hash = (
         copies.alias("t")
-        .join(staging.alias("s"), F.col("t.md5_hash") == F.col("s.md5_hash"), "full_outer")
+        .join(staging.select("md5_hash", *digests).alias("s"), F.col("t.md5_hash") == F.col("s.md5_hash"), "full_outer")
         .select(
             F.coalesce("t.md5_hash", "s.md5_hash").alias("md5_hash"),
             F.coalesce("t.n", F.lit(0)).alias("n"),

@@ -426,3 +426,34 @@ def test_top_placeholders_count_the_texts_once(spark):
     assert {tuple(r) for r in top.collect()} == {("p", "Y", 2, 1), (None, "Y=1", 1, 1)}
     plan = top._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in plan and plan.count("Generate explode") == 1
+
+
+def test_load_moves_texts_once(spark, tmp_path):
+    """New ids and the dry run shuffle hashes, not texts; a staged row without a hash is kept."""
+    spark.createDataFrame(
+        [(1, "a", "a", "x", None), (4, "b", "b", "y", None), (7, "b", "b", "z", "")],
+        "id long, text_raw string, text string, label string, md5_hash string",
+    ).withColumns({c: F.lit(None).cast("timestamp") for c in ("created_at", "updated_at")}).write.parquet(f"{tmp_path}/t")
+    rows = [(9, "c", "c", "x"), (3, "d", None, "x"), (5, None, "e", "x"), (6, "b", "b", "z"), (8, "a", "A", "x")]
+    staged = upsert.stage(spark.createDataFrame(rows, "row_seq long, text_raw string, text string, label string"))
+    staged.write.parquet(f"{tmp_path}/s")
+    target, staging = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s")
+    loaded, counts = upsert.upsert(target, staging), upsert.upsert_summary(target, staging)
+    got = {r["id"]: (r["text_raw"], r["text"], r["label"], r["action"]) for r in loaded.collect()}
+    assert got == {
+        1: ("a", "A", "x", "updated"), 7: ("b", "b", "z", "kept"),
+        8: ("d", None, "x", "inserted"), 9: (None, "e", "x", "inserted"), 10: ("c", "c", "x", "inserted"),
+    }
+    assert counts.first()[:] == (2, 3, 1)
+
+    def moved(df):
+        def walk(node):
+            inner = [node.children().apply(i) for i in range(node.children().size())]
+            wide = [c.name() for c in (node.output().apply(i) for i in range(node.output().size()))]
+            return ([wide] if "Exchange" in node.nodeName() else []) + [w for c in inner for w in walk(c)]
+
+        plan = df._jdf.queryExecution().executedPlan()
+        shuffles = walk(plan.initialPlan() if "Adaptive" in plan.nodeName() else plan)
+        return [w for w in shuffles if "text_raw" in w]
+
+    assert len(moved(loaded)) == 2, moved(loaded)  # target and staging, once each
