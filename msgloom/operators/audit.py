@@ -48,7 +48,9 @@ def _raw_pairs(df: DataFrame, raw_col: str, order_by: str) -> DataFrame:
     pairs = df.groupBy("text_model", F.col(raw_col).alias("text_raw")).agg(
         F.min(order_by).alias("first_seq")
     )
-    return computed_once(pairs, {"text_model": F.col("text_model")})
+    # The salt of a join is made of the raw text, and a filter inferred for it must stay above the
+    # grouping as well, or the two sides of the join share no shuffle and the texts are prepared twice.
+    return computed_once(pairs, {c: F.col(c) for c in ("text_model", "text_raw")})
 
 
 def collision_rows(

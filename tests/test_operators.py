@@ -457,3 +457,13 @@ def test_load_moves_texts_once(spark, tmp_path):
         return [w for w in shuffles if "text_raw" in w]
 
     assert len(moved(loaded)) == 2, moved(loaded)  # target and staging, once each
+
+
+def test_collision_rows_prepare_texts_once(spark):
+    """Both sides of the salted join read one shuffle of the grouped pairs."""
+    rows = [(1, "a", "A "), (2, "a", "a"), (3, "b", "b"), (4, "a", "a")]
+    df = spark.createDataFrame(rows, "row_seq long, text_model string, text_raw string").repartition(2, "row_seq")
+    found = audit.collision_rows(df)
+    assert sorted(tuple(r) for r in found.collect()) == [("a", 2, "A "), ("a", 2, "a")]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan, plan
