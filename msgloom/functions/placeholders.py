@@ -37,10 +37,8 @@ def mask_leftover_ids(c: Column) -> Column:
 
 
 def drop_label_words(c: Column) -> Column:
-    possible = let(
-        F.lower(c),
-        lambda low: F.contains(low, F.lit("request_")) | F.contains(low, F.lit("queries_related_")),
-    )
+    low = F.lower(c)
+    possible = F.contains(low, F.lit("request_")) | F.contains(low, F.lit("queries_related_"))
     cut = F.regexp_replace(c, C.LABEL_WORD_PATTERN, " ")
     return F.when(F.contains(c, F.lit("_")) & possible, cut).otherwise(c)
 

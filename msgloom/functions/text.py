@@ -17,33 +17,32 @@ _BLANKS = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f"
 def strip(c: Column) -> Column:
     """Drop white space of any kind at both ends."""
 
-    def cut(t: Column) -> Column:
-        ends = F.concat(F.substring(t, 1, 1), F.substring(t, -1, 1))
-        return F.when(ends.rlike(f"[{WS}]"), F.regexp_replace(t, rf"^[{WS}]+|[{WS}]+\z", "")).otherwise(t)
+    ends = F.concat(F.substring(c, 1, 1), F.substring(c, -1, 1))
+    return F.when(ends.rlike(f"[{WS}]"), F.regexp_replace(c, rf"^[{WS}]+|[{WS}]+\z", "")).otherwise(c)
 
-    return let(c, cut)
 
-
-def _one_space(c: Column, blank: str, lone: str) -> Column:
+def _one_space(t: Column, blank: str, lone: str) -> Column:
     """Runs of `blank` characters to one space, none at the ends; `lone` is `blank` without the space.
 
     Single spaces, by far the most frequent, needn't be replaced, and a text with nothing
     else skips the replacement.
     """
-    return let(
-        c,
-        lambda t: F.trim(
-            F.when(
-                F.contains(t, F.lit("  ")) | t.rlike(lone),
-                F.regexp_replace(t, rf"{blank}(?:{blank}+|(?<! ))", " "),
-            ).otherwise(t)
-        ),
+    return F.trim(
+        F.when(
+            F.contains(t, F.lit("  ")) | t.rlike(lone),
+            F.regexp_replace(t, rf"{blank}(?:{blank}+|(?<! ))", " "),
+        ).otherwise(t)
     )
 
 
+def one_space(c: Column) -> Column:
+    """collapse of a column that is there already, as it's read several times."""
+    return _one_space(c, f"[{_BLANKS} ]", f"[{_BLANKS}]")
+
+
 def collapse(c: Column) -> Column:
     """Runs of ASCII white space to one space, none at the ends."""
-    return _one_space(c, f"[{_BLANKS} ]", f"[{_BLANKS}]")
+    return let(c, one_space)
 
 
 def clean_text(c: Column) -> Column:
@@ -58,7 +57,7 @@ def clean_text(c: Column) -> Column:
     wide = r"\x80-\x{10ffff}"
     return let(
         whole,
-        lambda t: F.when(F.octet_length(t) == F.length(t), collapse(t)).otherwise(
+        lambda t: F.when(F.octet_length(t) == F.length(t), one_space(t)).otherwise(
             _one_space(t, rf"[{ASCII_WS}{wide}]", rf"[\t-\r\x1c-\x1f{wide}]")
         ),
     )

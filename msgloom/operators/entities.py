@@ -244,8 +244,14 @@ def _number_runs(text: Column) -> Column:
     return F.array_join(F.regexp_extract_all(text, F.lit(run), F.lit(0)), "|")
 
 
-def _guarded_pieces(text: Column, lowered: Column, words: Column, runs: Column, rule: Rule) -> Column:
-    pieces = match_pieces(text, F.lit(rule.pattern))
+def _candidate(text: Column, lowered: Column, words: Column, runs: Column, rule: Rule) -> Column:
+    """(ph, score, pieces) of one rule; null in a text that can't hold a match."""
+    placeholder = C.ENTITY_PLACEHOLDERS.get(rule.entity, f"[{rule.entity}]")
+    found = F.struct(
+        F.lit(placeholder).alias("ph"),
+        F.lit(rule.score).cast("double").alias("score"),
+        match_pieces(text, F.lit(rule.pattern)).alias("pieces"),
+    )
     possible = [runs != ""] if rule.digit else []
     if rule.whole:
         possible += [reduce(or_, [F.contains(words, F.lit(f" {w} ")) for w in rule.needs])]
@@ -255,7 +261,7 @@ def _guarded_pieces(text: Column, lowered: Column, words: Column, runs: Column,
         # A literal that holds another one of the list adds nothing.
         needs = [n for n in rule.needs if not any(m != n and m in n for m in rule.needs)]
         possible += [reduce(or_, [F.contains(lowered, F.lit(n)) for n in needs])]
-    return F.when(reduce(and_, possible), pieces).otherwise(F.array()) if possible else pieces
+    return F.when(reduce(and_, possible), found) if possible else found
 
 
 def span_sum(numbers: Column) -> Column:
@@ -311,28 +317,11 @@ def match_spans(text: Column, pattern: Column, placeholder: Column) -> Column:
     return let(match_pieces(text, pattern), lambda pieces: _walk(pieces, placeholder, none))
 
 
-def rule_spans(text: Column, rules: list[Rule]) -> Column:
-    """Spans of all rules in ASCII text: 0-based start, exclusive end, in rule order."""
-    if not rules:
-        return F.array().cast(SPANS)
-    placeholders = [C.ENTITY_PLACEHOLDERS.get(r.entity, f"[{r.entity}]") for r in rules]
-    placeholder_of = F.array(*map(F.lit, placeholders))
-    score_of = F.array(*[F.lit(r.score).cast("double") for r in rules])
-
-    def pieces(low: Column) -> Column:
-        return let(
-            _known_words(low, rules),
-            lambda words: let(
-                _number_runs(text),
-                lambda runs: F.array(*[_guarded_pieces(text, low, words, runs, r) for r in rules]),
-            ),
-        )
-
-    cut = let(F.lower(text), pieces)
-    found = F.flatten(
-        F.transform(cut, lambda p, i: _walk(p, F.get(placeholder_of, i), F.get(score_of, i)))
-    )
-    checks = {p: CHECKS[r.check] for r, p in zip(rules, placeholders) if r.check}
+def _spans_of(cut: Column, rules: tuple[Rule, ...]) -> Column:
+    """Spans of all rules from their candidates: 0-based start, exclusive end, in rule order."""
+    hits = F.filter(cut, lambda c: F.size(c["pieces"]) > 2)
+    found = F.flatten(F.transform(hits, lambda c: _walk(c["pieces"], c["ph"], c["score"])))
+    checks = {C.ENTITY_PLACEHOLDERS.get(r.entity, f"[{r.entity}]"): CHECKS[r.check] for r in rules if r.check}
 
     def holds(span: Column) -> Column:
         ok = F.lit(True)
@@ -340,13 +329,27 @@ def rule_spans(text: Column, rules: list[Rule]) -> Column:
             ok = F.when(span["ph"] == placeholder, check(span["value"])).otherwise(ok)
         return ok
 
-    return F.filter(found, holds) if checks else found
+    spans = F.filter(found, holds) if checks else found
+    # The second look at the candidates also keeps them a column of their own.
+    return F.when(F.exists(cut, lambda c: c.isNotNull()), spans).otherwise(F.array().cast(SPANS))
 
 
 @lru_cache(maxsize=16)
-def rule_spans_of(session: SparkSession, text_col: str, rules: tuple[Rule, ...]) -> Column:
-    """rule_spans of a column by name; building it takes longer than planning it."""
-    return rule_spans(F.col(text_col), list(rules))
+def _span_steps(session: SparkSession, text_col: str, rules: tuple[Rule, ...]) -> dict[str, Column]:
+    """The columns from text to spans, each made from those before it; building them takes
+    longer than planning them.
+
+    As columns, the tests of the rules are compiled; inside a lambda they are interpreted,
+    which costs a short text more than all of its matches.
+    """
+    text, low, words, runs = F.col(text_col), F.col("_low"), F.col("_words"), F.col("_runs")
+    return {
+        "_low": F.lower(text),
+        "_words": _known_words(low, list(rules)),
+        "_runs": _number_runs(text),
+        "_cut": F.array(*[_candidate(text, low, words, runs, r) for r in rules]),
+        "_spans": _spans_of(F.col("_cut"), rules),
+    }
 
 
 def with_spans(
@@ -356,10 +359,14 @@ def with_spans(
     extra_spans: list[str] | None = None,
     output: str = "spans",
 ) -> DataFrame:
-    """Add all spans of all rules, then those of the `extra_spans` columns (same type)."""
-    spans = rule_spans_of(df.sparkSession, text_col, tuple(RULES if rules is None else rules))
+    """Add all spans of all rules in ASCII text, then those of the `extra_spans` columns (same type)."""
+    steps = {"_spans": F.array().cast(SPANS)}
+    if rules is None or rules:
+        steps = _span_steps(df.sparkSession, text_col, tuple(RULES if rules is None else rules))
+    work = reduce(lambda work, step: work.withColumn(*step), steps.items(), df)
     extra = [F.coalesce(F.col(c), F.array().cast(SPANS)).cast(SPANS) for c in extra_spans or []]
-    return df.withColumn(output, F.concat(spans, *extra) if extra else spans)
+    spans = F.concat(F.col("_spans"), *extra) if extra else F.col("_spans")
+    return work.withColumn(output, spans).drop(*steps)
 
 
 def _ordered(spans: Column) -> Column:
@@ -403,7 +410,12 @@ def merge_spans(spans: Column) -> Column:
         few = F.aggregate(ordered, state(F.lit(-1), none), step, lambda acc: acc["kept"])
         return F.when(F.size(ordered) <= BLOCK, few).otherwise(many)
 
-    return let(_ordered(spans), walk)
+    # Nothing can overlap a lone span.
+    lone = F.transform(
+        F.filter(spans, lambda s: (s["ph"] != C.STOP_PLACEHOLDER) & (s["start"] >= -1)),
+        lambda s: F.struct(s["start"], s["end"], s["ph"], s["value"]),
+    )
+    return F.when(F.size(spans) < 2, lone.cast(kept_type)).otherwise(let(_ordered(spans), walk))
 
 
 def placeholder_piece(ph: Column, raw_value: Column) -> Column:
@@ -431,7 +443,7 @@ def _policy(ph: Column, name: Column, value: Column) -> Column:
     )
 
 
-def rewritten_text(text: Column, kept: Column) -> Column:
+def rewritten_pieces(text: Column, kept: Column) -> Column:
     """Lower-cased gaps and the pieces of the kept spans, joined by single spaces."""
     parts = F.transform(
         kept,
@@ -446,7 +458,7 @@ def rewritten_text(text: Column, kept: Column) -> Column:
     last_end = F.coalesce(F.get(kept, F.size(kept) - 1)["end"], F.lit(0))
     tail = F.lower(F.trim(F.substr(text, last_end + 1)))
     pieces = F.filter(F.concat(F.flatten(parts), F.array(tail)), lambda p: p != "")
-    return F.lower(T.collapse(let(F.array_join(pieces, " "), mask_id_like)))
+    return F.array_join(pieces, " ")
 
 
 def span_mappings(kept: Column) -> Column:
@@ -466,13 +478,13 @@ def span_mappings(kept: Column) -> Column:
 
 
 @lru_cache(maxsize=4)
-def _derived_columns(session: SparkSession) -> dict[str, Column]:
-    """`text` and `mappings` from text_clean, spans and kept."""
+def _text_steps(session: SparkSession) -> dict[str, Column]:
+    """The columns to the rewritten text from text_clean, spans and kept, each from those before it."""
     # A text without any span, stop words included, is lower-cased and nothing more.
-    text = F.when(F.size("spans") == 0, F.lower("text_clean")).otherwise(
-        rewritten_text(F.col("text_clean"), F.col("kept"))
-    )
-    return {"text": text, "mappings": span_mappings(F.col("kept"))}
+    plain = F.size("spans") == 0
+    pieces = F.when(~plain, rewritten_pieces(F.col("text_clean"), F.col("kept")))
+    text = F.when(plain, F.lower("text_clean")).otherwise(F.lower(T.one_space(F.col("_masked"))))
+    return {"_pieces": pieces, "_masked": mask_id_like(F.col("_pieces")), "_text": text}
 
 
 def normalise_placeholders(
@@ -484,14 +496,19 @@ def normalise_placeholders(
 ) -> DataFrame:
     """Clean `text_col`, find entities, add `text` (rewritten) and `mappings` (slots).
 
-    Positions in `extra_spans` columns refer to the cleaned text.
+    Positions in `extra_spans` columns refer to the cleaned text. The slots are made from the
+    kept spans, so that a reader without them doesn't pay for them.
     """
     work = df.withColumn("text_clean", T.clean_text(F.col(text_col)))
     work = with_spans(work, "text_clean", rules, extra_spans)
     work = work.withColumn("kept", merge_spans(F.col("spans")))
-    derived = _derived_columns(df.sparkSession)
-    dropped = [] if keep_spans else ["text_clean", "spans", "kept"]
-    return computed_once(work, derived, drop=dropped)
+    # Made below the generator, where they are compiled, and passed through it.
+    steps = _text_steps(df.sparkSession)
+    work = reduce(lambda work, step: work.withColumn(*step), steps.items(), work)
+    once = {"kept": F.col("kept"), "text": F.col("_text")}
+    dropped = [*steps] if keep_spans else [*steps, "text_clean", "spans"]
+    work = computed_once(work, once, drop=dropped).withColumn("mappings", span_mappings(F.col("kept")))
+    return work if keep_spans else work.drop("kept")
 
 
 def extract_slots(df: DataFrame, text_col: str = "text_raw", **options) -> DataFrame:

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from msgloom import constants as C
 from msgloom.functions import placeholders as P
 from msgloom.functions import text as T
-from msgloom.functions.vectors import let
 from msgloom.operators.bounded import bounded, computed_once, small
 from msgloom.operators.ranking import smallest_n
 
@@ -26,14 +25,22 @@ def drop_missing(df: DataFrame, columns: tuple[str, ...] = ("text", "label")) ->
     return df.na.drop(subset=list(columns))
 
 
-def placeholder_info(text: Column) -> Column:
-    """Flags and kept values of the placeholders in a text, as one struct."""
-    return let(P.extract_placeholders(F.coalesce(text, F.lit(""))), _info)
+def _names(found: Column) -> Column:
+    """The names of the placeholders between bars, which no name holds."""
+    return F.array_join(F.transform(found, lambda p: p["name"]), "|")
 
 
-def _info(found: Column) -> Column:
-    def any_name(test) -> Column:
-        return F.exists(found, lambda p: test(p["name"]))
+def placeholder_info(found: Column, names: Column) -> Column:
+    """Flags and kept values of the placeholders of a text (extract_placeholders, _names), as one struct.
+
+    The names joined say which tests can hold at all, so that most are not run.
+    """
+
+    def has(word: str) -> Column:
+        return F.contains(names, F.lit(word))
+
+    def invoice(p: Column) -> Column:
+        return p["name"].contains("INVOICE") & ~p["name"].contains("BILL")
 
     def starts(name: Column, prefixes: list[str]) -> Column:
         return reduce(or_, [F.startswith(name, F.lit(p)) for p in prefixes])
@@ -41,33 +48,37 @@ def _info(found: Column) -> Column:
     refund = ["REFUND_AMT_BIN", "REFUND_AMOUNT", "REFUND_AMT"]
     date = ["DATE_REL_BIN", "DATE_MONTH", "DATE_YEAR", "DATE_ISO"]
 
-    def last(test, value) -> Column:
-        """The last placeholder that passes the test and has a value."""
+    def last(words: list[str], test, value) -> Column:
+        """The last placeholder that passes the test, which needs one of the words, and has a value."""
         hits = F.filter(found, lambda p: test(p["name"]) & (p["value"] != ""))
-        return F.try_element_at(F.transform(hits, value), F.lit(-1))
+        possible = reduce(or_, [has(w) for w in words])
+        return F.when(possible, F.try_element_at(F.transform(hits, value), F.lit(-1)))
 
+    others = F.filter(
+        found, lambda p: ~((p["name"] == "ACCOUNT_TYPE") | starts(p["name"], refund + date))
+    )
     return F.struct(
-        any_name(lambda n: n.contains("ORDER")).alias("order_present"),
-        any_name(lambda n: n.contains("INVOICE") & ~n.contains("BILL")).alias("invoice_present"),
-        any_name(lambda n: n.contains("BILL")).alias("bill_present"),
-        any_name(lambda n: n.contains("PHONE")).alias("phone_present"),
-        any_name(lambda n: n.contains("EMAIL")).alias("email_present"),
-        any_name(lambda n: n.contains("PERSON")).alias("person_present"),
-        last(lambda n: n == "ACCOUNT_TYPE", lambda p: T.sanitize_token(p["value"])).alias("account_type"),
+        has("ORDER").alias("order_present"),
+        (has("INVOICE") & F.exists(found, invoice)).alias("invoice_present"),
+        has("BILL").alias("bill_present"),
+        has("PHONE").alias("phone_present"),
+        has("EMAIL").alias("email_present"),
+        has("PERSON").alias("person_present"),
+        last(
+            ["ACCOUNT_TYPE"], lambda n: n == "ACCOUNT_TYPE", lambda p: T.sanitize_token(p["value"])
+        ).alias("account_type"),
         last(
-            lambda n: starts(n, refund), lambda p: F.regexp_replace(p["value"], r"\s+", "")
+            refund, lambda n: starts(n, refund), lambda p: F.regexp_replace(p["value"], r"\s+", "")
         ).alias("refund_amt_bin"),
         last(
-            lambda n: starts(n, date), lambda p: F.concat(p["name"], F.lit("="), p["value"])
+            date, lambda n: starts(n, date), lambda p: F.concat(p["name"], F.lit("="), p["value"])
         ).alias("date_bin"),
-        F.filter(
-            found, lambda p: ~((p["name"] == "ACCOUNT_TYPE") | starts(p["name"], refund + date))
-        ).alias("other_placeholders"),
+        others.alias("other_placeholders"),
     )
 
 
-def feature_tokens(info: Column) -> Column:
-    """Feature tokens in their fixed order."""
+def feature_tokens(info: Column) -> list[Column]:
+    """Feature tokens in their fixed order, null where a text has none."""
 
     def token(*parts: Column | str) -> Column:
         return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
@@ -84,35 +95,43 @@ def feature_tokens(info: Column) -> Column:
         F.when(info["date_bin"] != "", token("[", word(info["date_bin"]), "]")),
     ]
     tokens += [F.when(info[f], F.lit(f"[{f.upper()}]")) for f in FLAGS]
-    return F.array_compact(F.array(*tokens))
+    return tokens
 
 
-def model_text(text: Column, info: Column, keep_bins: bool = False) -> Column:
-    """Text without placeholders, followed by the feature tokens.
+def _model_steps(text: Column, keep_bins: bool) -> dict[str, Column]:
+    """The columns from text to `ph_info` and model text, each made from those before it.
 
-    By default any bracket token with a digit ends as [ID_PRESENT], bins included;
-    keep_bins leaves the refund and date bins as they are.
+    The model text is the text without placeholders, followed by the feature tokens. By default
+    any bracket token with a digit ends as [ID_PRESENT], bins included; keep_bins leaves the
+    refund and date bins as they are. As columns of their own the steps are compiled; inside a
+    lambda they are interpreted.
     """
-    body = F.lower(T.collapse(let(F.coalesce(text, F.lit("")), P.without_placeholders)))
-    tokens = F.array_join(feature_tokens(info), " ")
-    if keep_bins:
-        masked = F.concat_ws(" ", let(body, P.mask_leftover_ids), tokens)
-    else:
-        masked = let(F.concat_ws(" ", body, tokens), P.mask_leftover_ids)
-    return T.collapse(let(masked, P.drop_label_words))
+    body = F.lower(T.one_space(F.col("_bare")))
+    tokens = feature_tokens(F.col("ph_info"))
+    return {
+        "_found": P.extract_placeholders(F.coalesce(text, F.lit(""))),
+        "_names": _names(F.col("_found")),
+        "ph_info": placeholder_info(F.col("_found"), F.col("_names")),
+        "_bare": P.without_placeholders(F.coalesce(text, F.lit(""))),
+        "_open": body if keep_bins else F.concat_ws(" ", body, *tokens),
+        "_masked": P.mask_leftover_ids(F.col("_open")),
+        "_whole": F.concat_ws(" ", "_masked", *tokens) if keep_bins else F.col("_masked"),
+        "_cut": P.drop_label_words(F.col("_whole")),
+        "_text_model": T.one_space(F.col("_cut")),
+    }
 
 
 def with_model_text(df: DataFrame, text_col: str = "text", keep_bins: bool = False) -> DataFrame:
     """Add `ph_info` and `text_model`."""
-    info, text = _model_columns(df.sparkSession, text_col, keep_bins)
-    work = df.withColumn("ph_info", info)
-    return computed_once(work, {"ph_info": F.col("ph_info"), "text_model": text})
+    steps = _cached_steps(df.sparkSession, text_col, keep_bins)
+    work = reduce(lambda work, step: work.withColumn(*step), steps.items(), df)
+    once = {"ph_info": F.col("ph_info"), "text_model": F.col("_text_model")}
+    return computed_once(work, once, drop=[*steps])
 
 
 @lru_cache(maxsize=8)
-def _model_columns(session: SparkSession, text_col: str, keep_bins: bool) -> tuple[Column, Column]:
-    text = F.col(text_col)
-    return placeholder_info(text), model_text(text, F.col("ph_info"), keep_bins)
+def _cached_steps(session: SparkSession, text_col: str, keep_bins: bool) -> dict[str, Column]:
+    return _model_steps(F.col(text_col), keep_bins)
 
 
 def flatten_flags(df: DataFrame) -> DataFrame:

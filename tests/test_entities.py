@@ -10,6 +10,7 @@ from msgloom.functions.vectors import let
 from msgloom.operators import entities as E
 from msgloom.operators import features, gazetteer, hooks
 from msgloom.operators.bounded import computed_once
+from msgloom.plans import ingest, prepare
 from msgloom.schema import SPANS
 
 
@@ -328,3 +329,25 @@ def test_let_takes_no_element_by_index(spark):
     assert "array_max" in shown._jdf.queryExecution().optimizedPlan().toString()
     assert [tuple(r["z"]) for r in shown.collect()] == [(2, [2]), (None, [None])]
     assert [r[0] for r in df.select(let(F.col("x"), lambda y: y)).collect()] == [1, None]
+
+
+def test_text_work_is_compiled_and_slots_only_where_read(spark):
+    df = spark.createDataFrame([(1, "Order A12 costs $5, see june 2020", "x")], "row_seq long, text string, label string")
+    modelled = prepare.model_rows(ingest.clean_messages(df))
+    plan = modelled.select("text_model", "label")._jdf.queryExecution().optimizedPlan().toString()
+    # Generators and lambdas are interpreted: rewriting stands in neither, and no slots are made for nobody.
+    assert "map_from_entries" not in plan
+    generators = [line for line in plan.split("\n") if "Generate inline" in line]
+    assert len(generators) == 2 and not any("regexp_replace" in line for line in generators)
+    assert "map_from_entries" in modelled._jdf.queryExecution().optimizedPlan().toString()
+    row = modelled.first()
+    assert row["mappings"] == {"[ORDER_ID]": ["Order A12"], "[REFUND_AMOUNT]": ["$5"], "[DATE]": ["june 2020"]}
+    assert row["text_model"] == "costs , see [ID_PRESENT] [DATE_MONTH=june] [ORDER_PRESENT]"
+
+
+def test_a_lone_span_is_kept_unless_it_is_a_stop_word(spark):
+    kept = "array<struct<start:int,end:int,ph:string,value:string>>"
+    cases = {1: [], 2: [(3, 5, "[DATE]", "ab", 0.5)], 3: [(3, 5, "[STOP_ENTITY]", "ab", None)], 4: None, 5: [(-2, 1, "[DATE]", "a", None)]}
+    df = spark.createDataFrame(list(cases.items()), f"i int, spans {SPANS.simpleString()}")
+    merged = df.select("i", E.merge_spans(F.col("spans")).cast(kept).alias("m")).collect()
+    assert {r["i"]: r["m"] and [tuple(s) for s in r["m"]] for r in merged} == {1: [], 2: [(3, 5, "[DATE]", "ab")], 3: [], 4: None, 5: []}
