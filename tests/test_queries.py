@@ -46,3 +46,9 @@ def test_ablation_does_the_text_work_once(spark):
     """The two scorings are read from stored scores; no side cleans or scores texts again."""
     plan = queries.ablation_delta(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_replace" not in plan and "md5" not in plan
+
+
+@pytest.mark.parametrize("name", ["ablate_placeholders", "conflict_keys"])
+def test_queries_without_slots_make_none(spark, name):
+    plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_from_entries" not in plan
