@@ -78,7 +78,8 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     )
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("probe"))) <= max_bits
     once = (F.col("own") != F.col("key")) | (F.col("probe") < F.col("fp"))
-    found = table.join(probes, "key").filter(near & once & (F.col("fp") != F.col("probe")))
+    # Spark's estimate of either side doesn't know of the rows that explode makes, and would broadcast millions.
+    found = table.hint("merge").join(probes.hint("merge"), "key").filter(near & once & (F.col("fp") != F.col("probe")))
     pair = (F.least("fp", "probe").alias("a"), F.greatest("fp", "probe").alias("b"))
     return found.select(*pair).distinct()
 

@@ -108,6 +108,12 @@ def test_simhash_links_by_brute_force(spark):
     assert got == want and len(want) > 100
 
 
+def test_simhash_links_broadcast_no_exploded_rows(spark, tmp_path):
+    spark.range(50).selectExpr("xxhash64(id) AS fp").write.parquet(f"{tmp_path}/nodes")
+    plan = simhash.links(spark.read.parquet(f"{tmp_path}/nodes"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(-5, -4)]
     got = dict(rows_of(simhash.components(spark.createDataFrame(edges, "a long, b long"))))
