@@ -395,7 +395,8 @@ def table_load(spark, sf_dir):
     folder = workspace.new_folder(spark, "table-load")
     table = ingest.message_table(spark, f"{folder}/messages", digits=1)
     ingest.start_table(table, X.upsert_target(spark, sf_dir))
-    upsert.stage(X.upsert_rows(spark, sf_dir)).select(*ingest.STAGED).write.parquet(f"{folder}/staging")
+    staged = upsert.stage(X.upsert_rows(spark, sf_dir)).select(*ingest.STAGED)
+    staged.write.option("compression", ingest.CODEC).parquet(f"{folder}/staging")
     ingest.load_staged(table, spark.read.parquet(f"{folder}/staging"))
     return table.read().select("id", "md5_hash", "text", "label")
 

@@ -178,3 +178,12 @@ def preview(c: Column, length: int = 200) -> Column:
 def hash_number(c: Column) -> Column:
     """First 32 bits of the md5 as a number: a stable stand-in for a random draw."""
     return F.conv(F.substring(F.md5(c.cast("string")), 1, 8), 16, 10).cast("bigint")
+
+
+def hash_range(hash_col: Column, ranges: int) -> Column:
+    """The number below `ranges` of the range of hashes in hex that a hash is in; 0 for any other text.
+
+    Ranges are about equal and rise with the hash, so that one of them holds few prefixes.
+    """
+    start = F.conv(F.substring(hash_col, 1, 8), 16, 10).cast("long")
+    return F.coalesce(F.floor(start * ranges / (1 << 32)).cast("int"), F.lit(0))

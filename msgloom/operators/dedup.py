@@ -18,14 +18,15 @@ def first_per_key(df: DataFrame, keys: list[str], order_by: str = "row_seq") ->
     return _one_per_key(df, keys, [F.asc(order_by)])
 
 
-def newest_known(df: DataFrame, hash_col: str = "md5_hash", order_by: str = "id") -> DataFrame:
-    """The newest row of each hash, without the rows that have none."""
-    return _one_per_key(df.filter(F.col(hash_col).isNotNull()), [hash_col], [F.desc(order_by)])
+def newest_known(df: DataFrame, keys: list[str] | None = None, order_by: str = "id") -> DataFrame:
+    """The newest row of each hash, the last of `keys`, without the rows that have none."""
+    keys = keys or ["md5_hash"]
+    return _one_per_key(df.filter(F.col(keys[-1]).isNotNull()), keys, [F.desc(order_by)])
 
 
 def newest_per_hash(df: DataFrame, hash_col: str = "md5_hash", order_by: str = "id") -> DataFrame:
     """Drop older rows of the same hash; rows without a hash all stay."""
-    return newest_known(df, hash_col, order_by).unionByName(df.filter(F.col(hash_col).isNull()))
+    return newest_known(df, [hash_col], order_by).unionByName(df.filter(F.col(hash_col).isNull()))
 
 
 def duplicate_report(df: DataFrame, keys: list[str]) -> DataFrame:

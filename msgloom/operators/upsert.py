@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,6 +73,7 @@ def upsert(
     now: Column | None = None,
     dense_ids: bool = True,
     top_id: Column | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """The target after the load.
 
@@ -84,17 +88,29 @@ def upsert(
     `top_id` is the highest id in use, where `target` is only the part of the table whose
     hashes occur in the staging rows. `action` tells what became of a row: kept, updated or
     inserted.
+
+    With `ranges` the rows of each of so many ranges of hashes come out of one task, so that a writer
+    that splits them by hash prefix needn't shuffle the texts once more.
     """
     now = F.current_timestamp() if now is None else now
     target = backfill_hash(target)
     # Target rows without a hash stay out of the join: beside them the others would lose the
     # partitioning by hash, and be shuffled again.
-    t, s = newest_known(target).alias("t"), staging.alias("s")
+    keys = ["md5_hash"] if ranges is None else ["_range", "md5_hash"]
+
+    def dealt(df: DataFrame) -> DataFrame:
+        if ranges is None:
+            return df
+        # Each side is dealt out by the number of the range itself, which the joins on it then keep.
+        return df.withColumn("_range", T.hash_range(F.col("md5_hash"), ranges)).repartitionById(ranges, "_range")
+
+    t, staging_rows = newest_known(dealt(target.filter("md5_hash is not null")), keys), dealt(staging)
+    t, s = t.alias("t"), staging_rows.alias("s")
     # The highest id is one number, read once, however many rows use it.
     if top_id is None:
         top_id = target.agg(F.max("id")).scalar()
     top_id = F.coalesce(top_id, F.lit(0).cast("bigint"))
-    same_hash = F.col("t.md5_hash") == F.col("s.md5_hash")
+    same_hash = reduce(and_, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
     staged, known = F.col("s.row_seq").isNotNull(), F.col("t.id").isNotNull()
     changed = staged & known & _changed("t", "s")
     new_id = top_id + 1 + F.col("s.row_seq")
@@ -104,7 +120,7 @@ def upsert(
         new = unmatched(target, staging.select("md5_hash", "row_seq"))
         new = assign_ids(new, top_id, bounds=range_bounds(staging)).select("md5_hash", F.col("id").alias("_new"))
         lone = new.filter("md5_hash is null").agg(F.max("_new")).scalar()
-        s = staging.join(new, "md5_hash", "left").alias("s")
+        s = staging_rows.join(dealt(new), keys, "left").alias("s")
         new_id = F.when(F.col("s.md5_hash").isNull(), lone).otherwise(F.col("s._new"))
     merged = t.join(s, same_hash, "full_outer").select(
         F.coalesce("t.id", new_id).alias("id"),
@@ -126,7 +142,7 @@ def upsert_summary(target: DataFrame, staging: DataFrame) -> DataFrame:
     comes before their removal.
     """
     # Texts are compared by md5, so that none travels.
-    digests = [F.md5("text").alias("text"), "label"]
+    digests = [F.unhex(F.md5("text")).alias("text"), "label"]
     copies = (
         backfill_hash(target)
         .filter("md5_hash is not null")

@@ -9,8 +9,10 @@ from msgloom.functions import text as T
 from msgloom.operators import dedup, entities, features, upsert
 from msgloom.schema import MESSAGES
 from msgloom.sources import readers, workspace
-from msgloom.sources.versions import DIGITS, UNHASHED, Folder, VersionedTable, prefix_of
+from msgloom.sources.versions import CODEC, DIGITS, UNHASHED, Folder, VersionedTable, prefix_of
 
+#: Rows of a load for each of its tasks, at least.
+RANGE_ROWS = 10_000
 STAGED = ["row_seq", "text_raw", "text", "label", "md5_hash"]
 
 
@@ -66,8 +68,11 @@ def load_staged(
     if dry_run or not any(counts):
         return summary
     top_id = F.lit(table.top_id(version)).cast("bigint")
-    loaded = upsert.upsert(target, staging, now, top_id=top_id).select(*MESSAGES.fieldNames())
-    written = table.write_parts(loaded, version + 1)
+    rows = sum(part["n_rows"] for p in touched & set(known) for part in known[p]) + counts["n_inserted"]
+    # A small load makes few files, a large one has Spark's usual number of tasks.
+    ranges = max(1, min(rows // RANGE_ROWS, int(table.spark.conf.get("spark.sql.shuffle.partitions"))))
+    loaded = upsert.upsert(target, staging, now, top_id=top_id, ranges=ranges).select(*MESSAGES.fieldNames())
+    written = table.write_parts(loaded, version + 1, dealt=True)
     kept = [part for p, parts in known.items() if p not in touched for part in parts]
     table.commit(kept + written, version + 1)
     return summary
@@ -89,7 +94,7 @@ def load(
     readers.require_columns(cleaned, ["text", "label", "text_raw"])
     folder = workspace.new_folder(spark, "staging")
     try:
-        upsert.stage(cleaned).select(*STAGED).write.parquet(folder)
+        upsert.stage(cleaned).select(*STAGED).write.option("compression", CODEC).parquet(folder)
         return load_staged(message_table(spark, base, digits), spark.read.parquet(folder), dry_run=dry_run)
     finally:
         Folder(spark, folder).delete("")

@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 #: Hex digits of a prefix: 256 prefixes. One prefix should be a few GB at most, so larger tables take more.
 DIGITS = 2
 UNHASHED = "none"
+#: Folders are written once and read by all later loads, so they are packed tightly.
+CODEC = "zstd"
 
 #: seq is the version that wrote the folder; batch is the last micro-batch that the whole version holds.
 MANIFEST = "prefix string, path string, n_rows long, top_id long, seq long, batch long"
@@ -149,8 +151,11 @@ class VersionedTable:
 
     # --- Writing --------------------------------------------------------------------------
 
-    def write_parts(self, rows: DataFrame, version: int) -> list[dict]:
-        """Write rows below the folders of their prefixes and return the manifest rows; commits nothing."""
+    def write_parts(self, rows: DataFrame, version: int, dealt: bool = False) -> list[dict]:
+        """Write rows below the folders of their prefixes and return the manifest rows; commits nothing.
+
+        Rows that are dealt out by ranges of hashes already (dealt) are written where they are.
+        """
         load = uuid.uuid4().hex
         staged = f"{self.base}/loads/{load}"
         keyed = rows.select(
@@ -158,7 +163,8 @@ class VersionedTable:
             F.lit(version).cast("long").alias(SEQ),
             prefix_of(F.col(self.hash_col), self.digits).alias("prefix"),
         )
-        keyed.hint("rebalance", "prefix").write.partitionBy("prefix").parquet(staged)
+        keyed = keyed if dealt else keyed.hint("rebalance", "prefix")
+        keyed.write.option("compression", CODEC).partitionBy("prefix").parquet(staged)
         schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("prefix", T.StringType())])
         written = self.spark.read.schema(schema).parquet(staged)
         figures = written.groupBy("prefix").agg(F.count("*").alias("n_rows"), F.max("id").alias("top_id")).collect()

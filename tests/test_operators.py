@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import fixtures as X
+from msgloom.functions import text as T
 from msgloom.operators import (
     audit, dedup, features, metrics, monitor, sampling, scoring, splits, thresholds, upsert,
 )
@@ -133,6 +134,21 @@ def test_upsert_edge_cases(spark):
     assert upsert.upsert(empty, upsert.stage(rows)).agg(F.min("id"), F.max("id")).first()[:] == (1, 4)
 
 
+def test_a_load_by_ranges_comes_out_where_its_joins_read_it(spark):
+    schema = "id long, text_raw string, text string, label string, md5_hash string, created_at timestamp, updated_at timestamp"
+    old = [(i, f"Text {i}", f"text {i}", "x", None, None, None) for i in range(1, 200)] + [(900, "Text 7", "old", "x", None, None, None)]
+    target = spark.createDataFrame([*old, (901, None, "none", "x", None, None, None), (902, "t", "t", "x", "no hex", None, None)], schema)
+    rows = [(i, f"Text {i}", f"text {i}", "xy"[i % 2]) for i in range(100, 400)] + [(500, None, "n", "x")]
+    staging = upsert.stage(spark.createDataFrame(rows, "row_seq long, text_raw string, text string, label string"))
+    now = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    plain, dealt = (upsert.upsert(target, staging, now, ranges=n) for n in (None, 5))
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+    at = dealt.filter("action <> 'kept' and md5_hash is not null").select(F.spark_partition_id().alias("p"), T.hash_range(F.col("md5_hash"), 5).alias("r"))
+    assert sorted(r["n"] for r in at.groupBy("r").agg(F.countDistinct("p").alias("n")).collect()) == [1] * 5
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_range" not in plan and "passthrough" in plan
+
+
 def test_newest_plan_limits_before_the_shuffle(spark):
     plan = dedup.newest_per_hash(X.upsert_target(spark, SF))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan

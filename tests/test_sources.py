@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from msgloom.operators import gazetteer, metrics, upsert
 from msgloom.plans import evaluate, ingest, prepare
 from msgloom.sources import readers, workspace, writers
-from msgloom.sources.versions import CommitConflict, Folder
+from msgloom.sources.versions import CommitConflict, Folder, VersionedTable
 
 
 def csv(tmp_path, text, name="in.csv"):
@@ -232,6 +232,24 @@ def test_a_small_load_touches_only_its_prefixes(spark, tmp_path, monkeypatch):
     assert want.exceptAll(table.read().select(*want.columns)).count() == 0
 
 
+def test_a_load_of_several_ranges_shuffles_no_texts_to_write_them(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "RANGE_ROWS", 20)
+    write, plans = VersionedTable.write_parts, []
+
+    def watched(self, rows, version, *args, **options):
+        out = write(self, rows, version, *args, **options)
+        plans.append(options.get("dealt", False))
+        return out
+
+    monkeypatch.setattr(VersionedTable, "write_parts", watched)
+    table = ingest.message_table(spark, f"{tmp_path}/table", digits=1)
+    ingest.load_staged(table, _staged(spark, [(i, f"T{i}", f"t{i}", "x") for i in range(200)], tmp_path, "s1"))
+    ingest.load_staged(table, _staged(spark, [(i, f"T{i}", f"t{i}", "xy"[i < 200]) for i in range(150, 300)], tmp_path, "s2"))
+    rows = {(r["id"], r["text_raw"], r["label"]) for r in table.read().collect()}
+    assert rows == {(i + 1, f"T{i}", "xy"[150 <= i < 200]) for i in range(300)}
+    assert plans == [True, True]
+
+
 def test_a_killed_load_leaves_readers_on_the_old_version(spark, tmp_path, monkeypatch):
     table = ingest.message_table(spark, str(tmp_path / "t"))
     ingest.load_staged(table, _staged(spark, [(1, "a", "a", "x"), (2, "b", "b", "x")], tmp_path, "s1"))
