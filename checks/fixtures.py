@@ -74,17 +74,23 @@ def messages_raw(spark: SparkSession, sf_dir: str, stream: bool = False, spread:
     alike. Labels are uneven and four of the fourteen don't occur. Without `spread` rows stay
     where they were read, for work that shuffles them anyway.
     """
-    from_doc, from_order, label = _message_columns(spark)
-    docs = computed_once(table(spark, sf_dir, "documents", stream), {"n": H(F.col("text"))})
+    docs, orders = table(spark, sf_dir, "documents", stream), table(spark, sf_dir, "orders", stream)
+    messages = _messages(docs, orders)
+    parts = 2 * spark.sparkContext.defaultParallelism
+    return messages if stream or not spread else readers.spread(messages, "row_seq", parts)
+
+
+def _messages(docs: DataFrame, orders: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """The messages of rows of documents and orders, with columns that both have."""
+    from_doc, from_order, label = _message_columns(docs.sparkSession)
+    docs = computed_once(docs, {"n": H(F.col("text"))})
     draw = H(F.concat(F.lit("ord|"), "o_orderkey"))
-    orders = computed_once(table(spark, sf_dir, "orders", stream), {"n": draw})
+    orders = computed_once(orders, {"n": draw})
     ts = F.timestamp_seconds(F.lit(1704067200) + F.col("n") % 86400).alias("ts")
-    both = docs.select((F.col("doc_id") * 2).alias("row_seq"), ts, from_doc.alias("text")).unionByName(
-        orders.select((F.col("o_orderkey") * 2 + 1).alias("row_seq"), ts, from_order.alias("text"))
+    both = docs.select((F.col("doc_id") * 2).alias("row_seq"), ts, from_doc.alias("text"), *more).unionByName(
+        orders.select((F.col("o_orderkey") * 2 + 1).alias("row_seq"), ts, from_order.alias("text"), *more)
     )
-    messages = computed_once(both, {"text": F.col("text"), "label": label})
-    parts = 2 * spark.sparkContext.defaultParallelism
-    return messages if stream or not spread else readers.spread(messages, "row_seq", parts)
+    return computed_once(both, {"text": F.col("text"), "label": label})
 
 
 @lru_cache(maxsize=4)
@@ -115,23 +121,18 @@ def upsert_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     hashes, those of `complaint`, is yet to be filled.
     """
     rated = table(spark, sf_dir, "labels").select(
-        (F.col("doc_id") * 2).alias("row_seq"),
-        (F.col("toxic") == 1).alias("relabel"),
-        (F.col("quality") == 0).alias("copied"),
+        "doc_id", (F.col("toxic") == 1).alias("relabel"), (F.col("quality") == 0).alias("copied")
     )
-    finished = (
+    # An order's state stands in its own row, so only texts of documents are joined with theirs.
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(rated, "doc_id")
+    orders = (
         table(spark, sf_dir, "orders")
         .filter("o_orderstatus = 'F'")
-        .select(
-            (F.col("o_orderkey") * 2 + 1).alias("row_seq"),
-            (F.col("o_orderpriority") == "1-URGENT").alias("relabel"),
-            (F.col("o_orderpriority") == "5-LOW").alias("copied"),
-        )
+        .withColumns({"relabel": F.col("o_orderpriority") == "1-URGENT", "copied": F.col("o_orderpriority") == "5-LOW"})
     )
-    state = rated.unionByName(finished)
-    messages = messages_raw(spark, sf_dir, spread=False).select("row_seq", F.col("text").alias("text_raw"), "label")
+    messages = _messages(docs, orders, ("relabel", "copied")).withColumnRenamed("text", "text_raw").drop("ts")
     # The lower-cased text is made after the shuffle, which needn't carry it.
-    rows = first_per_key(messages.join(state, "row_seq"), ["text_raw"]).withColumn("text", F.lower("text_raw"))
+    rows = first_per_key(messages, ["text_raw"]).withColumn("text", F.lower("text_raw"))
     label = F.when(F.col("relabel"), "complaint").otherwise(F.col("label"))
     ids = F.array(
         F.col("row_seq") + 1, F.when(F.col("copied"), -(F.col("row_seq") + 1))

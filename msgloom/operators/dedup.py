@@ -13,9 +13,10 @@ def _one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFra
     return df.withColumn("_turn", turn).filter(F.col("_turn") == 1).drop("_turn")
 
 
-def first_per_key(df: DataFrame, keys: list[str], order_by: str = "row_seq") -> DataFrame:
+def first_per_key(df: DataFrame, keys: list[str], order_by: str | list[str | Column] = "row_seq") -> DataFrame:
     """Drop duplicates of the key columns, keeping the row that comes first."""
-    return _one_per_key(df, keys, [F.asc(order_by)])
+    order = [order_by] if isinstance(order_by, str) else order_by
+    return _one_per_key(df, keys, [F.col(c).asc() if isinstance(c, str) else c.asc() for c in order])
 
 
 def newest_known(df: DataFrame, keys: list[str] | None = None, order_by: str = "id") -> DataFrame:

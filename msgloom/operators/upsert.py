@@ -36,6 +36,34 @@ def stage(df: DataFrame, order_by: str = "row_seq") -> DataFrame:
     return first_per_key(with_hash(df), ["md5_hash"], order_by)
 
 
+def _text_digest() -> Column:
+    return F.unhex(F.md5("text"))
+
+
+def stage_digests(df: DataFrame) -> DataFrame:
+    """The rows of `stage` with a digest for the text and none for the raw text, for `upsert`."""
+    rows = with_hash(df).select("row_seq", F.lit(None).cast("string").alias("text_raw"), _text_digest().alias("text"), "label", "md5_hash")
+    return first_per_key(rows, ["md5_hash"], ["row_seq", "label", "text"])
+
+
+def target_digests(target: DataFrame) -> DataFrame:
+    """The hashed rows of a message table with a digest for the text, for `upsert`; raw texts only where they aren't of the hash."""
+    own = F.md5("text_raw").eqNullSafe(F.col("md5_hash"))
+    return target.filter("md5_hash is not null").withColumns({"text_raw": F.when(~own, F.col("text_raw")), "text": _text_digest()})
+
+
+def with_texts(decided: DataFrame, df: DataFrame) -> DataFrame:
+    """Rows to write, decided by digests, with the texts of the staged rows df: these are shuffled once."""
+    named = lambda rows: rows.withColumn("md5_hash", F.coalesce("md5_hash", F.lit("")))
+    # Of rows that share row_seq too, the one that stage_digests took.
+    texts = first_per_key(named(with_hash(df)), ["md5_hash"], ["row_seq", "label", _text_digest()])
+    d, s = named(decided).alias("d"), texts.alias("s")
+    return d.join(s, "md5_hash").select(
+        "d.id", F.coalesce("d.text_raw", "s.text_raw").alias("text_raw"), "s.text", "s.label",
+        F.nullif("md5_hash", F.lit("")).alias("md5_hash"), "d.created_at", "d.updated_at",
+    )
+
+
 def _changed(left: str, right: str) -> Column:
     same = [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in PAYLOAD]
     return ~(same[0] & same[1])
@@ -142,7 +170,7 @@ def upsert_summary(target: DataFrame, staging: DataFrame) -> DataFrame:
     comes before their removal.
     """
     # Texts are compared by md5, so that none travels.
-    digests = [F.unhex(F.md5("text")).alias("text"), "label"]
+    digests = [_text_digest().alias("text"), "label"]
     copies = (
         backfill_hash(target)
         .filter("md5_hash is not null")

@@ -21,6 +21,8 @@ from msgloom.sources.readers import spread
 from msgloom.sources.versions import DIGITS, Folder, VersionedTable, prefix_of
 
 BATCH = "batch_id"
+#: Rows of a batch whose hashes are broadcast, at most.
+SMALL_BATCH = 100_000
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -217,6 +219,8 @@ def upsert_stream(
     and adds only the rows it inserts or changes as a new version. A batch that died shows in no
     version, one that runs again after its commit is left out. When a prefix has more than
     max_parts folders, it is made one again. The target is the first version, written once.
+
+    A batch's rows are read twice: once for their digests, and once for the texts of the rows to write.
     """
     table = ingest.message_table(target.sparkSession, path, digits)
     if not table.current():
@@ -225,16 +229,21 @@ def upsert_stream(
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         if batch_id <= table.last_batch():
             return
-        staged = upsert.stage(batch).persist()
+        # What becomes of a row is decided without texts, by their digests; only these rows are held.
+        keys = upsert.stage_digests(batch).persist()
         try:
-            keys = staged.select(prefix_of(F.col("md5_hash"), digits)).distinct().collect()
-            # The batch is the small side: its hashes select rows of the table in place.
-            touched = table.read(prefixes=[k[0] for k in keys]).join(staged.select("md5_hash"), "md5_hash", "left_semi")
+            prefixes = keys.select(prefix_of(F.col("md5_hash"), digits)).distinct().collect()
+            # The hashes of a small batch select rows of the table in place; those of a large one join by a
+            # shuffle, as Spark sizes what is held too low and would broadcast it.
+            hashes = keys.select("md5_hash")
+            hashes = F.broadcast(hashes) if keys.count() <= SMALL_BATCH else hashes.hint("merge")
+            table_rows = upsert.target_digests(table.read(prefixes=[k[0] for k in prefixes]))
+            touched = table_rows.join(hashes, "md5_hash", "left_semi")
             top_id = F.lit(table.top_id()).cast("bigint")
-            loaded = upsert.upsert(touched, staged, top_id=top_id)
-            table.append(loaded.filter("action <> 'kept'"), batch_id)
+            decided = upsert.upsert(touched, keys, top_id=top_id).filter("action <> 'kept'")
+            table.append(upsert.with_texts(decided, batch), batch_id)
             table.compact(max_parts + 1)
         finally:
-            staged.unpersist()
+            keys.unpersist()
 
     return _start(messages, checkpoint, each_batch, "append", trigger)

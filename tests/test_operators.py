@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import bisect
+import hashlib
 import math
 import random
 import re
@@ -149,6 +150,25 @@ def test_a_load_by_ranges_comes_out_where_its_joins_read_it(spark):
     assert "hashpartitioning(_range" not in plan and "passthrough" in plan
 
 
+def test_rows_decided_by_digests_are_those_of_an_upsert(spark):
+    schema = "id long, text_raw string, text string, label string, md5_hash string, created_at timestamp, updated_at timestamp"
+    old = [(i, f"Text {i}", f"text {i}", "x", None, None, None) for i in range(1, 60)]
+    odd = [(70, "odd", "o", "x", hashlib.md5(b"Text 80").hexdigest(), None, None), (71, "Text 50", None, "x", None, None, None)]
+    target = upsert.backfill_hash(spark.createDataFrame([*old, *odd], schema))
+    # Two rows with the same number and raw text, rows without a raw text, a text or a label.
+    more = [(80, "Text 80", "b", "x"), (80, "Text 80", "a", "x"), (90, None, "n", "x"), (91, None, "m", "x"), (20, "Text 50", None, "y"), (92, "no text", None, None)]
+    rows = spark.createDataFrame([*[(i, f"Text {i}", f"text {i}", "xy"[i % 2]) for i in range(30, 70)], *more], "row_seq long, text_raw string, text string, label string")
+    keys = upsert.stage_digests(rows)
+    assert dict(keys.dtypes)["text"] == "binary" and keys.filter("text_raw is not null").isEmpty()  # texts are neither moved nor held
+    now, top = F.lit("2024-01-01 00:00:00").cast("timestamp"), F.lit(71).cast("bigint")
+    made = upsert.with_texts(upsert.upsert(upsert.target_digests(target), keys, now, top_id=top).filter("action <> 'kept'"), rows)
+    staged = upsert.stage(rows.filter("text <> 'a' or text is null"))
+    again = upsert.stage(rows.filter("text <> 'b' or text is null"))
+    wanted = [upsert.upsert(target, s, now, top_id=top).filter("action <> 'kept'").select(*made.columns) for s in (staged, again)]
+    assert sorted(map(str, made.collect())) in [sorted(map(str, w.collect())) for w in wanted]
+    assert made.filter("id = 70 and text_raw = 'odd'").count() == 1
+
+
 def test_newest_plan_limits_before_the_shuffle(spark):
     plan = dedup.newest_per_hash(X.upsert_target(spark, SF))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
